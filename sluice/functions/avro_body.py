@@ -1,0 +1,297 @@
+"""Avro bodies decoded a column at a time, for sessions without the Avro module.
+
+Every task gets Arrow batches of bodies. A reader keeps one cursor per row and
+decodes one field of *all* rows before the next, so the work per field is a
+handful of numpy calls per batch and not a Python call per value.
+"""
+
+from __future__ import annotations
+
+import decimal
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from sluice.functions.avro_types import (
+    parse_avro,
+    record_type,
+    spark_type,
+    union_shape,
+    value_branches,
+)
+
+_FIXED_WIDTH = {"float": (4, "<f4"), "double": (8, "<f8")}
+
+
+class MalformedBody(ValueError):
+    pass
+
+
+def decode_avro(body: Column, schema: str, mode: str) -> Column:
+    """Struct column for an Avro body; a bad body is null (PERMISSIVE) or an error (FAILFAST)."""
+    root = parse_avro(schema)
+    failfast = mode == "FAILFAST"
+
+    @F.arrow_udf(record_type(schema))
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield decode_batch(batch, root, failfast)
+
+    return decode(body)
+
+
+def decode_batch(bodies: pa.Array, root: dict, failfast: bool) -> pa.StructArray:
+    reader = _Reader(bodies.cast(pa.large_binary()))
+    present = np.flatnonzero(np.asarray(bodies.is_valid()))
+    decoded = reader.read(root, present)
+    bad = reader.bad[present]
+    if failfast and bad.any():
+        raise MalformedBody(f"{int(bad.sum())} malformed Avro bodies in a batch, mode FAILFAST")
+    return _scatter(decoded, present[~bad], np.flatnonzero(~bad), len(bodies))
+
+
+def _scatter(values: pa.Array, rows: np.ndarray, source: np.ndarray, size: int) -> pa.Array:
+    """An array of ``size`` with ``values[source[i]]`` at ``rows[i]`` and null elsewhere."""
+    if len(rows) == size == len(values):
+        return values
+    where = np.zeros(size, dtype=np.int64)
+    where[rows] = source
+    absent = np.ones(size, dtype=bool)
+    absent[rows] = False
+    return values.take(pa.array(where, mask=absent))
+
+
+class _Reader:
+    """Cursors over the bodies of one batch; ``read`` returns one value per given row."""
+
+    def __init__(self, bodies: pa.LargeBinaryArray):
+        _, offsets, data = bodies.buffers()
+        count = len(bodies)
+        bounds = np.frombuffer(offsets, dtype=np.int64)[bodies.offset : bodies.offset + count + 1]
+        raw = np.frombuffer(data or b"", dtype=np.uint8)
+        self.data = np.concatenate([raw, np.zeros(1, dtype=np.uint8)])  # one readable byte past the end
+        self.pos = bounds[:-1].copy()
+        self.end = bounds[1:]
+        self.bad = np.zeros(count, dtype=bool)
+
+    def read(self, node: dict, rows: np.ndarray) -> pa.Array:
+        return getattr(self, f"_{node['kind']}")(node, rows)
+
+    # Bytes and numbers
+
+    def _fail(self, rows: np.ndarray) -> None:
+        """Mark rows bad and park their cursors, so that what follows reads nothing."""
+        self.bad[rows] = True
+        self.pos[rows] = self.end[rows]
+
+    def _varint(self, rows: np.ndarray) -> np.ndarray:
+        raw = np.zeros(len(rows), dtype=np.uint64)
+        pos, end = self.pos[rows], self.end[rows]
+        open_ = np.arange(len(rows))
+        for shift in range(0, 70, 7):
+            short = pos[open_] >= end[open_]
+            if short.any():
+                self._fail(rows[open_[short]])
+                raw[open_[short]] = 0
+                pos[open_[short]] = end[open_[short]]
+                open_ = open_[~short]
+            byte = self.data[pos[open_]]
+            raw[open_] |= (byte & np.uint8(0x7F)).astype(np.uint64) << np.uint64(shift)
+            pos[open_] += 1
+            open_ = open_[byte >= 0x80]
+            if not len(open_):
+                break
+        self.pos[rows] = pos
+        if len(open_):
+            self._fail(rows[open_])
+            raw[open_] = 0
+        return (raw >> np.uint64(1)).astype(np.int64) ^ -(raw & np.uint64(1)).astype(np.int64)
+
+    def _take_width(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """``width`` bytes of every row as a matrix; a row with fewer is bad and gets zeros."""
+        start = self.pos[rows]
+        short = start + width > self.end[rows]
+        at = start[:, None] + np.arange(width)
+        at[short] = len(self.data) - 1
+        self.pos[rows] = start + width
+        self._fail(rows[short])
+        return self.data[at]
+
+    def _take_spans(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Length-prefixed bytes of every row: (offsets, bytes) of one packed buffer."""
+        length = self._varint(rows)
+        start = self.pos[rows]
+        broken = (length < 0) | (length > self.end[rows] - start)
+        length = np.where(broken, 0, length)
+        self.pos[rows] = start + length
+        self._fail(rows[broken])
+        offsets = np.concatenate([[0], np.cumsum(length)])
+        at = np.repeat(start - offsets[:-1], length) + np.arange(offsets[-1])
+        return offsets, self.data[at]
+
+    def _null(self, node, rows):
+        return pa.nulls(len(rows))
+
+    def _boolean(self, node, rows):
+        return pa.array(self._take_width(rows, 1)[:, 0] == 1)
+
+    def _int(self, node, rows):
+        value = self._varint(rows)
+        wide = (value < -(2**31)) | (value >= 2**31)
+        self._fail(rows[wide])
+        narrow = pa.array(np.where(wide, 0, value).astype(np.int32))
+        return narrow.cast(pa.date32()) if node.get("logical") == "date" else narrow
+
+    def _long(self, node, rows):
+        value = self._varint(rows)
+        logical = node.get("logical")
+        if logical is None:
+            return pa.array(value)
+        if logical.endswith("millis"):
+            limit = (2**63 - 1) // 1000
+            wide = np.abs(value) > limit
+            self._fail(rows[wide])
+            value = np.where(wide, 0, value) * 1000
+        return pa.array(value).cast(_arrow_type(node))
+
+    def _float(self, node, rows):
+        width, code = _FIXED_WIDTH[node["kind"]]
+        return pa.array(np.ascontiguousarray(self._take_width(rows, width)).view(code)[:, 0])
+
+    _double = _float
+
+    def _string(self, node, rows):
+        return _packed(pa.string(), *self._take_spans(rows))
+
+    def _bytes(self, node, rows):
+        packed = _packed(pa.binary(), *self._take_spans(rows))
+        return self._decimals(node, rows, packed) if "logical" in node else packed
+
+    def _fixed(self, node, rows):
+        size = node["size"]
+        flat = self._take_width(rows, size).ravel()
+        packed = _packed(pa.binary(), np.arange(len(rows) + 1) * size, flat)
+        return self._decimals(node, rows, packed) if "logical" in node else packed
+
+    def _decimals(self, node, rows, packed):
+        limit, wide, values = 10 ** node["precision"], [], []
+        exact = decimal.Context(prec=80)
+        for i, digits in enumerate(packed.to_pylist()):
+            unscaled = int.from_bytes(digits, "big", signed=True)
+            if abs(unscaled) >= limit:
+                wide.append(i)
+                unscaled = 0
+            values.append(decimal.Decimal(unscaled).scaleb(-node["scale"], exact))
+        self._fail(rows[wide])
+        return pa.array(values, type=_arrow_type(node))
+
+    def _enum(self, node, rows):
+        code = self._varint(rows)
+        unknown = (code < 0) | (code >= len(node["symbols"]))
+        self._fail(rows[unknown])
+        return pa.array(node["symbols"] or [""]).take(pa.array(np.where(unknown, 0, code)))
+
+    # Containers
+
+    def _record(self, node, rows):
+        values = [self.read(child, rows) for _, child in node["fields"]]
+        return _struct(node, values, len(rows))
+
+    def _union(self, node, rows):
+        code = self._varint(rows)
+        self._fail(rows[(code < 0) | (code >= len(node["branches"]))])
+        shape, size = union_shape(node), len(rows)
+        parts, members = [], []
+        for i, branch in enumerate(node["branches"]):
+            slots = np.flatnonzero((code == i) & ~self.bad[rows])
+            value = self.read(branch, rows[slots])
+            if branch["kind"] != "null":
+                parts.append((slots, value))
+                members.append(_scatter(value, slots, np.arange(len(slots)), size))
+        if shape == "single":
+            return members[0]
+        if shape == "widened":
+            # At most one of the two is set in a row.
+            first, second = (member.cast(_arrow_type(node)) for member in members)
+            return first.fill_null(second) if len(first) else first
+        absent = np.ones(size, dtype=bool)
+        for slots, _ in parts:
+            absent[slots] = False
+        return _struct(node, members, size, absent)
+
+    def _array(self, node, rows):
+        owner, (items,) = self._blocks([node["items"]], rows)
+        return pa.ListArray.from_arrays(_list_offsets(owner, len(rows)), items)
+
+    def _map(self, node, rows):
+        owner, (keys, items) = self._blocks([{"kind": "string"}, node["values"]], rows)
+        return pa.MapArray.from_arrays(_list_offsets(owner, len(rows)), keys, items)
+
+    def _blocks(self, nodes: list[dict], rows: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+        """The items of every row's blocks: (sorted owner slots, one array per node)."""
+        owners, chunks = [], [[] for _ in nodes]
+        slots = np.arange(len(rows))
+        while len(slots):
+            count = self._varint(rows[slots])
+            sized = count < 0
+            self._varint(rows[slots[sized]])  # the block's size in bytes, not needed
+            count = np.abs(count)
+            # No item but null takes less than a byte.
+            sizeless = len(nodes) == 1 and _may_be_empty(nodes[0])
+            broken = (count > (self.end - self.pos)[rows[slots]]) & (not sizeless)
+            self._fail(rows[slots[broken]])
+            alive = (count != 0) & ~self.bad[rows[slots]]
+            slots, count = slots[alive], count[alive]
+            nth, current, left = 0, slots, count
+            while len(current):
+                owners.append(current)
+                for node, chunk in zip(nodes, chunks):
+                    chunk.append(self.read(node, rows[current]))
+                nth += 1
+                more = (left > nth) & ~self.bad[rows[current]]
+                current, left = current[more], left[more]
+        if not owners:
+            empty = np.empty(0, dtype=np.int64)
+            return empty, [self.read(node, empty) for node in nodes]
+        owner = np.concatenate(owners)
+        order = np.argsort(owner, kind="stable")
+        return owner[order], [pa.concat_arrays(chunk).take(pa.array(order)) for chunk in chunks]
+
+
+def _may_be_empty(node: dict) -> bool:
+    if node["kind"] == "record":
+        return all(_may_be_empty(child) for _, child in node["fields"])
+    return node["kind"] == "null" or node.get("size") == 0
+
+
+def _packed(kind: pa.DataType, offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    narrow = pa.py_buffer(offsets.astype(np.int32))
+    if offsets[-1] >= 2**31:
+        raise MalformedBody("a batch column exceeds 2 GiB; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    buffers = [None, narrow, pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(kind, len(offsets) - 1, buffers)
+
+
+def _list_offsets(owner: np.ndarray, size: int) -> pa.Array:
+    counts = np.bincount(owner, minlength=size)
+    return pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+
+
+def _arrow_type(node: dict) -> pa.DataType:
+    return to_arrow_type(spark_type(node), timezone="UTC")
+
+
+def _struct(node: dict, values: list, size: int, absent: np.ndarray | None = None) -> pa.StructArray:
+    if node["kind"] == "record":
+        names = [name for name, _ in node["fields"]]
+    else:
+        names = [f"member{i}" for i in range(len(value_branches(node)))]
+    fields = [pa.field(name, value.type) for name, value in zip(names, values)]
+    if not fields:
+        return pa.array([{}] * size, type=pa.struct([]))
+    mask = None if absent is None else pa.array(absent)
+    return pa.StructArray.from_arrays(values, fields=fields, mask=mask)
