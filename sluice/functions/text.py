@@ -29,10 +29,6 @@ def list_items(text: Column) -> Column:
     return F.filter(items, lambda item: F.length(item) > 0)
 
 
-def first_topic(topic_list: Column) -> Column:
-    return F.get(list_items(topic_list), F.lit(0))
-
-
 def subject_of(topic: Column) -> Column:
     """The schema table's subject for the values of one topic."""
     return F.concat(topic, F.lit("-value"))
