@@ -12,14 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from sluice.functions.avro_types import (
     parse_avro,
     record_type,
-    spark_type,
     union_shape,
     value_branches,
 )
@@ -41,7 +40,8 @@ def decode_avro(body: Column, schema: str, mode: str) -> Column:
         for batch in batches:
             yield decode_batch(batch, root, failfast)
 
-    return decode(body)
+    # Not to be repeated for every filter and field that uses the result.
+    return decode.asNondeterministic()(body)
 
 
 def decode_batch(bodies: pa.Array, root: dict, failfast: bool) -> pa.StructArray:
@@ -156,7 +156,7 @@ class _Reader:
             wide = np.abs(value) > limit
             self._fail(rows[wide])
             value = np.where(wide, 0, value) * 1000
-        return pa.array(value).cast(_arrow_type(node))
+        return pa.array(value).cast(pa.timestamp("us", None if logical.startswith("local") else "UTC"))
 
     def _float(self, node, rows):
         width, code = _FIXED_WIDTH[node["kind"]]
@@ -187,7 +187,7 @@ class _Reader:
                 unscaled = 0
             values.append(decimal.Decimal(unscaled).scaleb(-node["scale"], exact))
         self._fail(rows[wide])
-        return pa.array(values, type=_arrow_type(node))
+        return pa.array(values, type=pa.decimal128(node["precision"], node["scale"]))
 
     def _enum(self, node, rows):
         code = self._varint(rows)
@@ -215,9 +215,8 @@ class _Reader:
         if shape == "single":
             return members[0]
         if shape == "widened":
-            # At most one of the two is set in a row.
-            first, second = (member.cast(_arrow_type(node)) for member in members)
-            return first.fill_null(second) if len(first) else first
+            wide = pa.int64() if pa.types.is_integer(members[0].type) else pa.float64()
+            return pc.coalesce(*[member.cast(wide) for member in members])
         absent = np.ones(size, dtype=bool)
         for slots, _ in parts:
             absent[slots] = False
@@ -281,10 +280,6 @@ def _list_offsets(owner: np.ndarray, size: int) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
 
 
-def _arrow_type(node: dict) -> pa.DataType:
-    return to_arrow_type(spark_type(node), timezone="UTC")
-
-
 def _struct(node: dict, values: list, size: int, absent: np.ndarray | None = None) -> pa.StructArray:
     if node["kind"] == "record":
         names = [name for name, _ in node["fields"]]

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.avro_types import avro_columns
-from sluice.operators.registry import last_per_key, tableable, with_partitions
+from sluice.operators.latest import last_per_key
+from sluice.operators.registry import tableable, with_partitions
 
 
 def described(registry: DataFrame) -> DataFrame:

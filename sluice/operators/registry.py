@@ -54,13 +54,6 @@ def distinct_events(registry: DataFrame) -> DataFrame:
     return registry.select(*IDENTITY).distinct()
 
 
-def last_per_key(registry: DataFrame, key: str = "event_key", order: str = "ordinal") -> DataFrame:
-    """The entry with the highest ordinal of every key."""
-    others = [name for name in registry.columns if name != key]
-    last = F.max_by(F.struct(*others), order)
-    return registry.groupBy(key).agg(last.alias("last")).select(key, "last.*")
-
-
 def transactional_keys(registry: DataFrame) -> DataFrame:
     return registry.where("is_transactional").select("event_key").distinct()
 

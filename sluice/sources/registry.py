@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators.latest import last_per_key
+
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("ordinal", T.LongType(), False),
     T.StructField("event_key", T.StringType()),
@@ -33,5 +34,4 @@ def read_schemas(spark: SparkSession, path: str, format: str = "parquet") -> Dat
 
 def latest_schemas(schemas: DataFrame) -> DataFrame:
     """The schema of the highest version of every subject."""
-    newest = F.max_by(F.struct("version", "schema"), "version")
-    return schemas.groupBy("subject").agg(newest.alias("newest")).select("subject", "newest.*")
+    return last_per_key(schemas, "subject", "version").select("subject", "version", "schema")

@@ -28,13 +28,16 @@ def read_records(spark: SparkSession, config: IngestConfig, topics: str) -> Data
     """``topic, value`` of the given comma list of topics, as a stream.
 
     Kafka subscribes to the topics. Any other format reads a shared record log,
-    where the topic is a filter that reaches the scan (or the directories, if
-    the log is partitioned by topic).
+    where the topic is a filter that reaches the scan. If the log has a
+    directory per topic, a ``path`` option that ends in ``topic={topics}``, with
+    the log as ``basePath``, lists the event's own directories only.
     """
+    options = source_options(config, topics)
     reader = spark.readStream.format(config.source_format)
-    reader = reader.options(**source_options(config, topics))
     if config.source_format == "kafka":
-        return reader.load().select("topic", "value")
+        return reader.options(**options).load().select("topic", "value")
     wanted = [topic.strip() for topic in topics.split(",") if topic.strip()]
-    log = reader.schema(RECORD_SCHEMA).load()
+    if "path" in options:
+        options["path"] = options["path"].replace("{topics}", "{" + ",".join(wanted) + "}")
+    log = reader.options(**options).schema(RECORD_SCHEMA).load()
     return log.select("topic", "value").where(F.col("topic").isin(wanted))

@@ -1,0 +1,225 @@
+from __future__ import annotations
+
+import decimal
+import json
+import math
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sluice.functions.avro_body import MalformedBody, decode_avro, decode_batch
+from sluice.functions.avro_types import parse_avro, record_type, union_shape
+from tests.avro_encoder import encode, varint
+
+LEAVES = [
+    {"kind": "null"}, {"kind": "boolean"}, {"kind": "int"}, {"kind": "long"}, {"kind": "float"},
+    {"kind": "double"}, {"kind": "string"}, {"kind": "bytes"},
+    {"kind": "fixed", "name": "F", "size": 3},
+    {"kind": "enum", "name": "E", "symbols": ["A", "B", "C"]},
+    {"kind": "bytes", "logical": "decimal", "precision": 12, "scale": 3},
+    {"kind": "fixed", "name": "D", "size": 6, "logical": "decimal", "precision": 14, "scale": 2},
+]
+
+
+def _record(children):
+    return {"kind": "record", "name": "R", "fields": [(f"f{i}", c) for i, c in enumerate(children)]}
+
+
+def _unions(children):
+    def ok(branches):
+        kinds = [b["kind"] for b in branches]
+        return "union" not in kinds and len(set(kinds)) == len(kinds)
+
+    lists = st.lists(children, min_size=2, max_size=3).filter(ok)
+    return lists.map(lambda branches: {"kind": "union", "branches": branches})
+
+
+NODES = st.recursive(
+    st.sampled_from(LEAVES),
+    lambda children: st.one_of(
+        children.map(lambda c: {"kind": "array", "items": c}),
+        children.map(lambda c: {"kind": "map", "values": c}),
+        st.lists(children, min_size=1, max_size=3).map(_record),
+        _unions(children),
+    ),
+    max_leaves=6,
+)
+
+
+def values(node):
+    kind = node["kind"]
+    if node.get("logical") == "decimal":
+        top = 10 ** node["precision"] - 1
+        context = decimal.Context(prec=80)
+        return st.integers(-top, top).map(
+            lambda n: decimal.Decimal(n).scaleb(-node["scale"], context)
+        )
+    if kind == "record":
+        return st.fixed_dictionaries({name: values(child) for name, child in node["fields"]})
+    if kind == "array":
+        return st.lists(values(node["items"]), max_size=4)
+    if kind == "map":
+        return st.dictionaries(st.text(max_size=3), values(node["values"]), max_size=3)
+    if kind == "union":
+        return st.one_of(
+            *[st.tuples(st.just(i), values(b)) for i, b in enumerate(node["branches"])]
+        )
+    return {
+        "null": st.none(),
+        "boolean": st.booleans(),
+        "int": st.integers(-(2**31), 2**31 - 1),
+        "long": st.integers(-(2**63), 2**63 - 1),
+        "float": st.floats(width=32, allow_nan=False),
+        "double": st.floats(allow_nan=False),
+        "string": st.text(max_size=5),
+        "bytes": st.binary(max_size=5),
+        "fixed": st.binary(min_size=3, max_size=3),
+        "enum": st.sampled_from(["A", "B", "C"]),
+    }[kind]
+
+
+def expected(node, value):
+    """The decoded form of an encoded value."""
+    kind = node["kind"]
+    if kind == "record":
+        return {name: expected(child, value[name]) for name, child in node["fields"]}
+    if kind == "array":
+        return [expected(node["items"], item) for item in value]
+    if kind == "map":
+        return [(k, expected(node["values"], v)) for k, v in value.items()]
+    if kind == "union":
+        branch, inner = value
+        chosen = node["branches"][branch]
+        if chosen["kind"] == "null":
+            return None
+        inner = expected(chosen, inner)
+        if union_shape(node) == "single":
+            return inner
+        if union_shape(node) == "widened":
+            return float(inner) if chosen["kind"] in ("float", "double") else inner
+        places = [b for b in node["branches"] if b["kind"] != "null"]
+        return {f"member{i}": inner if b is chosen else None for i, b in enumerate(places)}
+    return value
+
+
+@st.composite
+def batches(draw):
+    node = _record(draw(st.lists(NODES, min_size=1, max_size=3)))
+    rows = draw(st.lists(st.none() | values(node), min_size=1, max_size=6))
+    return node, rows
+
+
+@settings(max_examples=300, deadline=None)
+@given(batches())
+def test_round_trip(batch):
+    node, rows = batch
+    bodies = pa.array([None if r is None else encode(node, r) for r in rows], type=pa.binary())
+    decoded = decode_batch(bodies, node, failfast=True).to_pylist()
+    assert decoded == [None if r is None else expected(node, r) for r in rows]
+
+
+@settings(max_examples=200, deadline=None)
+@given(batches(), st.data())
+def test_damage_stays_in_its_row(batch, data):
+    """A body cut short or replaced by noise never changes another row's result."""
+    node, rows = batch
+    bodies = [None if r is None else encode(node, r) for r in rows]
+    hurt = data.draw(st.integers(0, len(bodies) - 1))
+    noise = data.draw(st.binary(max_size=8))
+    bodies[hurt] = noise
+    decoded = decode_batch(pa.array(bodies, type=pa.binary()), node, failfast=False).to_pylist()
+    for i, row in enumerate(rows):
+        if i != hurt:
+            assert decoded[i] == (None if row is None else expected(node, row))
+
+
+@settings(max_examples=200, deadline=None)
+@given(batches())
+def test_a_body_cut_short_is_bad(batch):
+    node, rows = batch
+    full = [encode(node, r) for r in rows if r is not None]
+    cut = [body[:-1] for body in full if body]
+    decoded = decode_batch(pa.array(cut, type=pa.binary()), node, failfast=False)
+    assert decoded.null_count == len(cut)
+
+
+TWO_FIELDS = parse_avro(json.dumps({"type": "record", "name": "R", "fields": [
+    {"name": "n", "type": "long"}, {"name": "s", "type": "string"}]}))
+
+
+@pytest.mark.parametrize("body", [
+    b"",
+    b"\x02",
+    b"\xff" * 11,                                # a number that never ends
+    varint(1) + varint(-1),                      # a negative length
+    varint(1) + varint(9) + b"short",
+])
+def test_malformed(body):
+    good = varint(1) + varint(1) + b"x"
+    batch = pa.array([good, body, None], type=pa.binary())
+    assert decode_batch(batch, TWO_FIELDS, failfast=False).to_pylist() == [
+        {"n": 1, "s": "x"}, None, None]
+    with pytest.raises(MalformedBody):
+        decode_batch(batch, TWO_FIELDS, failfast=True)
+
+
+def test_bytes_after_the_record_are_ignored():
+    body = varint(1) + varint(1) + b"xyz"
+    batch = pa.array([body], type=pa.binary())
+    assert decode_batch(batch, TWO_FIELDS, failfast=True).to_pylist() == [{"n": 1, "s": "x"}]
+
+
+def test_sliced_and_empty_batches():
+    good = varint(1) + varint(1) + b"x"
+    batch = pa.array([b"", good, good, b""], type=pa.binary()).slice(1, 2)
+    assert decode_batch(batch, TWO_FIELDS, failfast=True).to_pylist() == [{"n": 1, "s": "x"}] * 2
+    assert len(decode_batch(batch.slice(0, 0), TWO_FIELDS, failfast=True)) == 0
+
+
+ALL_TYPES = {"type": "record", "name": "All", "fields": [
+    {"name": "at", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+    {"name": "wall", "type": {"type": "long", "logicalType": "local-timestamp-micros"}},
+    {"name": "day", "type": {"type": "int", "logicalType": "date"}},
+    {"name": "price", "type": {"type": "bytes", "logicalType": "decimal", "precision": 10, "scale": 2}},
+    {"name": "attrs", "type": {"type": "map", "values": ["null", "long"]}},
+    {"name": "tags", "type": {"type": "array", "items": {"type": "record", "name": "Tag", "fields": [
+        {"name": "k", "type": "string"}]}}},
+    {"name": "wide", "type": ["int", "long"]},
+    {"name": "ref", "type": ["null", "string", "long"]},
+    {"name": "nothing", "type": "null"},
+    {"name": "f", "type": "float"},
+]}
+
+
+def test_every_type_reaches_spark(spark):
+    schema = json.dumps(ALL_TYPES)
+    body = encode(parse_avro(schema), {
+        "at": 1_700_000_000_123, "wall": 1_700_000_000_123_456, "day": 19_723,
+        "price": decimal.Decimal("-12.34"), "attrs": {"a": (1, 5), "b": (0, None)},
+        "tags": [{"k": "x"}, {"k": "y"}], "wide": (1, 2**40), "ref": (2, 7), "nothing": None,
+        "f": 1.5,
+    })
+    rows = spark.createDataFrame([(bytearray(body),), (None,), (bytearray(b"\x01"),)], "body binary")
+    out = rows.select(decode_avro(F.col("body"), schema, "PERMISSIVE").alias("o")).select("o.*")
+    assert out.schema == record_type(schema)
+    first, second, third = out.selectExpr(
+        "unix_micros(at)", "cast(wall as string)", "day", "price", "attrs", "tags", "wide", "ref",
+        "nothing", "f",
+    ).collect()
+    assert first[0] == 1_700_000_000_123_000
+    assert first[1] == "2023-11-14 22:13:20.123456"
+    assert str(first[2]) == "2024-01-01" and str(first[3]) == "-12.34"
+    assert first[4] == {"a": 5, "b": None} and [t.k for t in first[5]] == ["x", "y"]
+    assert first[6] == 2**40 and first[7].member0 is None and first[7].member1 == 7
+    assert first[8] is None and math.isclose(first[9], 1.5)
+    assert not any(v is not None for v in [*second, *third])
+
+
+def test_failfast_fails_the_query(spark):
+    schema = json.dumps(ALL_TYPES)
+    rows = spark.createDataFrame([(bytearray(b"\x01"),)], "body binary")
+    with pytest.raises(Exception, match="malformed Avro"):
+        rows.select(decode_avro(F.col("body"), schema, "FAILFAST")).collect()

@@ -11,6 +11,7 @@ from sluice.config import IngestConfig
 from sluice.operators import definitions as defs
 from sluice.operators import records as rec
 from sluice.operators import registry as reg
+from sluice.operators.latest import last_per_key
 from sluice.plans import tables
 from sluice.sources.registry import latest_schemas, read_registry, read_schemas
 from sluice.sources.stream import RECORD_SCHEMA, read_records
@@ -208,7 +209,7 @@ def reg_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reg_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reg.last_per_key(inputs.registry(spark, sf_dir))
+    return last_per_key(inputs.registry(spark, sf_dir))
 
 
 @query
@@ -388,7 +389,8 @@ def flow_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _fan_out(spark: SparkSession, sf_dir: str):
     root = inputs.scratch(spark, "fanout")
     log = _record_log(spark, _fields(spark, sf_dir), "log")
-    config = inputs.parquet_config(root, source_options={"path": log})
+    topic_directories = {"path": f"{log}/topic={{topics}}", "basePath": log}
+    config = inputs.parquet_config(root, source_options=topic_directories)
     started = fanout.start_all(
         spark, inputs.topic_registry(spark, sf_dir), inputs.schema_versions(spark, sf_dir), config
     )
