@@ -25,7 +25,7 @@ def active(registry: DataFrame) -> DataFrame:
 def _filled(*names: str) -> Column:
     condition = F.lit(True)
     for name in names:
-        condition = condition & (F.length(name) > 0)
+        condition = condition & (F.col(name) != "")
     return condition
 
 

@@ -71,7 +71,8 @@ def test_date_parts_cast_like_a_lenient_cast(spark):
     """Equal to Spark's cast without ANSI, on the texts a cast can meet."""
     draw = random.Random(7)
     texts = {"07", " 7 ", "x", "", "12.5", ".5", "-.5", "+7.", "1e2", "99999999999", "99999999999.5",
-             "\t7\n", "2147483647", "2147483648", "-2147483648.9", "+", "-", "1 2", "12.x", "1.2.3"}
+             "\t7\n", "2147483647", "2147483648", "-2147483648.9", "+", "-", "1 2", "12.x", "1.2.3", ".", "\x7f7\x00",
+             "7\xa0", "\u0667", "0000000000007"}
     while len(texts) < 3000:
         texts.add("".join(draw.choice("0123456789+-. x\t") for _ in range(draw.randint(1, 6))))
     rows = spark.createDataFrame([(t,) for t in [*sorted(texts), None]], "dpYear string")
