@@ -40,8 +40,9 @@ def streamable(registry: DataFrame, require_partitions: bool = True) -> DataFram
 
 def tableable(registry: DataFrame) -> DataFrame:
     """Active entries with a key, a schema and a transaction flag."""
-    needed = ("event_key", "complete_schema", "is_transactional")
-    return active(registry).dropna(subset=list(needed))
+    return active(registry).where(
+        "event_key IS NOT NULL AND complete_schema IS NOT NULL AND is_transactional IS NOT NULL"
+    )
 
 
 def bucketed(registry: DataFrame) -> DataFrame:

@@ -35,6 +35,10 @@ def test_registry_filters_reach_the_scan(stored):
     plan = plan_of(reg.bucketed(reg.streamable(stored)).select("event_key"))
     assert "EqualTo(is_active,true)" in plan and "In(bucket_id, [nonP0Event,p0Event])" in plan
     assert "Not(EqualTo(event_key,))" in plan and "complete_schema" not in plan
+    plan = plan_of(defs.table_definitions(stored))
+    for name in ("event_key", "complete_schema", "is_transactional"):
+        assert f"IsNotNull({name})" in plan[plan.index("PushedFilters"):]
+    assert "bucket_id" not in plan[plan.index("ReadSchema"):]
     plan = plan_of(reg.non_transactional_keys(stored))
     assert "Not(EqualTo(is_transactional,true))" in plan and "topic_list" not in plan
 

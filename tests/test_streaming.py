@@ -142,6 +142,13 @@ def test_compact_keeps_rows_and_refuses_an_existing_target(spark, root):
     assert spark.read.parquet(f"{root}/one").select("day").distinct().collect()[0].day == 1
 
 
+def test_compact_without_partitions(spark, root):
+    spark.range(0, 1000, 1, 8).write.parquet(f"{root}/small")
+    sink.compact(spark, f"{root}/small", f"{root}/large")
+    large = spark.read.parquet(f"{root}/large")
+    assert large.count() == 1000 and len(large.inputFiles()) == 1
+
+
 def test_read_records_keeps_topic_and_value_only(spark, root):
     config = parquet_config(root, source_options=log(spark, root, ("a", 1, "2024")))
     assert read_records(spark, config, "a").columns == ["topic", "value"]

@@ -89,6 +89,7 @@ def _damaged() -> str:
         event_id % 12 IN (1, 4, 7, 10) AS broken FROM events)"""
 
 
+_TABLE_PARTITIONS = f"CASE WHEN len({_ITEMS}) > 0 THEN array_to_string({_ITEMS}, ', ') END"
 _DEFINITIONS_SIDE = "CASE WHEN is_transactional THEN 'Txn' ELSE 'NonTxn' END"
 _CREATED = f"""WITH {TOPIC_REGISTRY} SELECT event_key, is_transactional,
     CASE WHEN event_key = 'error' THEN 'failure' ELSE 'success' END AS status
@@ -156,11 +157,11 @@ ORACLES = {
         CASE complete_schema WHEN '{inputs.MALFORMED_SCHEMA}' THEN 'MALFORMED_JSON'
         ELSE 'RECURSIVE_RECORD' END AS code FROM ({_TABLEABLE} AND {_BAD})""",
     "tbl_split": f"""WITH {DEFINITIONS}, {COLUMNS} SELECT {_DEFINITIONS_SIDE} AS side, event_key,
-        partition_columns, n AS columns FROM definitions
+        {_TABLE_PARTITIONS} AS partitions, n AS columns FROM definitions
         JOIN (SELECT event_type, count(*) AS n FROM columns_of GROUP BY event_type)
         USING (event_type)""",
-    "tbl_side": f"""WITH {DEFINITIONS} SELECT event_key, partition_columns FROM definitions
-        WHERE NOT is_transactional""",
+    "tbl_side": f"""WITH {DEFINITIONS} SELECT event_key, {_TABLE_PARTITIONS} AS partitions
+        FROM definitions WHERE NOT is_transactional""",
     "tbl_counts": f"""WITH {DEFINITIONS} SELECT is_transactional, count(*) AS definitions
         FROM definitions GROUP BY is_transactional""",
     "tbl_ddl": _ddl(quoted=True),

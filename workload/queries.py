@@ -265,14 +265,16 @@ def tbl_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     definitions = defs.table_definitions(inputs.registry(spark, sf_dir))
     return definitions.select(
         F.when(F.col("is_transactional"), "Txn").otherwise("NonTxn").alias("side"),
-        "event_key", "partition_columns", F.size("columns").cast("long").alias("columns"),
+        "event_key", F.array_join("table_partitions", ", ").alias("partitions"), F.size("columns").cast("long").alias("columns"),
     )
 
 
 @query
 def tbl_side(spark: SparkSession, sf_dir: str) -> DataFrame:
     definitions = defs.table_definitions(inputs.registry(spark, sf_dir))
-    return defs.transactional_side(definitions, False).select("event_key", "partition_columns")
+    return defs.transactional_side(definitions, False).select(
+        "event_key", F.array_join("table_partitions", ", ").alias("partitions")
+    )
 
 
 @query
