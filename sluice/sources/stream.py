@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from sluice.config import IngestConfig
 
+# Formats whose streams must be told their schema; other sources know it.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
 RECORD_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
     T.StructField("value", T.BinaryType()),
@@ -39,5 +41,7 @@ def read_records(spark: SparkSession, config: IngestConfig, topics: str) -> Data
     wanted = [topic.strip() for topic in topics.split(",") if topic.strip()]
     if "path" in options:
         options["path"] = options["path"].replace("{topics}", "{" + ",".join(wanted) + "}")
-    log = reader.options(**options).schema(RECORD_SCHEMA).load()
+    if config.source_format in FILE_FORMATS:
+        reader = reader.schema(RECORD_SCHEMA)
+    log = reader.options(**options).load()
     return log.select("topic", "value").where(F.col("topic").isin(wanted))

@@ -45,15 +45,24 @@ def start_all(
 ) -> list[Started]:
     """Start the queries, first bucket first. An event that fails is reported and skipped.
 
-    Every query runs in the scheduler pool of its bucket, so a FAIR scheduler
+    A key has one directory and one checkpoint, so its first entry in starting
+    order gets the query and any other is reported as taken. Every query runs in the scheduler pool of its bucket, so a FAIR scheduler
     can weigh the buckets.
     """
-    started = []
+    started, taken = [], set()
     pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
     try:
         for event in stream_plan(registry, schemas).toLocalIterator():
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", event.bucket_id)
-            started.append(_start(spark, event, config))
+            if event.event_key in taken:
+                error = "the event key is taken by an earlier entry"
+                started.append(Started(event.event_key, event.bucket_id, error=error))
+                LOG.error("event %s did not start: %s", event.event_key, error)
+                continue
+            outcome = _start(spark, event, config)
+            started.append(outcome)
+            if outcome.query is not None:
+                taken.add(event.event_key)
     finally:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
     return started

@@ -101,6 +101,32 @@ def test_one_event_failing_while_running_does_not_stop_the_rest(spark, root):
         assert [r.n for r in spark.read.parquet(config.event_path(key)).collect()] == [n]
 
 
+def test_a_key_registered_twice_streams_once(spark, root):
+    config = parquet_config(root, source_options=log(spark, root, ("a", 1, "2024")))
+    events = registry(
+        spark, entry(0, "twice", "[a]", "nonP0Event"), entry(1, "twice", "[a]", "p0Event"),
+        entry(2, "retried", "[none]", "p0Event"), entry(3, "retried", "[a]", "nonP0Event"))
+    started = fanout.start_all(spark, events, subjects(spark, ("a-value", 1, SCHEMA)), config)
+    fanout.await_all(spark, started)
+    assert [(s.event_key, s.bucket_id, s.error is None) for s in started] == [
+        ("retried", "p0Event", False), ("twice", "p0Event", True),
+        ("retried", "nonP0Event", True), ("twice", "nonP0Event", False)]
+    assert "taken" in started[-1].error
+    assert spark.read.parquet(config.event_path("twice")).count() == 1
+
+
+def test_optimized_write_survives_a_restart(spark, root):
+    config = parquet_config(
+        root, source_options={"path": f"{root}/log"}, optimize_write=True)
+    for n, year in enumerate(("2023", "2024", "2024")):
+        log(spark, root, ("a", n, year))
+        for _ in range(2):
+            rows = fanout.event_rows(spark, config, "a", SCHEMA)
+            sink.start_event(rows, "e", ("dpYear",), config).awaitTermination()
+    found = spark.read.parquet(config.event_path("e")).orderBy("n").collect()
+    assert [(r.n, r.dpYear) for r in found] == [(0, 2023), (1, 2024), (2, 2024)]
+
+
 def test_pool_is_restored(spark, root):
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", "mine")
     try:

@@ -182,16 +182,46 @@ def body_fields(rows: DataFrame) -> DataFrame:
 
 
 def _framed(body: Column) -> Column:
-    return F.concat(F.unhex(F.lit(HEADER)), body).alias("value")
+    return F.concat(F.unhex(F.lit(HEADER)), body)
 
 
-def json_records(fields: DataFrame) -> DataFrame:
+def _json_value(fields: DataFrame) -> Column:
     names = [name for name in fields.columns if name != "topic"]
-    return fields.select("topic", _framed(F.encode(F.to_json(F.struct(*names)), "UTF-8")))
+    return _framed(F.encode(F.to_json(F.struct(*names)), "UTF-8"))
+
+
+def _avro_value() -> Column:
+    return _framed(encode_body(*map(F.col, BODY_NAMES)))
+
+
+def json_records(fields: DataFrame) -> DataFrame:
+    return fields.select("topic", _json_value(fields).alias("value"))
 
 
 def avro_records(fields: DataFrame) -> DataFrame:
-    return fields.select("topic", _framed(encode_body(*map(F.col, BODY_NAMES))))
+    return fields.select("topic", _avro_value().alias("value"))
+
+
+def damaged_json_records(fields: DataFrame) -> DataFrame:
+    return _damaged(fields, _json_value(fields), b'{"event_id": "no number"')
+
+
+def damaged_avro_records(fields: DataFrame) -> DataFrame:
+    return _damaged(fields, _avro_value(), b"\x80\x80")
+
+
+def _damaged(fields: DataFrame, value: Column, garbage: bytes) -> DataFrame:
+    """A third of the records lose their value, part of the header, the body or its sense."""
+    framed = fields.select("topic", "event_id", value.alias("value"))
+    value, kind = F.col("value"), F.col("event_id") % 12
+    broken = (
+        F.when(kind == 1, F.lit(None).cast("binary"))
+        .when(kind == 4, F.substring(value, 1, 3))
+        .when(kind == 7, F.substring(value, 1, 5))
+        .when(kind == 10, F.concat(F.substring(value, 1, 5), F.lit(garbage)))
+        .otherwise(value)
+    )
+    return framed.select("topic", broken.alias("value"))
 
 
 BODY_NAMES = ("event_id", "user_id", "value", "dpYear", "dpMonth", "dpDay")
@@ -223,20 +253,6 @@ def encode_body(
     ], type=pa.binary())
 
 
-def damaged(records: DataFrame, event_id: Column, garbage: bytes) -> DataFrame:
-    """A third of the records lose their value, part of the header, the body or its sense."""
-    value, kind = F.col("value"), event_id % 12
-    broken = (
-        F.when(kind == 1, F.lit(None).cast("binary"))
-        .when(kind == 4, F.substring(value, 1, 3))
-        .when(kind == 7, F.substring(value, 1, 5))
-        .when(kind == 10, F.concat(F.substring(value, 1, 5), F.lit(garbage)))
-    )
-    return records.withColumn(
-        "value", F.when(kind.isin(1, 4, 7, 10), broken).otherwise(value)
-    )
-
-
 # --- places to write -----------------------------------------------------------------
 
 

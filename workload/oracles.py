@@ -80,12 +80,12 @@ _ALL_ROWS = f"SELECT event_id, user_id, {_VALUE}, {_PARTS} FROM events"
 _DECODED = f"SELECT event_id, user_id, {_VALUE}, {_TEXT_PARTS} FROM events"
 
 
-def _damaged() -> str:
+def _damaged(parts: str) -> str:
     names = ("event_id", "user_id", "value", "dpYear", "dpMonth", "dpDay")
     whole = ", ".join(
         f'CASE WHEN broken THEN NULL ELSE "{name}" END AS "{name}"' for name in names
     )
-    return f"""SELECT {whole} FROM (SELECT user_id, {_VALUE}, {_TEXT_PARTS}, event_id,
+    return f"""SELECT {whole} FROM (SELECT user_id, {_VALUE}, {parts}, event_id,
         event_id % 12 IN (1, 4, 7, 10) AS broken FROM events)"""
 
 
@@ -109,9 +109,9 @@ ORACLES = {
         QUALIFY row_number() OVER (PARTITION BY subject ORDER BY version DESC) = 1""",
     "proj_strip_header": "SELECT '{' AS first_char, event_id FROM events",
     "proj_decode": f"SELECT event_id, user_id, {_VALUE} FROM events",
-    "proj_decode_permissive": _damaged(),
+    "proj_decode_permissive": _damaged(_TEXT_PARTS),
     "proj_decode_avro": _DECODED,
-    "proj_decode_avro_permissive": _damaged(),
+    "proj_decode_avro_permissive": _damaged(_TEXT_PARTS),
     "proj_flatten": _DECODED,
     "proj_date_parts": f"""SELECT event_id, user_id, {_VALUE},
         CAST(strftime(ts, '%Y') AS INTEGER) AS "dpYear",
@@ -171,6 +171,7 @@ ORACLES = {
         GROUP BY is_transactional, status""",
     "flow_event_append": _ALL_ROWS,
     "flow_avro_append": _ALL_ROWS,
+    "flow_permissive_append": _damaged(_PARTS),
     "flow_restart": _ALL_ROWS,
     "flow_schema_merge": f"""SELECT event_id, user_id,
         CASE WHEN event_id % 2 = 1 AND event_id % 10 <> 0 THEN value END AS value, {_PARTS}

@@ -114,11 +114,7 @@ def proj_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def proj_decode_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = _fields(spark, sf_dir)
-    body = F.to_json(F.struct(*inputs.BODY_NAMES))
-    framed = fields.select("event_id", "topic", F.concat(
-        F.unhex(F.lit(inputs.HEADER)), F.encode(body, "UTF-8")).alias("value"))
-    records = inputs.damaged(framed, F.col("event_id"), b'{"event_id": "no number"')
+    records = inputs.damaged_json_records(_fields(spark, sf_dir))
     decoded = rec.decode_body(rec.strip_header(records), inputs.BODY_SCHEMA, "json", "PERMISSIVE")
     return rec.flatten(decoded)
 
@@ -131,11 +127,7 @@ def proj_decode_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def proj_decode_avro_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = _fields(spark, sf_dir)
-    framed = fields.select("event_id", "topic", F.concat(
-        F.unhex(F.lit(inputs.HEADER)), inputs.encode_body(*map(F.col, inputs.BODY_NAMES))
-    ).alias("value"))
-    records = inputs.damaged(framed, F.col("event_id"), b"\x80\x80")
+    records = inputs.damaged_avro_records(_fields(spark, sf_dir))
     decoded = rec.decode_body(rec.strip_header(records), inputs.BODY_SCHEMA, "avro", "PERMISSIVE")
     return rec.flatten(decoded)
 
@@ -352,6 +344,15 @@ def flow_avro_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows_at(spark, _append(spark, records, config, inputs.BODY_SCHEMA))
 
 
+@query
+def flow_permissive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the bodies is damaged; their rows are kept, all null, in the null partition."""
+    config = inputs.parquet_config(inputs.scratch(spark, "permissive"))
+    fields = inputs.body_fields(inputs.events_stream(spark, sf_dir))
+    records = inputs.damaged_json_records(fields)
+    return _rows_at(spark, _append(spark, records, config, inputs.BODY_SCHEMA))
+
+
 def _halves(spark, sf_dir) -> list[DataFrame]:
     """All events, as an earlier and a later delivery."""
     fields = _fields(spark, sf_dir)
