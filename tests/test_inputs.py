@@ -1,0 +1,21 @@
+from __future__ import annotations
+
+import pyarrow as pa
+
+from sluice.functions.avro_types import parse_avro
+from tests.avro_encoder import encode
+from workload import inputs
+
+
+def test_encoded_bodies():
+    rows = [
+        (n, -n, None if n % 3 == 0 else n / 7, "2024", "1" * (n % 70), "é")
+        for n in [0, 1, 63, 64, 65, 8191, 8192, 2**31, 2**34, 2**62, 2**63 - 1, -(2**62)]
+    ]
+    columns = [pa.array(c) for c in zip(*rows)]
+    node = parse_avro(inputs.BODY_SCHEMA)
+    expected = [
+        encode(node, dict(zip(inputs.BODY_NAMES, (i, u, (0, None) if v is None else (1, v), y, m, d))))
+        for i, u, v, y, m, d in rows
+    ]
+    assert inputs.encode_body.func(*columns).to_pylist() == expected
