@@ -61,11 +61,13 @@ def create_tables(
 
     ``success``, ``failure`` (the statement was refused) or ``error`` (anything
     else). No event keeps another from being tried. DDL runs on the driver, so
-    statements come one partition at a time and are never held together.
+    statements come one partition at a time and are never held together; the
+    rebalance makes these few and of limited size.
     """
     wanted = statements.where(F.col("namespace").isin(*sides))
+    wanted = wanted.select("event_key", "is_transactional", "statement").hint("rebalance")
     outcomes = []
-    for row in wanted.select("event_key", "is_transactional", "statement").toLocalIterator():
+    for row in wanted.toLocalIterator():
         status, message = _run(spark, row.event_key, row.statement)
         outcomes.append((row.event_key, row.is_transactional, status, message))
     return spark.createDataFrame(outcomes, OUTCOME_SCHEMA)

@@ -6,6 +6,7 @@ from sluice.config import IngestConfig
 from sluice.operators.definitions import table_definitions
 from sluice.plans import tables
 from sluice.plans.tables import create_statements, create_tables, outcome_counts
+from sluice.streaming.sink import session_conf
 from tests.test_avro_types import ORDER_PLACED
 from tests.test_registry import GOOD, entry, registry
 
@@ -104,6 +105,19 @@ def test_only_the_named_sides_are_created(spark, root, schemas):
     assert create_tables(spark, statements).count() == 0  # the default side has another name here
 
 
+def test_statements_reach_the_driver_in_few_jobs(spark, root, unique):
+    """However many shuffle partitions there are, empty ones are not fetched one by one."""
+    given = registry(spark, *[entry(0, f"e{i}", txn=False, schema=GOOD) for i in range(50)])
+    spark.sparkContext.setJobGroup(unique, unique)
+    try:
+        with session_conf(spark, {"spark.sql.shuffle.partitions": "200"}):
+            statements = create_statements(table_definitions(given).persist(), CONFIG)
+            assert create_tables(spark, statements, sides=("NonTxn",)).count() == 50
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(unique)) < 12
+
+
 def test_an_unexpected_error_is_counted_and_stops_nothing(spark, root, monkeypatch):
     given = definitions(
         spark, entry(0, "a", txn=False, schema=GOOD), entry(0, "b", txn=False, schema=GOOD))
