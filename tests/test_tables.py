@@ -107,12 +107,12 @@ def test_only_the_named_sides_are_created(spark, root, schemas):
 
 def test_statements_reach_the_driver_in_few_jobs(spark, root, unique):
     """However many shuffle partitions there are, empty ones are not fetched one by one."""
-    given = registry(spark, *[entry(0, f"e{i}", txn=False, schema=GOOD) for i in range(50)])
+    given = registry(spark, *[entry(0, f"e{i}", txn=False, schema=GOOD) for i in range(5)])
     spark.sparkContext.setJobGroup(unique, unique)
     try:
         with session_conf(spark, {"spark.sql.shuffle.partitions": "200"}):
             statements = create_statements(table_definitions(given).persist(), CONFIG)
-            assert create_tables(spark, statements, sides=("NonTxn",)).count() == 50
+            assert create_tables(spark, statements, sides=("NonTxn",)).count() == 5
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(unique)) < 12
