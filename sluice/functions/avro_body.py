@@ -234,17 +234,22 @@ class _Reader:
         """The items of every row's blocks: (sorted owner slots, one array per node)."""
         owners, chunks = [], [[] for _ in nodes]
         slots = np.arange(len(rows))
+        sizeless = len(nodes) == 1 and _may_be_empty(nodes[0])
         while len(slots):
             count = self._varint(rows[slots])
             sized = count < 0
             self._varint(rows[slots[sized]])  # the block's size in bytes, not needed
             count = np.abs(count)
-            # No item but null takes less than a byte.
-            sizeless = len(nodes) == 1 and _may_be_empty(nodes[0])
+            # Any other item takes a byte or more.
             broken = (count > (self.end - self.pos)[rows[slots]]) & (not sizeless)
+            broken |= count < 0  # the one number without an absolute value
             self._fail(rows[slots[broken]])
             alive = (count != 0) & ~self.bad[rows[slots]]
             slots, count = slots[alive], count[alive]
+            if sizeless:  # items without bytes move no cursor, so all are read at once
+                owners.append(np.repeat(slots, count))
+                chunks[0].append(self.read(nodes[0], np.repeat(rows[slots], count)))
+                continue
             nth, current, left = 0, slots, count
             while len(current):
                 owners.append(current)

@@ -172,6 +172,16 @@ def test_bytes_after_the_record_are_ignored():
     assert decode_batch(batch, TWO_FIELDS, failfast=True).to_pylist() == [{"n": 1, "s": "x"}]
 
 
+def test_a_long_array_of_items_without_bytes():
+    node = parse_avro(json.dumps({"type": "record", "name": "R", "fields": [
+        {"name": "a", "type": {"type": "array", "items": "null"}}]}))
+    batch = pa.array([varint(3_000_000) + varint(0), varint(0)], type=pa.binary())
+    decoded = decode_batch(batch, node, failfast=True).field("a")
+    assert decoded.value_lengths().to_pylist() == [3_000_000, 0]
+    lowest = pa.array([varint(-(2**63)) + varint(0) + varint(0)], type=pa.binary())
+    assert decode_batch(lowest, node, failfast=False).to_pylist() == [None]
+
+
 def test_sliced_and_empty_batches():
     good = varint(1) + varint(1) + b"x"
     batch = pa.array([b"", good, good, b""], type=pa.binary()).slice(1, 2)
