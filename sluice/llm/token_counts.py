@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.tokens import PieceEncoder, count_tokens
+from sluice.llm.tokens import count_tokens, worker_cache
 
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
 #: Part of the tokenizer's digest: raise it when the way of counting changes.
@@ -56,11 +56,9 @@ def add_misses(docs: DataFrame, cache_path: str, tokenizer_path: str, text_col:
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         for batch in batches:
             if batch.num_rows:
-                encoder = encoder or PieceEncoder(tokenizer_path)
-                counts = count_tokens(encoder, batch.column(1))
+                counts = count_tokens(worker_cache(tokenizer_path), batch.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([version] * len(counts), pa.binary()),
                      pa.array(counts.astype(np.int64))],
