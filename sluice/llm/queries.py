@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from sluice.llm.packing import pack
 from sluice.llm.scratch import new_path
+from sluice.llm.simhash import simhash_components
 from sluice.llm.token_counts import token_counts
+from sluice.llm.toxicity import judged
 from sluice.llm.url_filter import judge_urls
 
 #: Host, path and verdict of the url rules.
@@ -45,8 +47,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
+    "op6_simhash": op6_simhash,
+    "op8_toxicity": op8_toxicity,
 }
