@@ -25,3 +25,50 @@ ORACLES = {
         FROM fitting WHERE place = 1
     """,
 }
+
+_WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '')"
+
+ORACLES["op9_decontamination"] = rf"""
+    WITH items AS (
+        SELECT item_id, unnest(list_distinct(list_transform(range(1, len(w) - 3),
+            lambda i: array_to_string(w[i:i + 4], ' ')))) AS shingle
+        FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)
+    ), sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+    docs AS (
+        SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3),
+            lambda i: array_to_string(w[i:i + 4], ' ')))) AS shingle
+        FROM (SELECT doc_id, {_WORDS} AS w FROM documents)
+    )
+    SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS n_shingles, CAST(count(*) AS INTEGER) AS n_shared,
+        count(*) / any_value(n) AS containment
+    FROM docs JOIN items USING (shingle) JOIN sizes USING (item_id)
+    GROUP BY doc_id, item_id HAVING count(*) * 5 >= any_value(n) * 4
+"""
+
+ORACLES["op10_line_dedup"] = r"""
+    WITH lines AS (
+        SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+    ), hashed AS (
+        SELECT *, list_transform(lines, lambda l: CAST('0x' || left(md5(l), 8) AS BIGINT)) AS h FROM lines
+    ), ended AS (
+        SELECT *, list_filter(range(1, len(h) + 1), lambda i: i = len(h) OR
+            ((CASE WHEN i > 1 THEN h[i - 1] ELSE 0 END % 2147483648) * 31 + h[i]) % 2147483648 % 4 = 0) AS ends
+        FROM hashed
+    ), spans AS (
+        SELECT doc_id, lines, ends, unnest(range(1, len(ends) + 1)) AS j FROM ended
+    ), chunks AS (
+        SELECT doc_id, j, CASE WHEN j > 1 THEN ends[j - 1] + 1 ELSE 1 END AS first, ends[j] AS last,
+            lines[(CASE WHEN j > 1 THEN ends[j - 1] + 1 ELSE 1 END):ends[j]] AS part
+        FROM spans
+    ), judged AS (
+        SELECT *, last > first AND regexp_matches(array_to_string(part, chr(10)), '\S')
+            AND row_number() OVER (PARTITION BY array_to_string(part, chr(10)), last > first
+                ORDER BY doc_id, first) > 1 AS gone
+        FROM chunks
+    )
+    SELECT doc_id, CAST(sum(len(part)) AS INTEGER) AS n_lines,
+        CAST(coalesce(sum(len(part)) FILTER (gone), 0) AS INTEGER) AS n_removed,
+        sha256(coalesce(string_agg(array_to_string(part, chr(10)), chr(10) ORDER BY j) FILTER (NOT gone), ''))
+            AS kept_sha256
+    FROM judged GROUP BY doc_id
+"""

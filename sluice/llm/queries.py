@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm.decontaminate import contained_items
+from sluice.llm.line_dedup import deduplicated
 from sluice.llm.packing import pack
 from sluice.llm.scratch import new_path
 from sluice.llm.simhash import simhash_components
@@ -55,10 +57,22 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deduplicated(_table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256)
+    return found.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", kept.alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op6_simhash": op6_simhash,
     "op8_toxicity": op8_toxicity,
+    "op9_decontamination": op9_decontamination,
+    "op10_line_dedup": op10_line_dedup,
 }
