@@ -32,7 +32,7 @@ def _starts(words: Column) -> Column:
 
 
 def shingle_texts(words: Column) -> Column:
-    """Distinct shingles, words joined by one space."""
+    """Distinct shingles, words joined by one space; ``words`` must be a column, being read per shingle."""
     return F.array_distinct(F.transform(_starts(words), lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")))
 
 
@@ -87,8 +87,8 @@ def contained_items(
     candidates = stored(candidates, "candidates")
     holders = small(stored(candidates.select("candidate").distinct(), "candidate-docs"))
     texts = rows.join(holders, F.col("doc_id").eqNullSafe(F.col("candidate")), "left_semi").select(
-        "doc_id", shingle_texts(word_list(F.col("text"))).alias("own")
-    )
+        "doc_id", word_list(F.col("text")).alias("words")
+    ).select("doc_id", shingle_texts(F.col("words")).alias("own"))
     shared = F.size(F.array_intersect("shingles", "own"))
     return (
         candidates.join(small(listed, 20_000), "item_id")
