@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluice.llm.decontaminate import contained_items
 from sluice.llm.line_dedup import deduplicated
 from sluice.llm.packing import pack
+from sluice.llm.prefix_forest import nearest
 from sluice.llm.scratch import new_path
 from sluice.llm.simhash import simhash_components
 from sluice.llm.token_counts import token_counts
@@ -49,6 +50,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 20 == 0, F.lit(False)))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_prefix_forest": op5_prefix_forest,
     "op6_simhash": op6_simhash,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
