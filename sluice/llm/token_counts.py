@@ -20,6 +20,8 @@ from sluice.llm.tokens import count_tokens, worker_cache
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
 #: Part of the tokenizer's digest: raise it when the way of counting changes.
 COUNTING = b"plain-1"
+#: Pieces of text that a Python worker remembers beside the JVM's aggregation.
+PIECES = 200_000
 
 
 def tokenizer_digest(path: str) -> bytes:
@@ -58,7 +60,7 @@ def add_misses(docs: DataFrame, cache_path: str, tokenizer_path: str, text_col:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                counts = count_tokens(worker_cache(tokenizer_path), batch.column(1))
+                counts = count_tokens(worker_cache(tokenizer_path, PIECES), batch.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([version] * len(counts), pa.binary()),
                      pa.array(counts.astype(np.int64))],

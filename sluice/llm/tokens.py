@@ -100,18 +100,18 @@ class PieceCache:
         return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
 
 
-def worker_cache(path: str) -> PieceCache:
+def worker_cache(path: str, most: int = 700_000) -> PieceCache:
     """The cache of this Python worker, which Spark reuses for further tasks.
 
     Functions reach the workers by value, so a global of this module would last for one task.
     """
     kept = sys.modules.setdefault("_sluice_worker", types.ModuleType("_sluice_worker")).__dict__
     if ("pieces", path) not in kept:
-        kept["pieces", path] = PieceCache(PieceEncoder(path))
+        kept["pieces", path] = PieceCache(PieceEncoder(path), most)
     return kept["pieces", path]
 
 
-def slices(texts: pa.Array, most_bytes: int = 4 << 20):
+def slices(texts: pa.Array, most_bytes: int = 2 << 20):
     """Parts of the texts of at most so many bytes, or of one text."""
     total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     a = 0
