@@ -72,3 +72,28 @@ ORACLES["op10_line_dedup"] = r"""
             AS kept_sha256
     FROM judged GROUP BY doc_id
 """
+
+ORACLES["op2_preference"] = r"""
+    WITH last_turn AS (
+        SELECT conv_id, turn, text FROM conversations c WHERE role = 'assistant' AND turn = (
+            SELECT max(turn) FROM conversations d WHERE d.conv_id = c.conv_id AND d.role = 'assistant')
+    ), pairs AS (
+        SELECT a.conv_id, a.turn AS last, b.text AS other, a.text AS own
+        FROM last_turn a JOIN last_turn b ON b.conv_id = a.conv_id + 1
+    ), shown AS (
+        SELECT p.conv_id AS pair_id, c.turn, p.own, p.other, p.last,
+            '<|' || c.role || '|>' || chr(10) || c.text || chr(10) || '<|end|>' || chr(10) AS block
+        FROM pairs p JOIN conversations c ON c.conv_id = p.conv_id AND c.turn <= p.last
+    ), prompts AS (
+        SELECT pair_id, any_value(own) AS own, any_value(other) AS other, any_value(own) = any_value(other) AS same,
+            CAST(count(*) - 1 AS INTEGER) + CASE WHEN any_value(own) = any_value(other) THEN 1 ELSE 0 END AS prompt_turns,
+            coalesce(string_agg(block, '' ORDER BY turn) FILTER (turn < last OR own = other), '') AS prompt
+        FROM shown GROUP BY pair_id
+    )
+    SELECT pair_id, prompt_turns, prompt,
+        CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || own || chr(10) || '<|end|>' || chr(10) END AS chosen,
+        CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || other || chr(10) || '<|end|>' || chr(10) END AS rejected,
+        CASE WHEN same THEN NULL ELSE 14 END AS chosen_start, CASE WHEN same THEN NULL ELSE length(own) + 9 END AS chosen_length,
+        CASE WHEN same THEN NULL ELSE 14 END AS rejected_start, CASE WHEN same THEN NULL ELSE length(other) + 9 END AS rejected_length
+    FROM prompts
+"""

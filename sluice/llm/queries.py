@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluice.llm.decontaminate import contained_items
 from sluice.llm.line_dedup import deduplicated
 from sluice.llm.packing import pack
+from sluice.llm.preference import preference_rows, with_next_answer
 from sluice.llm.prefix_forest import nearest
 from sluice.llm.scratch import new_path
 from sluice.llm.simhash import simhash_components
@@ -35,6 +36,17 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with the next conversation's answer, so one span on each side."""
+    chosen, rejected = with_next_answer(_table(spark, sf_dir, "conversations"))
+    found = preference_rows(chosen, rejected)
+    spans = [
+        F.get(f"{side}_spans", F.lit(0))[part].alias(f"{side}_{part}")
+        for side in ("chosen", "rejected") for part in ("start", "length")
+    ]
+    return found.select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", *spans)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -74,6 +86,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_preference": op2_preference,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_prefix_forest": op5_prefix_forest,
