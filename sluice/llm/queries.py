@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluice.llm.decontaminate import contained_items
 from sluice.llm.line_dedup import deduplicated
 from sluice.llm.packing import pack
+from sluice.llm.phrase_dedup import without_repeats
 from sluice.llm.preference import preference_rows, with_next_answer
 from sluice.llm.prefix_forest import nearest
 from sluice.llm.scratch import new_path
@@ -70,6 +71,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -91,6 +97,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_prefix_forest": op5_prefix_forest,
     "op6_simhash": op6_simhash,
+    "op7_phrase_dedup": op7_phrase_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
