@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from sluice.llm.packing import Packer, pack
+from sluice.llm.token_counts import token_counts
+from sluice.llm.tokens import PieceCache, PieceEncoder, SpaceSplitEncoder, count_tokens
+
+WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+PARTS = ["a", "B", " ", "  ", "\n", "\t", "é", "'s", "don't", "12", ".", "<|endoftext|>", "<|startoftext|>", "\x1c", "\x85", "Σ",
+         "e\u0301", "日本", "İ", "\u180e", "\u200b", "\r\n", "\u3000", "ﬁ", "\u0301", "\x00", "\v", "\ufeff", "🙂", "word", "the "]
+
+
+def texts(count: int) -> list[str]:
+    draw = random.Random(3)
+    return ["".join(draw.choice(PARTS) for _ in range(draw.randrange(14))) for _ in range(count)] + ["ab " * 40_000, "x" * 30_000]
+
+
+def test_ids_and_counts_are_the_librarys():
+    rows = texts(3000)
+    word, byte = Tokenizer.from_file(WORD), Tokenizer.from_file(BYTE)
+    found = list(SpaceSplitEncoder(WORD)(pa.array(rows)))
+    assert [f.tolist() for f in found] == [e.ids for e in word.encode_batch(rows, add_special_tokens=False)]
+    counts = [len(e.ids) for e in byte.encode_batch(rows, add_special_tokens=False)]
+    assert count_tokens(PieceCache(PieceEncoder(BYTE)), pa.array(rows)).tolist() == counts
+    tight = PieceCache(PieceEncoder(BYTE), most=50)
+    assert count_tokens(tight, pa.array(rows)).tolist() == counts and len(tight.known) < 10_000
+
+
+def test_packing_is_a_round_trip(spark):
+    rows = [(i, t, 7, "x") for i, t in enumerate(texts(400))] + [(1000, None, 0, ""), (None, "null id", 0, ""), (5, "again", 0, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int, offset string").repartition(3).cache()
+    pieces = pack(docs, WORD, window=128, max_open=20).collect()
+    encode = Tokenizer.from_file(WORD).encode
+    expected = sorted(np.array([*encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for _, t, *_ in rows)
+    sequences, found = {}, {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+        assert len(p.ids) == 4 * p.length
+        found.setdefault((p.doc_id, p.doc_tokens), []).append((p.start, bytes(p.ids)))
+    texts_found = []
+    for parts in found.values():
+        whole = b"".join(ids for _, ids in sorted(parts))
+        texts_found.append(whole)
+    assert b"".join(sorted(expected)) and sum(map(len, texts_found)) == sum(map(len, expected))
+    single = {d for d, _ in found} - {5, None}
+    for (doc, total), parts in found.items():
+        if doc in single:
+            at = 0
+            for start, ids in sorted(parts):
+                assert start == at
+                at += len(ids) // 4
+            assert at == total and b"".join(i for _, i in sorted(parts)) in expected
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at == 128 or at & (at - 1) == 0
+
+
+def test_levels_follow_the_sum_of_squares():
+    packer = Packer(16, 100, 0)
+    for size in (10, 10, 6):  # joins one of two windows at 10 and fills it
+        packer.add(1, np.zeros(size, np.uint32))
+    assert packer.levels.tolist() == [0] * 10 + [1] + [0] * 6
+    for size in (3, 4):
+        level, before = packer.best_level(size), (packer.levels[1:16] ** 2).sum()
+        costs = {}
+        for h in [0, *np.flatnonzero(packer.levels[:16 - size + 1])]:
+            after = packer.levels.copy()
+            after[h] -= h > 0
+            after[h + size] += h + size < 16
+            costs[int(h)] = (after[1:16] ** 2).sum() - before
+        assert costs[level] == min(costs.values())
+        packer.add(1, np.zeros(size, np.uint32))
+
+
+def test_nothing_to_pack_or_count(spark, root):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert pack(none, WORD).collect() == []
+    assert token_counts(none, f"{root}/none", BYTE).collect() == []
+
+
+def test_cache_encodes_only_distinct_misses(spark, root):
+    rows = [(i, t) for i, t in enumerate(["one two", "one two", None, "", "three", "x" * 5000, "one two"])] + [(None, "three")]
+    docs = spark.createDataFrame([(*r, "c", "d") for r in rows], "doc_id long, text string, content string, n_tokens string")
+    encode = Tokenizer.from_file(BYTE).encode
+    expected = [(i, len((t or "").encode()), len(encode(t or "").ids), len(encode(t or "").ids) > 3) for i, t in rows]
+    for _ in range(2):
+        found = token_counts(docs, f"{root}/cache", BYTE, limit=3)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+        assert spark.read.parquet(f"{root}/cache").count() == 4
+    token_counts(docs.where("doc_id < 2").withColumn("text", F.lit("new")), f"{root}/cache", BYTE)
+    assert spark.read.parquet(f"{root}/cache").count() == 5
+    wrong = spark.read.parquet(f"{root}/cache").withColumn("n_tokens", F.lit(99).cast("long"))
+    wrong.write.parquet(f"{root}/known")
+    assert {r.n_tokens for r in token_counts(docs, f"{root}/known", BYTE).collect()} == {99}
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_special_strings_stay_single_ids(path):
+    encoder = PieceEncoder(path)
+    pieces = ["a<|endoftext|>b", "", "plain", "<|endoftext|>", "plain"]
+    ids, starts = encoder.encode_pieces(pieces)
+    for i, p in enumerate(pieces):
+        assert ids[starts[i]:starts[i + 1]].tolist() == encoder.encode(p).tolist()
