@@ -42,11 +42,11 @@ def shingle_keys(hashes: Column) -> Column:
 
 
 def item_sketches(items: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(item_id, n, needed, shingles) of all items with a shingle, and (key, item_id, hits) of their sketches."""
+    """(item, n, needed, shingles) of all items with a shingle, and (key, item, hits) of their sketches."""
     per_cent = math.ceil(threshold * 100)
     listed = (
-        items.select("item_id", word_list(F.col("text")).alias("words"))
-        .select("item_id", shingle_texts(F.col("words")).alias("shingles"))
+        items.select(F.struct("item_id", F.xxhash64("text").alias("copy")).alias("item"), word_list(F.col("text")).alias("words"))
+        .select("item", shingle_texts(F.col("words")).alias("shingles"))
         .withColumn("n", F.size("shingles")).where("n > 0")
         .withColumn("needed", F.ceil(F.col("n") * per_cent / 100).cast("int"))
         # One entry more must occur for each eight shingles of the partition's smallest item.
@@ -57,7 +57,7 @@ def item_sketches(items: DataFrame, threshold: float) -> tuple[DataFrame, DataFr
         F.array_sort(F.transform("shingles", key)), F.lit(1),
         F.least(F.col("n"), F.col("n") - F.col("needed") + F.col("hits")),
     )
-    sketches = listed.select("item_id", "hits", F.explode(F.array_distinct(sketch)).alias("key"))
+    sketches = listed.select("item", "hits", F.explode(F.array_distinct(sketch)).alias("key"))
     return listed, sketches
 
 
@@ -80,9 +80,9 @@ def contained_items(
     )
     candidates = (
         keys.join(small(sketches), "key")
-        .groupBy("doc_id", "item_id", "key").agg(F.min("hits").alias("hits"))
-        .groupBy("doc_id", "item_id").agg(F.count("*").alias("found"), F.min("hits").alias("hits"))
-        .where("found >= hits").select(F.col("doc_id").alias("candidate"), "item_id")
+        .groupBy("doc_id", "item", "key").agg(F.min("hits").alias("hits"))
+        .groupBy("doc_id", "item").agg(F.count("*").alias("found"), F.min("hits").alias("hits"))
+        .where("found >= hits").select(F.col("doc_id").alias("candidate"), "item")
     )
     candidates = stored(candidates, "candidates")
     holders = small(stored(candidates.select("candidate").distinct(), "candidate-docs"))
@@ -91,9 +91,9 @@ def contained_items(
     ).select("doc_id", shingle_texts(F.col("words")).alias("own"))
     shared = F.size(F.array_intersect("shingles", "own"))
     return (
-        candidates.join(small(listed, 20_000), "item_id")
+        candidates.join(small(listed, 20_000), "item")
         .join(texts, F.col("doc_id").eqNullSafe(F.col("candidate")))
-        .select("doc_id", "item_id", F.col("n").alias("n_shingles"), shared.alias("n_shared"), "needed")
+        .select("doc_id", F.col("item.item_id").alias("item_id"), F.col("n").alias("n_shingles"), shared.alias("n_shared"), "needed")
         .where("n_shared >= needed")
         .select("doc_id", "item_id", "n_shingles", "n_shared", (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
     )

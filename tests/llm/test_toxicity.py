@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from sluice.llm.toxicity import (
+    INSULT, NEGATION, OTHER, REPORT, TARGET, THREAT, Lexicon, drop_toxic, features, fit, grammar, held_out, judged,
+)
+
+SCHEMA = "doc_id long, text string, score string, held_out string"
+
+
+def marks(*classes: int) -> list[int]:
+    state, out, machine = 0, [], grammar()
+    for c in classes:
+        state, symbol = machine.table[state][c]
+        out.append(symbol)
+    return out
+
+
+def test_transducers_compose():
+    assert marks(OTHER, INSULT) == [OTHER, 6]
+    assert marks(NEGATION, OTHER, INSULT, OTHER, OTHER, INSULT) == [NEGATION, OTHER, 7, OTHER, OTHER, 6]
+    assert marks(REPORT, INSULT, TARGET, THREAT) == [REPORT, 8, TARGET, 14 + 2 + 4]
+    assert marks(NEGATION, TARGET, REPORT, INSULT) == [NEGATION, TARGET, REPORT, 6 + 1 + 2 + 4]
+
+
+def test_clauses_and_beginnings():
+    lexicon, memo = Lexicon({"lowe*": 4.0, "zork": 3.0}), {}
+    plain = features("You loweian! Nothing. ZORK", lexicon, grammar(), memo)
+    assert plain[4] > 0 and plain[0] > 0  # one with a target, one without
+    assert not features("nothing here.", lexicon, grammar(), memo)[:16].any()
+    assert not features("", lexicon, grammar(), memo).any()
+
+
+def sample(count: int, seed: int) -> tuple[list, list]:
+    draw = random.Random(seed)
+    words = [f"{a}{b}" for a in ("the", "of", "and", "ing", "er") for b in "abcdefghij"]
+    docs, labels = [], []
+    for i in range(count):
+        toxic = i % 5 == 0
+        text = [draw.choice(words) for _ in range(draw.randrange(20, 80))]
+        if toxic:
+            for _ in range(3):
+                text.insert(draw.randrange(len(text)), draw.choice(["idiot", "grumpfa", "grumpfel", "grumpfo"]))
+        docs.append((i, ". ".join([" ".join(text[:15]), " ".join(text[15:])]), "s", "h"))
+        if i % 2 == 0 or i % 3 == 0:
+            labels.append((i, 1, int(toxic)))
+    return docs, labels
+
+
+def test_held_out_accuracy_and_edges(spark):
+    docs, labels = sample(1500, 4)
+    docs += [(5000, None, "s", "h"), (5001, "", "s", "h"), (None, "the of", "s", "h"), (7, docs[7][1], "s", "h"), (5002, "idiot " * 30_000, "s", "h")]
+    labels += [(None, 1, 1), (3, None, None), (5000, 1, 1)]
+    d, tags = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = judged(d, tags).collect()
+    assert len(found) == len(docs)
+    known = {i: t for i, _, t in labels if t is not None and i is not None and i != 5000}
+    for r in found:
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+    held = [(r.predicted, known[r.doc_id]) for r in found if r.held_out and r.doc_id in known]
+    assert len(held) > 100 and np.mean([p == t for p, t in held]) > 0.97
+    left = drop_toxic(d, tags)
+    assert left.columns == d.columns
+    assert left.count() == sum(r.predicted == 0 for r in found)
+
+
+def test_held_out_labels_are_never_read(spark):
+    docs, labels = sample(600, 9)
+    d = spark.createDataFrame(docs, SCHEMA)
+    flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]
+    a, b = (fit(d, spark.createDataFrame(x, "doc_id long, quality int, toxic int")) for x in (labels, flipped))
+    assert a.lexicon.weights == b.lexicon.weights and np.array_equal(a.weights, b.weights) and a.bias == b.bias
+
+
+def test_without_labels_or_documents(spark):
+    none, no_tags = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert judged(none, no_tags).collect() == []
+    one = spark.createDataFrame([(1, "text", "s", "h"), (2, None, "s", "h")], SCHEMA)
+    assert [r.score for r in judged(one, no_tags).collect()] == [0.5, 0.5]
+    assert spark.range(1).select(held_out(F.col("id"))).first()[0] == (zlib.crc32(b"0") % 5 == 0)
