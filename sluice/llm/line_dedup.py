@@ -82,6 +82,8 @@ def deduplicated(
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "span")
     # Grouping by the text compares bytes; copies meet map-side.
     first = again.groupBy("digest", "chunk").agg(F.min(place).alias("first"))
+    # Stored, so that the join has plain exchanges on both sides and a common chunk's side is split.
+    first = stored(first, "line-first")
     removed = (
         again.alias("a").join(first.alias("f"), ["digest", "chunk"])
         .where((F.col("a.row") != F.col("first.row")) | (F.col("a.span") != F.col("first.span")))
