@@ -1,8 +1,10 @@
-"""``python -m sluice streams|tables settings.json``, or the same through spark-submit.
+"""``python -m sluice streams|tables|compact settings.json``, or the same through spark-submit.
 
 The settings name the ``registry`` and ``schemas`` tables (paths, with an
 optional ``table_format``), the ``config`` (fields of IngestConfig), and for
-tables an optional ``catalog`` and the ``sides`` to create. Master, storage
+tables an optional ``catalog`` and the ``sides`` to create, and ``schema_source``: ``streams``
+takes the columns from the schemas table. ``compact`` needs only ``compact``, a list of
+the arguments of :func:`sluice.streaming.sink.compact`. Master, storage
 credentials, catalogs and extensions are session configuration.
 """
 
@@ -18,9 +20,14 @@ from pyspark.sql import SparkSession
 from sluice.config import IngestConfig
 from sluice.plans.programs import provision_tables, run_streams
 from sluice.sources.registry import read_registry, read_schemas
+from sluice.streaming.sink import compact
 
 
 def run(program: str, settings: dict, spark: SparkSession):
+    if program == "compact":
+        for arguments in settings["compact"]:
+            compact(spark, **arguments)
+        return None
     config = IngestConfig(**settings["config"])
     table_format = settings.get("table_format", "parquet")
     registry = read_registry(spark, settings["registry"], table_format)
@@ -28,12 +35,14 @@ def run(program: str, settings: dict, spark: SparkSession):
         schemas = read_schemas(spark, settings["schemas"], table_format)
         return run_streams(spark, registry, schemas, config)
     sides = settings.get("sides", ["NonTxn"])
-    return provision_tables(spark, registry, config, settings.get("catalog"), sides)
+    shared = settings.get("schema_source") == "streams"
+    schemas = read_schemas(spark, settings["schemas"], table_format) if shared else None
+    return provision_tables(spark, registry, config, settings.get("catalog"), sides, schemas=schemas)
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="sluice")
-    parser.add_argument("program", choices=["streams", "tables"])
+    parser.add_argument("program", choices=["streams", "tables", "compact"])
     parser.add_argument("settings", type=Path)
     arguments = parser.parse_args()
     logging.basicConfig(level=logging.INFO)

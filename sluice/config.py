@@ -18,7 +18,9 @@ class IngestConfig:
     event are added by :func:`sluice.sources.stream.source_options` and win.
     ``txn_path`` / ``non_txn_path`` override ``output_path`` for one kind of
     event; streams and tables both resolve their directory through
-    :meth:`base_path`, so a table always points at its stream's output.
+    :meth:`base_path` with the flag of ``event_flag``, so a table always points
+    at its stream's output. ``target_bytes`` is the file size that
+    ``optimize_write`` aims at (for Delta the platform chooses it).
     """
 
     output_path: str
@@ -33,6 +35,7 @@ class IngestConfig:
     compression: str | None = None
     merge_schema: bool = True
     optimize_write: bool = False
+    target_bytes: int | None = None
     auto_compact: bool = False
     processing_time: str = "2 minutes"
     available_now: bool = False

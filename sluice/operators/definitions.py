@@ -7,7 +7,22 @@ from pyspark.sql import functions as F
 
 from sluice.functions.avro_types import avro_columns
 from sluice.operators.latest import last_per_key
-from sluice.operators.registry import tableable, with_partitions
+from sluice.operators.registry import (
+    event_flag,
+    tableable,
+    with_partitions,
+    with_stream_schema,
+    with_topics,
+)
+
+
+def with_newest_schemas(registry: DataFrame, schemas: DataFrame) -> DataFrame:
+    """The registry with the schema its streams decode with in place of ``complete_schema``."""
+    events = with_topics(registry.select("ordinal", "event_key", "topic_list"))
+    newest = with_stream_schema(
+        events.select(F.col("ordinal").alias("event_key"), "topics"), schemas
+    ).select(F.col("event_key").alias("ordinal"), F.col("schema").alias("complete_schema"))
+    return registry.drop("complete_schema").join(newest, "ordinal").select(*registry.columns)
 
 
 def described(registry: DataFrame) -> DataFrame:
@@ -21,13 +36,23 @@ def described(registry: DataFrame) -> DataFrame:
 
 def rejects(registry: DataFrame) -> DataFrame:
     """Entries whose schema is unusable. They take no other entry with them."""
-    return described(registry).where("error IS NOT NULL").select("ordinal", "event_key", "error")
+    return rejected(described(registry))
+
+
+def rejected(entries: DataFrame) -> DataFrame:
+    return entries.where("error IS NOT NULL").select("ordinal", "event_key", "error")
 
 
 def table_definitions(registry: DataFrame) -> DataFrame:
-    """One definition per event: its last entry with a usable schema."""
-    usable = described(registry).where("error IS NULL").drop("error")
-    return with_partitions(last_per_key(usable)).drop("stream_partitions")
+    """One definition per event: its last entry with a usable schema, and the event's flag."""
+    return defined(described(registry), event_flag(registry))
+
+
+def defined(entries: DataFrame, flags: DataFrame) -> DataFrame:
+    """The definitions among described entries. Both sides are laid out by key: the join is local."""
+    usable = last_per_key(entries.where("error IS NULL").drop("error", "is_transactional"))
+    names = ("ordinal", "event_key", "is_transactional", "partition_columns", "columns")
+    return with_partitions(usable.join(flags, "event_key").select(*names)).drop("stream_partitions")
 
 
 def column_list(definitions: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.avro.functions import from_avro
 
-from sluice.functions.avro_body import decode_avro
 from sluice.functions.avro_types import DATE_PARTS, record_type
 
 # Decode error policies, as in from_avro.
@@ -18,6 +17,7 @@ _NUMBER = (
     r"\A[\x00-\x20\x7F]*(?<sign>[+-]?)(?=[\d.])(?<whole>\d*)(?:\.\d*)?[\x00-\x20\x7F]*\z"
 )
 _CORRUPT = "_corrupt_record"
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
 def strip_header(records: DataFrame, value: str = "value") -> DataFrame:
@@ -31,9 +31,8 @@ def decode_body(
     """Decode ``body`` with an Avro schema into the struct column ``output``.
 
     PERMISSIVE turns an undecodable body into an all-null record, FAILFAST
-    fails the task. The codec ``avro`` uses Spark's ``from_avro`` where the
-    module is loaded and Arrow batches elsewhere; ``json`` bodies use
-    ``from_json`` with the same schema.
+    fails the task. The codec ``avro`` uses Spark's ``from_avro`` and needs its
+    module; ``json`` bodies use ``from_json`` with the same schema.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is none of {MODES}")
@@ -41,11 +40,8 @@ def decode_body(
         return _decode_json(bodies, record_type(schema), mode)
     if codec != "avro":
         raise ValueError(f"codec {codec!r} is neither 'avro' nor 'json'")
-    if has_native_avro(bodies.sparkSession):
-        output = from_avro(F.col("body"), schema, {"mode": mode})
-    else:
-        output = decode_avro(F.col("body"), schema, mode)
-    return bodies.select(output.alias("output"))
+    require_codec(bodies.sparkSession, codec)
+    return bodies.select(from_avro(F.col("body"), schema, {"mode": mode}).alias("output"))
 
 
 def _decode_json(bodies: DataFrame, decoded: T.StructType, mode: str) -> DataFrame:
@@ -70,6 +66,15 @@ def has_native_avro(spark: SparkSession) -> bool:
     return True
 
 
+def require_codec(spark: SparkSession, codec: str) -> None:
+    """Refuse the codec ``avro`` in a session without Spark's module for it."""
+    if codec == "avro" and not has_native_avro(spark):
+        raise RuntimeError(
+            "codec 'avro' needs Spark's module spark-avro on the class path "
+            "(--packages org.apache.spark:spark-avro_2.13:<version of Spark>)"
+        )
+
+
 def flatten(decoded: DataFrame) -> DataFrame:
     return decoded.select("output.*")
 
@@ -77,9 +82,13 @@ def flatten(decoded: DataFrame) -> DataFrame:
 def date_part(value: Column, kind: T.DataType) -> Column:
     """A date part as an int; text that is no number becomes null, a fraction is cut off.
 
+    Types that have no cast to a number (a date, bytes) give null, as the lenient cast does.
+
     A failing ``try_cast`` costs an exception per row, about fifty times the
     rest of the row's work, so only text that looks like a number is cast.
     """
+    if isinstance(kind, (T.DateType, T.BinaryType)):
+        return F.lit(None).cast("int")
     if not isinstance(kind, T.StringType):
         return value.try_cast("int")
     whole = F.regexp_replace(value, _NUMBER, "${sign}0${whole}")
@@ -88,9 +97,15 @@ def date_part(value: Column, kind: T.DataType) -> Column:
 
 
 def cast_date_parts(rows: DataFrame) -> DataFrame:
-    """Cast the date-part columns that exist to int, all others stay as they are."""
-    kinds = {field.name: field.dataType for field in rows.schema}
-    parts = {name: date_part(F.col(name), kinds[name]) for name in DATE_PARTS if name in kinds}
+    """Cast the date-part columns that exist to int, all others stay as they are.
+
+    Names match without regard to case and keep theirs; nested columns of such a name stay.
+    """
+    wanted = {name.lower() for name in DATE_PARTS}
+    parts = {
+        field.name: date_part(F.col(field.name), field.dataType) for field in rows.schema
+        if field.name.lower() in wanted and not isinstance(field.dataType, _NESTED)
+    }
     return rows.withColumns(parts) if parts else rows
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.text import list_items, subject_of, trim_blanks, unbracket
+from sluice.operators.latest import last_per_key
 from sluice.sources.registry import latest_schemas
 
 # The bucket names, in the order in which they start.
@@ -99,26 +100,46 @@ def with_partitions(registry: DataFrame) -> DataFrame:
     ).withColumn("table_partitions", F.when(F.size(items) > 0, items))
 
 
+def event_flag(registry: DataFrame) -> DataFrame:
+    """event_key, is_transactional: the flag that both the stream and the table of an event follow.
+
+    It is that of the event's newest complete entry for a table. An event without such an
+    entry has no flag and no table.
+    """
+    complete = tableable(registry)
+    return complete.groupBy("event_key").agg(
+        F.max_by("is_transactional", "ordinal").alias("is_transactional")
+    )
+
+
 def events_to_stream(registry: DataFrame, require_partitions: bool = True) -> DataFrame:
-    """Distinct events of the known buckets with their topics, partitions and flag."""
-    wanted = bucketed(streamable(registry, require_partitions))
-    events = wanted.groupBy(*IDENTITY).agg(F.max("is_transactional").alias("is_transactional"))
-    return with_partitions(with_topics(events))
+    """The newest entry of every event of the known buckets, with topics, partitions and flag.
+
+    A key has one directory and one checkpoint, so one of its entries streams: the one with the
+    highest ordinal, as for its table.
+    """
+    wanted = bucketed(streamable(registry, require_partitions)).select("ordinal", *IDENTITY)
+    events = last_per_key(wanted).join(event_flag(registry), "event_key", "left")
+    return with_partitions(with_topics(events.select("ordinal", *IDENTITY, "is_transactional")))
 
 
 def with_stream_schema(events: DataFrame, schemas: DataFrame) -> DataFrame:
     """Adds ``schema``, the newest one of the event's topics, or null.
 
-    The subject of every topic of a list is looked up. ``schema`` is that of
-    the first topic, and null unless all topics of the event share it.
+    The text is that of the first topic. Only events with several topics are taken apart, to
+    see by 128-bit digests that all their subjects have that schema; if not, it is null.
     """
-    identity = events.columns
-    topics = events.select("*", F.posexplode(F.split("topics", ",")).alias("n", "topic"))
-    topics = topics.withColumn("subject", subject_of(trim_blanks(F.col("topic"))))
-    found = topics.join(latest_schemas(schemas), "subject", "left").groupBy(*identity).agg(
-        F.min_by("schema", "n").alias("first"),
-        (F.min("schema") == F.max("schema")).alias("same"),
-        (F.count("schema") == F.count("n")).alias("known"),
+    newest = latest_schemas(schemas).select("subject", "schema")
+    digests = newest.select(
+        "subject", F.xxhash64("schema").alias("d1"), F.xxhash64(F.lit("second"), "schema").alias("d2")
+    )
+    topics = F.split("topics", ",")
+    parts = events.where(F.size(topics) > 1).select("event_key", F.explode(topics).alias("topic"))
+    parts = parts.withColumn("subject", subject_of(trim_blanks(F.col("topic"))))
+    agreed = parts.join(digests, "subject", "left").groupBy("event_key").agg(
+        ((F.min("d1") == F.max("d1")) & (F.min("d2") == F.max("d2")) & (F.count("d1") == F.count("*"))).alias("agreed")
     )
-    agreed = F.when(F.col("same") & F.col("known"), F.col("first"))
-    return found.select(*identity, agreed.alias("schema"))
+    first = events.withColumn("subject", subject_of(trim_blanks(F.get(topics, F.lit(0)))))
+    found = first.join(newest, "subject", "left").join(agreed, "event_key", "left")
+    schema = F.when((F.size(topics) == 1) | F.col("agreed"), F.col("schema"))
+    return found.select(*events.columns, schema.alias("schema"))

@@ -8,8 +8,15 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.config import IngestConfig
-from sluice.operators.definitions import definition_counts, rejects, table_definitions
-from sluice.plans.tables import NAMESPACES, create_statements, create_tables, outcome_counts
+from sluice.operators.definitions import (
+    defined,
+    definition_counts,
+    described,
+    rejected,
+    with_newest_schemas,
+)
+from sluice.operators.registry import event_flag
+from sluice.plans.tables import NAMESPACES, THREADS, create_statements, create_tables, outcome_counts
 from sluice.streaming.fanout import Started, await_all, start_all
 
 LOG = logging.getLogger(__name__)
@@ -33,17 +40,26 @@ def provision_tables(
     catalog: str | None = None,
     sides: Iterable[str] = ("NonTxn",),
     namespaces: Mapping[bool, str] = NAMESPACES,
+    schemas: DataFrame | None = None,
+    threads: int = THREADS,
 ) -> DataFrame:
-    """Create the tables of the given sides and return the outcome of each."""
-    definitions = table_definitions(registry).persist()
+    """Create the tables of the given sides and return the outcome of each.
+
+    With ``schemas`` a table's columns come from the schema that its stream decodes with,
+    without from the registry's own copy. Every schema is parsed once.
+    """
+    if schemas is not None:
+        registry = with_newest_schemas(registry, schemas)
+    entries = described(registry).persist()
     try:
+        definitions = defined(entries, event_flag(registry))
         for row in definition_counts(definitions).collect():  # at most one row per side
             LOG.info("%s events: %d", namespaces[row.is_transactional], row.definitions)
-        LOG.info("entries without a usable schema: %d", rejects(registry).count())
+        LOG.info("entries without a usable schema: %d", rejected(entries).count())
         statements = create_statements(definitions, config, catalog, namespaces)
-        outcomes = create_tables(spark, statements, sides)
+        outcomes = create_tables(spark, statements, sides, threads)
     finally:
-        definitions.unpersist()
+        entries.unpersist()
     for row in outcome_counts(outcomes).collect():  # at most three rows per side
         LOG.info("%s tables, %s: %d", namespaces[row.is_transactional], row.status, row.tables)
     return outcomes

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+from collections import deque
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from sluice.functions.text import quote_literal, quote_name
 LOG = logging.getLogger(__name__)
 # The schema that holds the tables of each side.
 NAMESPACES = {True: "Txn", False: "NonTxn"}
+# Statements in flight; each waits for the catalog and hardly for the driver.
+THREADS = 16
 OUTCOME_SCHEMA = "event_key string, is_transactional boolean, status string, message string"
 
 
@@ -55,21 +59,34 @@ def _table_name(key: Column, namespace: Column, catalog: str | None) -> Column:
 
 
 def create_tables(
-    spark: SparkSession, statements: DataFrame, sides: Iterable[str] = ("NonTxn",)
+    spark: SparkSession,
+    statements: DataFrame,
+    sides: Iterable[str] = ("NonTxn",),
+    threads: int = THREADS,
 ) -> DataFrame:
     """Run the statements of the given namespaces; one row per event tells the outcome.
 
     ``success``, ``failure`` (the statement was refused) or ``error`` (anything
-    else). No event keeps another from being tried. DDL runs on the driver, so
-    statements come one partition at a time and are never held together; the
-    rebalance makes these few and of limited size.
+    else). No event keeps another from being tried. DDL runs on the driver, by up to
+    ``threads`` at once, so a slow statement does not hold up the others. Statements come
+    one partition at a time and are never held together; the rebalance makes these few
+    and of limited size. A message is short: the error's class and condition.
     """
     wanted = statements.where(F.col("namespace").isin(*sides))
     wanted = wanted.select("event_key", "is_transactional", "statement").hint("rebalance")
-    outcomes = []
-    for row in wanted.toLocalIterator():
-        status, message = _run(spark, row.event_key, row.statement)
-        outcomes.append((row.event_key, row.is_transactional, status, message))
+    outcomes, running = [], deque()
+
+    def settle() -> None:
+        row, run = running.popleft()
+        outcomes.append((row.event_key, row.is_transactional, *run.result()))
+
+    with ThreadPoolExecutor(threads) as pool:
+        for row in wanted.toLocalIterator():
+            running.append((row, pool.submit(_run, spark, row.event_key, row.statement)))
+            while running and (running[0][1].done() or len(running) > 8 * threads):
+                settle()
+        while running:
+            settle()
     return spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
 
 
@@ -78,12 +95,18 @@ def _run(spark: SparkSession, event_key: str, statement: str) -> tuple[str, str
         spark.sql(statement)
     except (AnalysisException, ParseException) as e:
         LOG.warning("table of %s refused: %s", event_key, e)
-        return "failure", str(e)
+        return "failure", brief(e)
     except Exception as e:  # one event must not stop the others
         LOG.error("table of %s: %s: %s", event_key, type(e).__name__, e)
-        return "error", str(e)
+        return "error", brief(e)
     return "success", None
 
 
+def brief(error: Exception) -> str:
+    """The class of an error and its condition, or the start of its text."""
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    return f"{type(error).__name__}: {condition or str(error)[:200]}"
+
+
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("is_transactional", "status").agg(F.count("*").alias("tables"))

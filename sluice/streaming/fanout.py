@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.config import IngestConfig
-from sluice.operators.records import to_rows
+from sluice.operators.records import require_codec, to_rows
 from sluice.operators.registry import events_to_stream, priority_order, with_stream_schema
+from sluice.plans.tables import brief
 from sluice.sources.stream import read_records
-from sluice.streaming.sink import start_event
+from sluice.streaming.sink import require_switches, start_event
 
 LOG = logging.getLogger(__name__)
 
@@ -45,24 +46,18 @@ def start_all(
 ) -> list[Started]:
     """Start the queries, first bucket first. An event that fails is reported and skipped.
 
-    A key has one directory and one checkpoint, so its first entry in starting
-    order gets the query and any other is reported as taken. Every query runs in the scheduler pool of its bucket, so a FAIR scheduler
-    can weigh the buckets.
+    Each key starts its newest entry. Every query runs in the scheduler pool of its bucket,
+    so a FAIR scheduler can weigh the buckets. Settings that no event could run with (a
+    codec without its module, a switch the sink or session lacks) are refused at once.
     """
-    started, taken = [], set()
+    require_codec(spark, config.codec)
+    require_switches(spark, config)
+    started = []
     pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
     try:
         for event in stream_plan(registry, schemas).toLocalIterator():
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", event.bucket_id)
-            if event.event_key in taken:
-                error = "the event key is taken by an earlier entry"
-                started.append(Started(event.event_key, event.bucket_id, error=error))
-                LOG.error("event %s did not start: %s", event.event_key, error)
-                continue
-            outcome = _start(spark, event, config)
-            started.append(outcome)
-            if outcome.query is not None:
-                taken.add(event.event_key)
+            started.append(_start(spark, event, config))
     finally:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
     return started
@@ -78,8 +73,8 @@ def _start(spark: SparkSession, event: Row, config: IngestConfig) -> Started:
             rows, event.event_key, event.stream_partitions, config, event.is_transactional
         )
     except Exception as e:  # one event must not stop the others
-        outcome.error = f"{type(e).__name__}: {e}"
-        LOG.error("event %s did not start: %s", event.event_key, outcome.error)
+        outcome.error = brief(e)
+        LOG.error("event %s did not start: %s: %s", event.event_key, type(e).__name__, e)
     return outcome
 
 
@@ -95,4 +90,4 @@ def await_all(spark: SparkSession, started: Iterable[Started]) -> None:
     for outcome in running:
         failure = outcome.query.exception()
         if failure is not None:
-            outcome.error = f"{type(failure).__name__}: {failure}"
+            outcome.error = brief(failure)

@@ -6,10 +6,13 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sluice.config import IngestConfig
 
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 
 def sink_options(config: IngestConfig) -> dict[str, str]:
     options = {"mergeSchema": _text(config.merge_schema)}
@@ -25,6 +28,22 @@ def _text(flag: bool) -> str:
     return str(flag).lower()
 
 
+def require_switches(spark: SparkSession, config: IngestConfig) -> None:
+    """Refuse switches that this sink or session would ignore without a word."""
+    if config.sink_format == "delta":
+        if config.target_bytes is not None:
+            raise ValueError("target_bytes has no effect on a Delta sink")
+        return
+    if config.auto_compact:
+        raise ValueError(
+            f"auto_compact needs a Delta sink, not {config.sink_format!r}; run compact instead"
+        )
+    if config.target_bytes is not None and not config.optimize_write:
+        raise ValueError("target_bytes needs optimize_write")
+    if config.optimize_write and spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("optimize_write needs spark.sql.adaptive.enabled")
+
+
 def gather_partitions(rows: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Bring the rows of an output partition together before the write.
 
@@ -47,6 +66,7 @@ def event_writer(
     Delta gathers partitions itself if told to; for other formats
     ``optimize_write`` adds the shuffle here, inside the same micro-batch plan.
     """
+    require_switches(rows.sparkSession, config)
     if config.optimize_write and config.sink_format != "delta":
         rows = gather_partitions(rows, partitions)
     writer = (
@@ -71,7 +91,11 @@ def start_event(
     config: IngestConfig,
     is_transactional: bool | None = None,
 ) -> StreamingQuery:
-    return event_writer(rows, event_key, partitions, config, is_transactional).start()
+    """Starts the append. A query keeps the session settings of its start, so the size holds for it."""
+    writer = event_writer(rows, event_key, partitions, config, is_transactional)
+    size = {} if config.target_bytes is None else {ADVISORY_SIZE: str(config.target_bytes)}
+    with session_conf(rows.sparkSession, size):
+        return writer.start()
 
 
 def compact(
@@ -82,23 +106,34 @@ def compact(
     format: str = "parquet",
     target_bytes: int = 256 * 1024 * 1024,
     where: str | None = None,
+    schema: T.StructType | str | None = None,
 ) -> None:
     """Rewrite small files as files of about ``target_bytes`` in a new directory.
 
     The source stays as it is: a streaming sink's log pins its files. ``where``
-    on partition columns limits the work to some directories.
+    on partition columns limits the work to some directories. ``schema`` is that of the rows,
+    partition columns included; without one the schemas of all files are merged, which
+    opens every footer. Partition values that no schema types are text and are carried over
+    unchanged. The target must have the columns and as many rows as were read.
     """
-    rows = spark.read.format(format).load(source)
-    if where:
-        rows = rows.where(where)
-    writer = gather_partitions(rows, partitions).write.format(format).mode("errorifexists")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
     with session_conf(spark, {
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        ADVISORY_SIZE: str(target_bytes),
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     }):
+        reader = spark.read.format(format)
+        reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
+        rows = reader.load(source)
+        if where:
+            rows = rows.where(where)
+        writer = gather_partitions(rows, partitions).write.format(format).mode("errorifexists")
+        if partitions:
+            writer = writer.partitionBy(*partitions)
         writer.save(target)
+        written = spark.read.format(format).schema(rows.schema).load(target)
+        stored = spark.read.format(format).load(target).columns
+        if sorted(stored) != sorted(rows.columns) or written.count() != rows.count():
+            raise RuntimeError(f"{target} does not hold the rows of {source}")
 
 
 @contextmanager

@@ -10,7 +10,7 @@ from sluice.operators import records as rec
 from sluice.operators import registry as reg
 from sluice.operators.latest import last_per_key
 from sluice.sources.registry import read_registry
-from sluice.streaming import sink
+from sluice.streaming import fanout, sink
 from workload import inputs, queries
 from workload.queries import QUERIES
 
@@ -51,8 +51,10 @@ def test_registry_filters_reach_the_scan(stored):
     (reg.bucket_members, 1),
     (reg.transactional_keys, 1),
     (last_per_key, 1),
-    (defs.table_definitions, 1),
-    (lambda r: defs.column_list(defs.table_definitions(r)), 1),
+    (reg.event_flag, 1),
+    (reg.events_to_stream, 2),
+    (defs.table_definitions, 2),
+    (lambda r: defs.column_list(defs.table_definitions(r)), 2),
     (lambda r: reg.priority_order(reg.distinct_events(r)), 2),
 ])
 def test_shuffles(stored, build, count):
@@ -66,17 +68,30 @@ def test_groups_are_combined_before_the_shuffle(stored):
         assert plan.count("HashAggregate") >= 2 and "SortAggregate" not in plan
 
 
+def test_schemas_of_events_are_found_by_hashes(stored, spark, sf_dir):
+    """Exchanges: newest entries and flags by key, newest schemas, lists of topics, the order."""
+    plan = fanout.stream_plan(stored, inputs.schema_versions(spark, sf_dir))
+    assert "SortAggregate" not in plan_of(plan)
+    plan.write.format("noop").mode("overwrite").save()
+    stages = set()
+    rows = plan.collect()
+    final = plan_of(plan).split("Initial Plan")[0]
+    for line in final.splitlines():
+        if " Exchange " in line and "ReusedExchange" not in line:
+            stages.add(line[line.index(" Exchange "):])
+    assert rows and len(stages) <= 5, stages
+
+
 def test_schemas_are_parsed_once(stored):
     plan = plan_of(defs.column_list(defs.table_definitions(stored)))
     assert plan.count("ArrowEvalPython") == 1
 
 
 def test_record_plans_are_narrow_and_read_only_what_bodies_hold(spark, sf_dir):
-    for name in ("proj_strip_header", "proj_decode", "proj_date_parts", "proj_decode_avro"):
+    for name in ("proj_strip_header", "proj_decode", "proj_date_parts"):
         plan = plan_of(QUERIES[name](spark, sf_dir))
         assert "Exchange" not in plan and "props" not in plan
     assert plan_of(QUERIES["proj_date_parts"](spark, sf_dir)).count("from_json") == 1
-    assert plan_of(QUERIES["proj_decode_avro"](spark, sf_dir)).count("decode(") == 1
 
 
 def test_a_topic_filter_reaches_the_scan(spark, sf_dir):

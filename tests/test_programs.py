@@ -45,6 +45,25 @@ def test_streams_then_tables_over_their_output(spark, sf_dir, settings):
         assert spark.catalog.currentDatabase() == before
 
 
+def test_compact_from_settings(spark, sf_dir, settings, root):
+    assert all(s.error is None for s in run("streams", settings, spark) if s.event_key != "view")
+    run("compact", {"compact": [
+        {"source": f"{root}/out/signup", "target": f"{root}/compacted", "partitions": list(queries.DAY)}]}, spark)
+    expected = inputs.events(spark, sf_dir).where("event_type = 'signup'").count()
+    assert spark.read.parquet(f"{root}/compacted").count() == expected
+
+
+def test_tables_can_follow_the_schemas_of_their_streams(spark, settings, root):
+    spark.sql(f"CREATE SCHEMA NonTxn LOCATION '{root}/side'")
+    try:
+        outcomes = run("tables", {**settings, "schema_source": "streams"}, spark)
+        assert {r.event_key: r.status for r in outcomes.collect()} == {
+            "click": "success", "signup": "success", "error": "success"}
+        assert "event_id" in spark.table("NonTxn.error").columns
+    finally:
+        spark.sql("DROP SCHEMA NonTxn CASCADE")
+
+
 def test_the_default_side_is_the_non_transactional_one(spark, settings, root):
     spark.sql(f"CREATE SCHEMA NonTxn LOCATION '{root}/side'")
     try:

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.config import IngestConfig
+from sluice.operators.definitions import table_definitions
+from sluice.plans.tables import create_statements
 from sluice.sources.stream import read_records, source_options
 from sluice.streaming import fanout, sink
 from tests.test_records import HEADER
@@ -96,23 +98,53 @@ def test_one_event_failing_while_running_does_not_stop_the_rest(spark, root):
     errors = {s.event_key: s.error for s in started}
     assert errors["good"] is None and errors["later"] is None
     assert "StreamingQueryException" in errors["bad"]
-    assert "LookupError" in errors["unknown"] and "absent" in errors["parts"]
+    assert "LookupError" in errors["unknown"] and "AnalysisException" in errors["parts"]
     for key, n in (("good", 1), ("later", 3)):
         assert [r.n for r in spark.read.parquet(config.event_path(key)).collect()] == [n]
 
 
-def test_a_key_registered_twice_streams_once(spark, root):
-    config = parquet_config(root, source_options=log(spark, root, ("a", 1, "2024")))
+def test_a_key_registered_twice_streams_its_newest_entry(spark, root):
+    config = parquet_config(root, source_options=log(spark, root, ("a", 1, "2024"), ("b", 2, "2024")),
+                            txn_path=f"{root}/txn", non_txn_path=f"{root}/non")
     events = registry(
-        spark, entry(0, "twice", "[a]", "nonP0Event"), entry(1, "twice", "[a]", "p0Event"),
-        entry(2, "retried", "[none]", "p0Event"), entry(3, "retried", "[a]", "nonP0Event"))
-    started = fanout.start_all(spark, events, subjects(spark, ("a-value", 1, SCHEMA)), config)
+        spark,
+        entry(0, "twice", "[a]", "p0Event", txn=True, schema=SCHEMA),
+        entry(1, "twice", "[b]", "nonP0Event", parts="[dpYear]", txn=False, schema=SCHEMA),
+        entry(2, "once", "[a]", "p0Event", txn=True, schema=SCHEMA),
+        entry(3, "once", "[a]", "other", txn=False, schema=SCHEMA))
+    started = fanout.start_all(spark, events, subjects(spark, ("a-value", 1, SCHEMA), ("b-value", 1, SCHEMA)), config)
     fanout.await_all(spark, started)
-    assert [(s.event_key, s.bucket_id, s.error is None) for s in started] == [
-        ("retried", "p0Event", False), ("twice", "p0Event", True),
-        ("retried", "nonP0Event", True), ("twice", "nonP0Event", False)]
-    assert "taken" in started[-1].error
-    assert spark.read.parquet(config.event_path("twice")).count() == 1
+    assert [(s.event_key, s.bucket_id, s.error) for s in started] == [
+        ("once", "p0Event", None), ("twice", "nonP0Event", None)]
+    located = create_statements(table_definitions(events), config).collect()
+    for row, n in zip(sorted(located, key=lambda r: r.event_key), (1, 2)):
+        assert f"LOCATION '{root}/non/{row.event_key}'" in row.statement
+        assert [r.n for r in spark.read.parquet(f"{root}/non/{row.event_key}").collect()] == [n]
+
+
+def test_topics_agree_on_a_schema_or_there_is_none(spark):
+    other = SCHEMA.replace('"R"', '"S"')
+    known = subjects(spark, ("a-value", 1, SCHEMA), ("b-value", 1, SCHEMA), ("c-value", 1, other), ("a-value", 0, other))
+    lists = {"[a]": SCHEMA, "[a, b]": SCHEMA, "[a,c]": None, "[c]": other, "[a,absent]": None, "[absent]": None, "[a,a , b]": SCHEMA}
+    events = registry(spark, *[entry(i, f"e{i}", topics) for i, topics in enumerate(lists)])
+    plan = fanout.stream_plan(events, known).collect()
+    assert {f"[{r.topics}]": r.schema for r in plan} == lists
+
+
+def test_switches_that_would_do_nothing_are_refused(spark, root):
+    stream = read_records(spark, parquet_config(root, source_options=log(spark, root, ("a", 1, "2024"))), "a")
+    for settings, word in (({"auto_compact": True}, "auto_compact"), ({"target_bytes": 1}, "optimize_write")):
+        config = parquet_config(root, **settings)
+        with pytest.raises(ValueError, match=word):
+            sink.event_writer(stream, "e", (), config)
+        with pytest.raises(ValueError, match=word):
+            fanout.start_all(spark, registry(spark), subjects(spark), config)
+    with sink.session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        with pytest.raises(ValueError, match="adaptive"):
+            sink.event_writer(stream, "e", (), parquet_config(root, optimize_write=True))
+    with pytest.raises(ValueError, match="Delta"):
+        sink.require_switches(spark, IngestConfig(root, root, target_bytes=1, optimize_write=True))
+    sink.require_switches(spark, IngestConfig(root, root, auto_compact=True))
 
 
 def test_optimized_write_survives_a_restart(spark, root):
@@ -143,9 +175,8 @@ def test_optimized_write_splits_a_hot_partition(spark, root):
         F.when(F.col("id") % 100 < 97, 1).otherwise((F.col("id") % 100).cast("int")).alias("dpDay"))
     rows.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
-    config = parquet_config(root, optimize_write=True)
-    with sink.session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m"}):
-        sink.start_event(stream, "e", ("dpDay",), config).awaitTermination()
+    config = parquet_config(root, optimize_write=True, target_bytes=4 << 20)
+    sink.start_event(stream, "e", ("dpDay",), config).awaitTermination()
     files = spark.read.parquet(config.event_path("e")).groupBy("dpDay").agg(
         F.count_distinct(F.col("_metadata.file_path")).alias("files"), F.count("*").alias("rows"))
     found = {r.dpDay: (r.files, r.rows) for r in files.collect()}
@@ -168,6 +199,19 @@ def test_compact_keeps_rows_and_refuses_an_existing_target(spark, root):
     assert spark.read.parquet(f"{root}/one").select("day").distinct().collect()[0].day == 1
 
 
+def test_compact_keeps_late_columns_and_partition_text(spark, root):
+    for text, columns in (("007", "id"), ("1e3", "id, id * 2 AS late"), ("08", "id"), (None, "id, id * 2 AS late")):
+        rows = spark.range(20).selectExpr(*columns.split(", ")).withColumn("part", F.lit(text).cast("string"))
+        rows.write.mode("append").partitionBy("part").parquet(f"{root}/small")
+    sink.compact(spark, f"{root}/small", f"{root}/large", ["part"])
+    with sink.session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
+        large = spark.read.parquet(f"{root}/large")
+        assert {r.part for r in large.select("part").distinct().collect()} == {"007", "1e3", "08", None}
+        assert large.count() == 80 and large.where("late = id * 2").count() == 40
+    sink.compact(spark, f"{root}/small", f"{root}/typed", ["part"], schema="id long, late long, part string")
+    assert spark.read.schema("id long, late long, part string").parquet(f"{root}/typed").where("late IS NOT NULL").count() == 40
+
+
 def test_compact_without_partitions(spark, root):
     spark.range(0, 1000, 1, 8).write.parquet(f"{root}/small")
     sink.compact(spark, f"{root}/small", f"{root}/large")

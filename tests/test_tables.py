@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import threading
+
 import pytest
 
 from sluice.config import IngestConfig
@@ -132,3 +134,23 @@ def test_an_unexpected_error_is_counted_and_stops_nothing(spark, root, monkeypat
 
     outcomes = create_tables(Broken(), statements)
     assert {r.event_key: r.status for r in outcomes.collect()} == {"a": "error", "b": "success"}
+
+
+def test_a_slow_statement_does_not_hold_up_the_others(spark):
+    given = definitions(spark, *[entry(0, f"e{i}", txn=False, schema=GOOD) for i in range(6)])
+    waiting, rest = threading.Event(), []
+
+    class Slow:
+        createDataFrame = spark.createDataFrame
+
+        def sql(self, text):
+            if "`e0`" in text:
+                assert waiting.wait(60)
+                raise ValueError("x" * 5000)
+            rest.append(text)
+            if len(rest) == 5:
+                waiting.set()
+
+    outcomes = {r.event_key: (r.status, r.message) for r in create_tables(Slow(), create_statements(given, CONFIG), threads=2).collect()}
+    assert len(outcomes) == 6 and outcomes["e0"][0] == "error" and len(outcomes["e0"][1]) < 300
+    assert all(outcomes[f"e{i}"] == ("success", None) for i in range(1, 6))

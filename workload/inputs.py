@@ -10,12 +10,8 @@ import json
 import tempfile
 import uuid
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.config import IngestConfig
 
@@ -98,7 +94,8 @@ REGISTRY_COLUMNS = {
     "ordinal": "event_id",
     "event_key": "concat(event_type, '_', CAST(user_id AS STRING))",
     "topic_list": """CASE event_id % 5 WHEN 0 THEN concat(' [', event_type, ']') WHEN 1 THEN event_type
-        WHEN 2 THEN concat('[', event_type, ',audit]') ELSE concat('[', event_type, ']') END""",
+        WHEN 2 THEN concat('[', event_type, CASE event_id % 3 WHEN 0 THEN ',audit]'
+            WHEN 1 THEN concat(', ', event_type, ' ]') ELSE ',click]' END) ELSE concat('[', event_type, ']') END""",
     "bucket_id": """CASE event_id % 4 WHEN 0 THEN 'p0Event' WHEN 1 THEN 'nonP0Event'
         WHEN 2 THEN 'other' END""",
     "partition_columns": """CASE event_id % 7 WHEN 0 THEN '[dpYear, dpMonth, dpDay]'
@@ -166,6 +163,21 @@ def schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).selectExpr(*select_list(SCHEMA_COLUMNS))
 
 
+# Every events row has a type in Spark's JSON form, some of them undeclared or no type at all.
+TYPE_COLUMNS = {
+    "event_id": "event_id",
+    "type_json": """CASE event_id % 6 WHEN 0 THEN '"integer"'
+        WHEN 1 THEN '{"type":"array","elementType":"long","containsNull":true}'
+        WHEN 2 THEN '{"type":"widget"}' WHEN 3 THEN concat('no type ', CAST(event_id AS STRING))
+        WHEN 4 THEN '{"type":"map","keyType":"string","valueType":{"type":"blob"},"valueContainsNull":true}'
+        END""",
+}
+
+
+def type_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).selectExpr(*select_list(TYPE_COLUMNS))
+
+
 # --- wire records ------------------------------------------------------------------
 
 
@@ -191,26 +203,14 @@ def _json_value(fields: DataFrame) -> Column:
     return _framed(F.encode(F.to_json(F.struct(*names)), "UTF-8"))
 
 
-def _avro_value() -> Column:
-    return _framed(encode_body(*map(F.col, BODY_NAMES)))
-
-
 def json_records(fields: DataFrame) -> DataFrame:
     return fields.select("topic", _json_value(fields).alias("value"))
 
 
-def avro_records(fields: DataFrame) -> DataFrame:
-    return fields.select("topic", _avro_value().alias("value"))
-
-
 def damaged_json_records(fields: DataFrame) -> DataFrame:
     return _damaged(fields, _json_value(fields), b'{"event_id": "no number"')
 
 
-def damaged_avro_records(fields: DataFrame) -> DataFrame:
-    return _damaged(fields, _avro_value(), b"\x80\x80")
-
-
 def _damaged(fields: DataFrame, value: Column, garbage: bytes) -> DataFrame:
     """A third of the records lose their value, part of the header, the body or its sense."""
     framed = fields.select("topic", "event_id", value.alias("value"))
@@ -225,46 +225,6 @@ def _damaged(fields: DataFrame, value: Column, garbage: bytes) -> DataFrame:
     return framed.select("topic", broken.alias("value"))
 
 
-BODY_NAMES = ("event_id", "user_id", "value", "dpYear", "dpMonth", "dpDay")
-
-
-@F.arrow_udf(T.BinaryType())
-def encode_body(
-    event_id: pa.Array, user_id: pa.Array, value: pa.Array,
-    year: pa.Array, month: pa.Array, day: pa.Array,
-) -> pa.Array:
-    """Avro bodies of ``BODY_SCHEMA``, a column at a time."""
-
-    def packed(digits: np.ndarray, used: np.ndarray) -> pa.Array:
-        """Binary values from the used bytes of each row of a matrix."""
-        offsets = np.concatenate([[0], used.sum(axis=1).cumsum()]).astype(np.int32)
-        data = digits[used].astype(np.uint8)
-        return pa.Array.from_buffers(
-            pa.binary(), len(digits), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
-        )
-
-    def varint(column: pa.Array) -> pa.Array:
-        signed = column.cast(pa.int64()).to_numpy(zero_copy_only=False)
-        zigzag = ((signed << 1) ^ (signed >> 63)).view(np.uint64)
-        rest = zigzag[:, None] >> np.arange(0, 70, 7, dtype=np.uint64)
-        used = np.arange(10) < 1 + (rest[:, 1:] != 0).sum(axis=1)[:, None]
-        last = used & ~np.roll(used, -1, axis=1)
-        last[:, -1] = used[:, -1]
-        return packed((rest & np.uint64(0x7F)) | np.where(last, 0, 0x80).astype(np.uint64), used)
-
-    def optional_double(column: pa.Array) -> pa.Array:
-        number = column.fill_null(0.0).to_numpy(zero_copy_only=False).astype("<f8")
-        present = np.asarray(column.is_valid())[:, None]
-        branch = np.where(present, 2, 0)
-        digits = np.hstack([branch, number.view(np.uint8).reshape(-1, 8)])
-        return packed(digits, np.hstack([np.ones_like(present), np.repeat(present, 8, axis=1)]))
-
-    parts = [varint(event_id), varint(user_id), optional_double(value)]
-    for text in (year, month, day):
-        parts += [varint(pc.binary_length(text)), text.cast(pa.binary())]
-    return pc.binary_join_element_wise(*parts, pa.scalar(b""))
-
-
 # --- places to write -----------------------------------------------------------------
 
 

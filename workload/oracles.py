@@ -36,11 +36,26 @@ _ITEMS = (
 _JOINED = f"array_to_string({_ITEMS}, '|')"
 
 # One row per event: the last entry whose schema is usable.
-DEFINITIONS = f"""{REGISTRY}, definitions AS (
-    SELECT event_key, split_part(event_key, '_', 1) AS event_type, is_transactional,
+# Its flag, like that of its stream, is the newest complete entry's.
+FLAGS = f"""flags AS (SELECT event_key, arg_max(is_transactional, ordinal) AS is_transactional
+    FROM ({_TABLEABLE}) GROUP BY event_key)"""
+DEFINITIONS = f"""{REGISTRY}, {FLAGS}, definitions AS (
+    SELECT event_key, split_part(event_key, '_', 1) AS event_type, flags.is_transactional,
         partition_columns
-    FROM ({_TABLEABLE} AND NOT {_BAD})
-    QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY ordinal DESC) = 1)"""
+    FROM (SELECT event_key, partition_columns FROM ({_TABLEABLE} AND NOT {_BAD})
+        QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY ordinal DESC) = 1)
+    JOIN flags USING (event_key))"""
+STREAMS = f"""streams AS (SELECT wanted.*, flags.is_transactional FROM (
+    SELECT {_IDENTITY} FROM ({_STREAMABLE}) WHERE {_BUCKETED}
+    QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY ordinal DESC) = 1) wanted
+    LEFT JOIN flags USING (event_key))"""
+
+
+def _path(flag: str) -> str:
+    return f"""CASE WHEN {flag} IS NULL THEN '/base/' WHEN {flag} THEN '/base/Txn/'
+        ELSE '/base/NonTxn/' END || event_key"""
+
+
 _VALUES = ", ".join(
     f"('{event_type}', {n}, '{name}', '{kind}')"
     for event_type, columns in inputs.TABLE_COLUMNS.items()
@@ -99,6 +114,10 @@ _STARTS = f"""WITH {TOPIC_REGISTRY} SELECT CAST(row_number() OVER (
         AS position, event_key, bucket_id, event_key <> 'view' AS streamed
     FROM registry WHERE {_BUCKETED}"""
 
+_MERGED_ROWS = f"""SELECT event_id, user_id,
+    CASE WHEN event_id % 2 = 1 AND event_id % 10 <> 0 THEN value END AS value, {_PARTS}
+    FROM events"""
+
 ORACLES = {
     "src_stream_read": f"""SELECT event_type AS topic, '{inputs.HEADER}' AS header, event_id
         FROM events""",
@@ -110,12 +129,10 @@ ORACLES = {
     "proj_strip_header": "SELECT '{' AS first_char, event_id FROM events",
     "proj_decode": f"SELECT event_id, user_id, {_VALUE} FROM events",
     "proj_decode_permissive": _damaged(_TEXT_PARTS),
-    "proj_decode_avro": _DECODED,
-    "proj_decode_avro_permissive": _damaged(_TEXT_PARTS),
     "proj_flatten": _DECODED,
     "proj_date_parts": f"""SELECT event_id, user_id, {_VALUE},
         CAST(strftime(ts, '%Y') AS INTEGER) AS "dpYear",
-        CAST(strftime(ts, '%m') AS INTEGER) AS "dpMonth",
+        CAST(NULL AS INTEGER) AS "dpMonth",
         CASE WHEN event_id % 5 <> 2 THEN CAST(strftime(ts, '%d') AS INTEGER) END AS "dpDay",
         CAST(event_id % 24 AS INTEGER) AS "dpHour" FROM events""",
     "reg_active": f"WITH {REGISTRY} SELECT ordinal, event_key FROM registry WHERE is_active",
@@ -141,15 +158,17 @@ ORACLES = {
     "reg_partition_cols": f"""WITH {REGISTRY} SELECT ordinal,
         coalesce({_JOINED}, '') AS stream_partitions,
         CASE WHEN len({_ITEMS}) > 0 THEN {_JOINED} END AS table_partitions FROM registry""",
-    # A list of topics has no schema here: 'audit' is not registered.
-    "reg_stream_plan": f"""WITH {REGISTRY}, {SCHEMAS}, latest AS (
+    # A list of topics has a schema if all its subjects have the same one; 'audit' is not registered.
+    "reg_stream_plan": f"""WITH {REGISTRY}, {SCHEMAS}, {FLAGS}, {STREAMS}, latest AS (
         SELECT subject, arg_max(schema, version) AS schema FROM versions GROUP BY subject),
-        wanted AS (SELECT {_IDENTITY}, bool_or(is_transactional) AS is_transactional
-        FROM ({_STREAMABLE}) WHERE {_BUCKETED} GROUP BY {_IDENTITY})
+        topics AS (SELECT event_key, trim(unnest(string_split({_unbracketed('topic_list')}, ','))) || '-value' AS subject
+        FROM streams), agreed AS (SELECT event_key, CASE WHEN count(schema) = count(*)
+        AND min(schema) = max(schema) THEN min(schema) END AS schema
+        FROM topics LEFT JOIN latest USING (subject) GROUP BY event_key)
         SELECT event_key, {_unbracketed('topic_list')} AS topics, bucket_id, partition_columns,
         is_transactional, CASE bucket_id WHEN 'p0Event' THEN 0 ELSE 1 END AS priority,
         {_JOINED} AS stream_partitions, schema
-        FROM wanted LEFT JOIN latest ON subject = {_unbracketed('topic_list')} || '-value'""",
+        FROM streams JOIN agreed USING (event_key)""",
     "schema_columns": f"""WITH {DEFINITIONS}, {COLUMNS}
         SELECT event_key, ordinal, column_name, data_type
         FROM definitions JOIN columns_of USING (event_type)""",
@@ -170,17 +189,31 @@ ORACLES = {
     "tbl_outcomes": f"""SELECT is_transactional, status, count(*) AS tables FROM ({_CREATED})
         GROUP BY is_transactional, status""",
     "flow_event_append": _ALL_ROWS,
-    "flow_avro_append": _ALL_ROWS,
     "flow_permissive_append": _damaged(_PARTS),
     "flow_restart": _ALL_ROWS,
-    "flow_schema_merge": f"""SELECT event_id, user_id,
-        CASE WHEN event_id % 2 = 1 AND event_id % 10 <> 0 THEN value END AS value, {_PARTS}
-        FROM events""",
+    "flow_schema_merge": _MERGED_ROWS,
     "flow_fanout": f"""SELECT event_type AS event_key, event_id, user_id, {_VALUE}, {_PARTS}
         FROM events WHERE event_type IN ('click', 'purchase', 'signup')""",
     "flow_fanout_status": _STARTS,
     "sink_optimized_write": f"""SELECT "dpYear", "dpMonth", "dpDay", count(*) AS rows,
         CAST(1 AS BIGINT) AS files FROM ({_ALL_ROWS}) GROUP BY ALL""",
     "sink_compact": f"""SELECT "dpYear", "dpMonth", "dpDay", count(*) AS rows,
-        CAST(1 AS BIGINT) AS files, true AS fewer FROM ({_ALL_ROWS}) GROUP BY ALL""",
+        CAST(1 AS BIGINT) AS files, true AS fewer, CAST(sum(event_id) AS BIGINT) AS event_ids,
+        CAST(sum(user_id) AS BIGINT) AS user_ids, count(value) AS filled, min(value) AS least,
+        max(value) AS most FROM ({_ALL_ROWS}) GROUP BY ALL""",
+    "sink_compact_merged": _MERGED_ROWS,
+    "sink_compression": f"""SELECT "dpYear", "dpMonth", "dpDay", 'zstd' AS codec, count(*) AS rows
+        FROM ({_ALL_ROWS}) GROUP BY ALL""",
+    "flow_query_names": f"""SELECT event_key,
+        CASE WHEN streamed THEN 'Stream-' || event_key END AS query_name FROM ({_STARTS})""",
+    "reg_paths": f"""WITH {DEFINITIONS}, {STREAMS},
+        s AS (SELECT event_key, {_path('is_transactional')} AS stream_path, coalesce({_JOINED}, '') AS stream_partitions FROM streams),
+        t AS (SELECT event_key, {_path('is_transactional')} AS table_path,
+            CASE WHEN len({_ITEMS}) > 0 THEN {_JOINED} END AS table_partitions FROM definitions)
+        SELECT event_key, stream_path, stream_partitions, table_path, table_partitions
+        FROM s FULL JOIN t USING (event_key)""",
+    "schema_type_rejects": f"""WITH types AS ({_select(inputs.TYPE_COLUMNS, 'events')})
+        SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'integer' WHEN 1 THEN 'Array<long>' END AS ddl,
+        CASE event_id % 6 WHEN 2 THEN 'INVALID_TYPE' WHEN 3 THEN 'MALFORMED_JSON'
+            WHEN 4 THEN 'INVALID_TYPE' END AS code FROM types""",
 }

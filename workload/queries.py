@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.config import IngestConfig
+from sluice.functions.avro_types import ddl_type
 from sluice.operators import definitions as defs
 from sluice.operators import records as rec
 from sluice.operators import registry as reg
@@ -119,19 +120,6 @@ def proj_decode_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.flatten(decoded)
 
 
-@query
-def proj_decode_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = rec.strip_header(inputs.avro_records(_fields(spark, sf_dir)))
-    return rec.flatten(rec.decode_body(bodies, inputs.BODY_SCHEMA, "avro"))
-
-
-@query
-def proj_decode_avro_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = inputs.damaged_avro_records(_fields(spark, sf_dir))
-    decoded = rec.decode_body(rec.strip_header(records), inputs.BODY_SCHEMA, "avro", "PERMISSIVE")
-    return rec.flatten(decoded)
-
-
 @query
 def proj_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.flatten(rec.decode_body(_bodies(spark, sf_dir), inputs.BODY_SCHEMA, "json"))
@@ -145,10 +133,14 @@ def proj_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 1, F.concat(day, F.lit(".75")))
         .when(kind == 2, "x")
         .otherwise(day),
+        "dpMonth": F.date_format(F.make_date("dpYear", "dpMonth", day), "yyyy-MM-dd"),
         "dpHour": F.lpad((F.col("event_id") % 24).cast("string"), 2, "0"),
     })
     schema = inputs.BODY_SCHEMA.replace(
         '{"name": "dpDay"', '{"name": "dpHour", "type": "string"}, {"name": "dpDay"'
+    ).replace(
+        '{"name": "dpMonth", "type": "string"}',
+        '{"name": "dpMonth", "type": {"type": "int", "logicalType": "date"}}',
     )
     return rec.to_rows(inputs.json_records(fields), schema, "json")
 
@@ -238,6 +230,21 @@ def reg_stream_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def reg_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the stream of an event writes and where its table points, on every event with either."""
+    entries, config = inputs.registry(spark, sf_dir), _table_config()
+
+    def side(events: DataFrame, name: str) -> DataFrame:
+        path = config.event_path_column(F.col("event_key"), F.col("is_transactional"))
+        return events.select(
+            "event_key", path.alias(f"{name}_path"), F.array_join(f"{name}_partitions", "|").alias(f"{name}_partitions")
+        )
+
+    streams = side(reg.events_to_stream(entries), "stream")
+    return streams.join(side(defs.table_definitions(entries), "table"), "event_key", "full")
+
+
 # --- schemas and tables -----------------------------------------------------------------
 
 
@@ -252,6 +259,12 @@ def schema_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return defs.rejects(inputs.registry(spark, sf_dir)).select("ordinal", "event_key", code)
 
 
+@query
+def schema_type_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    described = inputs.type_texts(spark, sf_dir).withColumn("d", ddl_type(F.col("type_json")))
+    return described.select("event_id", "d.ddl", F.substring_index("d.error", ":", 1).alias("code"))
+
+
 @query
 def tbl_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     definitions = defs.table_definitions(inputs.registry(spark, sf_dir))
@@ -337,13 +350,6 @@ def flow_event_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows_at(spark, _append(spark, records, config, inputs.BODY_SCHEMA))
 
 
-@query
-def flow_avro_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = inputs.parquet_config(inputs.scratch(spark, "avro"), codec="avro")
-    records = inputs.avro_records(inputs.body_fields(inputs.events_stream(spark, sf_dir)))
-    return _rows_at(spark, _append(spark, records, config, inputs.BODY_SCHEMA))
-
-
 @query
 def flow_permissive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the bodies is damaged; their rows are kept, all null, in the null partition."""
@@ -375,9 +381,9 @@ def flow_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows_at(spark, config.event_path("event"))
 
 
-@query
-def flow_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = inputs.scratch(spark, "merge")
+def _narrow_then_wide(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, IngestConfig]:
+    """Two runs; the second one's rows have a column more."""
+    root = inputs.scratch(spark, label)
     config = inputs.parquet_config(root, source_options={"path": f"{root}/log"})
     for delivery, schema in zip(
         _halves(spark, sf_dir), (inputs.NARROW_SCHEMA, inputs.BODY_SCHEMA)
@@ -385,6 +391,12 @@ def flow_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         _deliver(delivery, f"{root}/log")
         rows = fanout.event_rows(spark, config, TOPICS, schema)
         sink.start_event(rows, "event", DAY, config).awaitTermination()
+    return root, config
+
+
+@query
+def flow_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, config = _narrow_then_wide(spark, sf_dir, "merge")
     merged = spark.read.option("mergeSchema", "true").parquet(config.event_path("event"))
     return merged.select("event_id", "user_id", "value", *DAY)
 
@@ -403,14 +415,26 @@ def _fan_out(spark: SparkSession, sf_dir: str):
 
 @query
 def flow_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events' output in one scan; the key, and what a directory name holds, from the path."""
     config, started = _fan_out(spark, sf_dir)
-    result = None
-    for outcome in started:
-        if outcome.error is None:
-            rows = _rows_at(spark, config.event_path(outcome.event_key))
-            rows = rows.withColumn("event_key", F.lit(outcome.event_key))
-            result = rows if result is None else result.union(rows)
-    return result
+    names = [field.split()[0] for field in ROW_SCHEMA.split(", ")]
+    if all(outcome.error for outcome in started):
+        return spark.createDataFrame([], f"event_key string, {ROW_SCHEMA}")
+    path = F.col("_metadata.file_path")
+    rows = spark.read.schema(ROW_SCHEMA).option("recursiveFileLookup", "true").parquet(config.output_path)
+    value = lambda n: F.coalesce(n, F.regexp_extract(path, f"/{n}=([0-9]+)/", 1).try_cast("int"))
+    return rows.select(
+        F.regexp_extract(path, "/out/([^/]+)/", 1).alias("event_key"),
+        *(value(n).alias(n) if n in DAY else n for n in names),
+    )
+
+
+@query
+def flow_query_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, started = _fan_out(spark, sf_dir)
+    return spark.createDataFrame(
+        [(s.event_key, s.query.name if s.query else None) for s in started], "event_key string, query_name string"
+    )
 
 
 @query
@@ -444,9 +468,32 @@ def sink_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
         _deliver(delivery, f"{root}/log")
         rows = fanout.event_rows(spark, config, TOPICS, inputs.BODY_SCHEMA)
         sink.start_event(rows, "event", DAY, config).awaitTermination()
-    sink.compact(spark, config.event_path("event"), f"{root}/compacted", DAY)
+    sink.compact(spark, config.event_path("event"), f"{root}/compacted", DAY, schema=ROW_SCHEMA)
     before = _files_per_day(spark, config.event_path("event"))
     after = _files_per_day(spark, f"{root}/compacted")
-    return after.join(before.withColumnsRenamed({"rows": "n", "files": "files_before"}), list(DAY)).select(
-        *DAY, "rows", "files", (F.col("files") < F.col("files_before")).alias("fewer")
+    values = spark.read.schema(ROW_SCHEMA).parquet(f"{root}/compacted").groupBy(*DAY).agg(
+        F.sum("event_id").alias("event_ids"), F.sum("user_id").alias("user_ids"),
+        F.count("value").alias("filled"), F.min("value").alias("least"), F.max("value").alias("most"),
+    )
+    before = before.withColumnsRenamed({"rows": "n", "files": "files_before"})
+    return after.join(before, list(DAY)).join(values, list(DAY)).select(
+        *DAY, "rows", "files", (F.col("files") < F.col("files_before")).alias("fewer"),
+        "event_ids", "user_ids", "filled", "least", "most",
     )
+
+
+@query
+def sink_compact_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compaction of files of two schemas, the older ones without ``value``."""
+    root, config = _narrow_then_wide(spark, sf_dir, "compact-merged")
+    sink.compact(spark, config.event_path("event"), f"{root}/compacted", DAY)
+    return _rows_at(spark, f"{root}/compacted")
+
+
+@query
+def sink_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = inputs.parquet_config(inputs.scratch(spark, "compression"), compression="zstd")
+    records = inputs.json_records(inputs.body_fields(inputs.events_stream(spark, sf_dir)))
+    rows = spark.read.schema(ROW_SCHEMA).parquet(_append(spark, records, config, inputs.BODY_SCHEMA))
+    codec = F.regexp_extract("_metadata.file_name", r"\.([a-z0-9]+)\.parquet$", 1)
+    return rows.select(*DAY, codec.alias("codec")).groupBy(*DAY, "codec").agg(F.count("*").alias("rows"))
