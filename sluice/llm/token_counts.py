@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm.scratch import stored
 from sluice.llm.tokens import count_tokens, worker_cache
 
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
@@ -91,6 +92,8 @@ def token_counts(
         .where(F.col("tokenizer") == F.lit(version))
         .groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     )
+    # Stored, so that the join has plain exchanges on both sides and a common text's side is split.
+    cache = stored(cache, "token-counts")
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
