@@ -24,6 +24,7 @@ from sluice.llm.scratch import stored
 
 SHARD_ROWS, BLOCK_QUERIES = 1 << 16, 512
 TREES, BITS, SEED = 48, 24, 42
+MAX_PARTITIONS = 20_000
 #: Candidates of a query in a shard: this share of its rows, and so many at least.
 SHARE, LEAST = 0.45, 6000
 
@@ -154,7 +155,11 @@ def nearest(
             "score": pa.array(columns[2], pa.float64()),
         })
 
+    # A tile is few bytes but much work, so tiles are not gathered into tasks by their size.
+    total = sizes.agg(F.sum(F.col("shards") * F.col("blocks"))).first()[0] or 1
+    parts = int(min(4 * total, MAX_PARTITIONS))
     tiles = tiled(indexed, False).unionByName(tiled(rows.where("asks"), True))
-    found = tiles.groupBy("dims", "shard", "block").applyInArrow(answer, "query_id long, vec_id long, score double")
+    key = ("dims", "shard", "block")
+    found = tiles.repartition(parts, *key).groupBy(*key).applyInArrow(answer, "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= count).select("query_id", "rank", "vec_id", "score")
