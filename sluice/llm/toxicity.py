@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Model:
     return fitted(x, y, lexicon)
 
 
-def fitted(x: np.ndarray, y: np.ndarray, lexicon: Lexicon, ridge: float = 1.0) -> Model:
+def fitted(x: np.ndarray, y: np.ndarray, lexicon: Lexicon, ridge: float = 0.1) -> Model:
     """Newton's method on the regularised logistic loss."""
     mean = x.mean(axis=0) if len(x) else np.zeros(FEATURES)
     scale = np.where((s := x.std(axis=0) if len(x) else np.ones(FEATURES)) > 1e-9, s, 1.0)
