@@ -5,9 +5,9 @@
    documents; those met more than once go into a Bloom filter.
 2. All documents stream past the filter. Runs of windows whose phrase passes become segments, and
    phrases whose text occurs in several places are confirmed as recurring.
-3. Confirmed phrases are dealt to shards, each small enough for one automaton, and a segment goes to
-   the shards of its phrases. The automaton locates every occurrence in the segments; windows
-   around an occurrence of their own phrase give their digests.
+3. Confirmed phrases are dealt to shards, each small enough for one automaton, and each stretch of
+   windows with one phrase goes to that phrase's shard. The automaton locates every occurrence;
+   windows around an occurrence of their own phrase give their digests.
 4. The first place of each digest stays, every later window is removed.
 
 Later copies of a whole text need no search: all their windows started earlier.
@@ -16,6 +16,7 @@ Later copies of a whole text need no search: all their windows started earlier.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,10 @@ from sluice.llm.scratch import stored
 from sluice.llm.url_filter import Cascade, _with_level
 
 PHRASE = 6
-SEED = 42
 #: Phrases in one automaton, some hundred bytes of memory each and node.
-SHARD_PHRASES = 20_000
-#: Segments that one task streams through an automaton.
-SHARD_SEGMENTS = 20_000
+SHARD_PHRASES = 40_000
+#: Phrases in their surroundings that one task streams through an automaton.
+SHARD_SEGMENTS = 200_000
 #: Beyond this size the filter is left out and every window is a candidate.
 MAX_FILTER_BYTES = 32 << 20
 NO_ID = 2**63 - 1
@@ -41,37 +41,34 @@ class Words:
     """The words of a text (bytes between ASCII white space) and their places in it joined by spaces."""
 
     def __init__(self, raw: bytes):
-        from xxhash import xxh64_intdigest
-
-        words = raw.split()
-        self.n, self.text = len(words), b" ".join(words)
-        lengths = np.fromiter(map(len, words), dtype=np.int64, count=self.n)
+        self.words = raw.split()
+        self.n, self.text = len(self.words), b" ".join(self.words)
+        lengths = np.fromiter(map(len, self.words), dtype=np.int64, count=self.n)
         self.ends = np.cumsum(lengths + 1) - 1
         self.starts = self.ends - lengths
-        self.hashes = np.array([xxh64_intdigest(w) for w in words], dtype=np.uint64)
 
     def part(self, first: int, last: int) -> bytes:
         """Words ``first`` to ``last``, the latter included."""
         return self.text[self.starts[first]:self.ends[last]]
 
-    def picks(self, span: int) -> np.ndarray:
-        """For each window the first word of its phrase; the leftmost among equal hashes."""
+    def picks(self, span: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each window the first word of its phrase, the leftmost of the smallest hash, and that hash."""
         if self.n < span:
-            return np.zeros(0, np.int64)
-        mixed = np.zeros(self.n - PHRASE + 1, dtype=np.uint64)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        codes = np.fromiter(map(crc32, self.words), dtype=np.uint64, count=self.n)
+        best = np.zeros(self.n - PHRASE + 1, dtype=np.uint64)
         for k in range(PHRASE):
-            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + self.hashes[k:k + len(mixed)]
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        choice = np.lib.stride_tricks.sliding_window_view(mixed, span - PHRASE + 1)
-        return np.arange(self.n - span + 1) + choice.argmin(axis=1)
-
-
-def phrase_hashes(words: Words, firsts: np.ndarray) -> np.ndarray:
-    from xxhash import xxh64_intdigest
-
-    return np.array(
-        [xxh64_intdigest(words.part(i, i + PHRASE - 1), SEED) for i in firsts.tolist()], dtype=np.uint64
-    )
+            best = best * np.uint64(0x9E3779B97F4A7C15) + codes[k:k + len(best)]
+        best = (best ^ (best >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        best ^= best >> np.uint64(32)
+        at, width = np.arange(len(best)), 1
+        while width < span - PHRASE + 1:  # a stretch is the smaller of two that cover it
+            step = min(width, span - PHRASE + 1 - width)
+            left, right = best[:-step], best[step:]
+            later = right < left
+            best, at = np.where(later, right, left), np.where(later, at[step:], at[:-step])
+            width += step
+        return at, best
 
 
 def second_hash(h: np.ndarray) -> np.ndarray:
@@ -97,8 +94,8 @@ def _recurring_filter(texts: DataFrame, span: int) -> Cascade | None:
         for b in batches:
             found = [np.zeros(0, np.uint64)]
             for raw in b.column(0).to_pylist():
-                words = Words(raw)
-                found.append(phrase_hashes(words, np.unique(words.picks(span))))
+                at, hashes = Words(raw).picks(span)
+                found.append(hashes[np.flatnonzero(np.diff(at, prepend=-1))])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["h1"])
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +115,12 @@ def _recurring_filter(texts: DataFrame, span: int) -> Cascade | None:
 
 
 def _segments(texts: DataFrame, span: int, passing: Cascade | None) -> DataFrame:
-    """oid, copy, first word, text and picked phrases of each run of windows that may recur."""
+    """oid, copy, text and phrases of each run of windows that may recur.
+
+    A phrase comes with the windows that picked it: its text, the first window's number in the
+    document, their count, the first byte and the bytes of their words in the segment, and the
+    phrase's first word among these.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(passing)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,74 +128,89 @@ def _segments(texts: DataFrame, span: int, passing: Cascade | None) -> DataFrame
             out: list[tuple] = []
             for oid, copy, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = Words(raw)
-                picks = words.picks(span)
-                if not len(picks):
+                at, hashes = words.picks(span)
+                if not len(at):
                     continue
-                phrases, at = np.unique(picks, return_inverse=True)
-                ok = np.ones(len(phrases), dtype=bool)
+                first = np.flatnonzero(np.diff(at, prepend=-1))
+                last = np.append(first[1:], len(at))
+                ok = np.ones(len(first), dtype=bool)
                 if sent.value is not None:
-                    h = phrase_hashes(words, phrases)
+                    h = hashes[first]
                     ok = sent.value.passes(0, h, second_hash(h))
-                marked = np.concatenate([[False], ok[at], [False]])
-                edges = np.flatnonzero(marked[1:] != marked[:-1])
-                for a, z in zip(edges[::2], edges[1::2], strict=True):
-                    own = [words.part(i, i + PHRASE - 1) for i in np.unique(picks[a:z]).tolist()]
-                    out.append((oid, copy, int(a), words.part(a, z + span - 2), own))
-            columns = list(zip(*out, strict=True)) if out else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()))
+                edges = np.flatnonzero(np.diff(ok.astype(np.int8), prepend=0, append=0))
+                for a, z in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                    begin, phrases = int(words.starts[first[a]]), []
+                    for i, j in zip(first[a:z].tolist(), last[a:z].tolist(), strict=True):
+                        p, start = int(at[i]), int(words.starts[i])
+                        phrases.append({
+                            "phrase": words.part(p, p + PHRASE - 1), "first": i, "windows": j - i,
+                            "start": start - begin, "bytes": int(words.ends[j + span - 2]) - start, "at": p - i,
+                        })
+                    out.append((oid, copy, words.part(first[a], last[z - 1] + span - 2), phrases))
+            columns = list(zip(*out, strict=True)) if out else [()] * 4
+            numbers = [(n, pa.int32()) for n in ("first", "windows", "start", "bytes", "at")]
+            phrase = pa.struct([("phrase", pa.binary()), *numbers])
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(phrase))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=["oid", "copy", "first", "part", "phrases"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["oid", "copy", "part", "phrases"]
             )
 
     rows = texts.select("oid", "copy", F.col("text").cast("binary"))
-    return rows.mapInArrow(cut, "oid long, copy long, first long, part binary, phrases array<binary>")
+    return rows.mapInArrow(
+        cut, "oid long, copy long, part binary, "
+        "phrases array<struct<phrase:binary,first:int,windows:int,start:int,bytes:int,at:int>>"
+    )
 
 
 def _windows(segments: DataFrame, span: int) -> DataFrame:
     """oid, copy, start and digest (w1, w2) of the windows around confirmed phrases."""
-    phrases = segments.select(F.explode("phrases").alias("phrase")).groupBy("phrase").count().where("count > 1")
+    parts = segments.select("oid", "copy", "part", F.explode("phrases").alias("p")).select("oid", "copy", "part", "p.*")
+    phrases = parts.groupBy("phrase").count().where("count > 1")
     phrases = stored(phrases.select("phrase"), "phrases")
     shards = max(1, -(-phrases.count() // SHARD_PHRASES))
-    shard = lambda p: F.pmod(F.xxhash64(p), F.lit(shards)).cast("int")
-    routed = segments.select(
-        "oid", "copy", "first", "part", F.explode(F.array_distinct(F.transform("phrases", shard))).alias("shard")
+    shard = F.pmod(F.xxhash64("phrase"), F.lit(shards)).cast("int").alias("shard")
+    routed = parts.select(
+        "oid", "copy", "first", "windows", "at", shard,
+        F.substring("part", F.col("start") + 1, F.col("bytes")).alias("part"),
     )
-    salts = routed.groupBy("shard").count().select(
+    salts = parts.select(shard).groupBy("shard").count().select(
         "shard", F.ceil(F.col("count") / SHARD_SEGMENTS).cast("long").alias("salts")
     )
-    salts = F.broadcast(stored(salts, "phrase-salts")) if shards <= 100_000 else stored(salts, "phrase-salts")
+    salts = small(stored(salts, "phrase-salts"))
     routed = routed.join(salts, "shard").withColumn("salt", F.pmod(F.xxhash64("oid", "copy", "first"), F.col("salts")))
-    dealt = phrases.withColumn("shard", shard(F.col("phrase"))).join(salts, "shard").select(
+    dealt = phrases.select("phrase", shard).join(salts, "shard").select(
         "shard", "phrase", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
     )
 
     def locate(parts: pa.Table, patterns: pa.Table) -> pa.Table:
         import ahocorasick
-        from xxhash import xxh64_intdigest
+        from xxhash import xxh3_128_digest
 
         out: list[tuple] = []
+        digests: list[bytes] = []
         if len(parts) and len(patterns):
             automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
             for p in patterns.column("phrase").to_pylist():
                 automaton.add_word(f" {p.decode('latin-1')} ")
             automaton.make_automaton()
-            columns = (parts.column(c).to_pylist() for c in ("oid", "copy", "first", "part"))
-            for oid, copy, first, part in zip(*columns, strict=True):
+            columns = (parts.column(c).to_pylist() for c in ("oid", "copy", "first", "windows", "at", "part"))
+            for oid, copy, first, count, at, part in zip(*columns, strict=True):
                 words = Words(part)
                 # Bytes as characters; a space on both sides keeps matches to whole words.
-                ends = [e for e, _ in automaton.iter(f" {words.text.decode('latin-1')} ")]
-                if not ends:
-                    continue
-                found = np.zeros(words.n, dtype=bool)
-                found[np.searchsorted(words.ends, np.array(ends) - 1) - PHRASE + 1] = True
-                for i in np.flatnonzero(found[words.picks(span)]).tolist():
-                    window = words.part(i, i + span - 1)
-                    out.append((oid, copy, first + i, xxh64_intdigest(window, 1), xxh64_intdigest(window, 2)))
-        columns = list(zip(*out, strict=True)) if out else [()] * 5
-        numbers = [pa.array(c, pa.int64()) for c in columns[:3]]
-        digests = [pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in columns[3:]]
-        return pa.table([*numbers, *digests], names=["oid", "copy", "start", "w1", "w2"])
+                wanted = int(words.ends[at + PHRASE - 1]) + 1
+                if any(end == wanted for end, _ in automaton.iter(f" {part.decode('latin-1')} ")):
+                    starts, ends = words.starts[:count].tolist(), words.ends[span - 1:span - 1 + count].tolist()
+                    digests += [xxh3_128_digest(part[a:z]) for a, z in zip(starts, ends, strict=True)]
+                    out.append((oid, copy, first, count))
+        oid, copy, first, count = (
+            (np.array(c, dtype=np.int64) for c in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 4
+        )
+        inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        pair = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+        return pa.table({
+            "oid": np.repeat(oid, count), "copy": np.repeat(copy, count), "start": np.repeat(first, count) + inner,
+            "w1": pair[:, 0].copy(), "w2": pair[:, 1].copy(),
+        })
 
     return (
         routed.groupBy("shard", "salt").cogroup(dealt.groupBy("shard", "salt"))
