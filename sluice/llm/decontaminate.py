@@ -91,7 +91,7 @@ def contained_items(
     ).select("doc_id", shingle_texts(F.col("words")).alias("own"))
     shared = F.size(F.array_intersect("shingles", "own"))
     return (
-        candidates.join(small(listed, 20_000), "item")
+        candidates.join(small(listed, F.col("n")), "item")
         .join(texts, F.col("doc_id").eqNullSafe(F.col("candidate")))
         .select("doc_id", F.col("item.item_id").alias("item_id"), F.col("n").alias("n_shingles"), shared.alias("n_shared"), "needed")
         .where("n_shared >= needed")

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from sluice.llm.scratch import stored
 
 MODULUS = 2**31
-#: Rows of a table of keys up to which it is broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 500_000
+#: Rows of a table of keys (or entries of its lists) up to which it is broadcast; beyond, joins shuffle.
+BROADCAST_ROWS = 300_000
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (narrow and stored) marked for broadcast if it has few rows."""
-    return F.broadcast(df) if df.count() <= most else df
+def small(df: DataFrame, entries: Column | None = None) -> DataFrame:
+    """``df`` (stored) marked for broadcast if it has few rows, or few ``entries`` in all."""
+    held = df.count() if entries is None else df.agg(F.sum(entries)).first()[0] or 0
+    return F.broadcast(df) if held <= BROADCAST_ROWS else df
 
 
 def line_hash(line: Column) -> Column:
@@ -89,7 +90,7 @@ def deduplicated(
         .where((F.col("a.row") != F.col("first.row")) | (F.col("a.span") != F.col("first.span")))
         .groupBy("row").agg(F.collect_list("span").alias("gone"))
     )
-    removed = small(stored(removed, "line-removed"), BROADCAST_ROWS // 2)
+    removed = small(stored(removed, "line-removed"), F.size("gone"))
     rows = with_chunks(base.join(removed, "row", "left"), "body", window, divisor)
     stays = F.when(F.col("gone").isNull(), F.col("spans")).otherwise(F.array_except("spans", "gone"))
     left = F.flatten(F.transform(stays, lambda s: span_lines(F.col("lines"), s)))

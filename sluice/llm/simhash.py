@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.components import roots
+from sluice.llm.line_dedup import small
 from sluice.llm.scratch import stored
 
 SEED = 42
@@ -108,8 +109,8 @@ def above(counter: list[np.ndarray], limit: int) -> np.ndarray:
     return over
 
 
-def close_pairs(fps: np.ndarray, ends: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs i < j < ends[i] with at most ``radius`` differing bits.
+def close_pairs(fps: np.ndarray, ends: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs i < j < ends[i] with at most ``radius`` differing bits, and their number.
 
     ``fps`` is a matrix of bytes, a row each; rows of a bucket are together and ``ends`` holds for
     each row where its bucket ends.
@@ -163,27 +164,36 @@ def close_pairs(fps: np.ndarray, ends: np.ndarray, radius: int) -> Iterator[tupl
             at, lane = np.nonzero(
                 np.unpackbits(alive[hit].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             )
-            yield q[hit[at]], 64 * w[hit[at]] + lane
+            bits_of = [(c[hit[at]] >> lane.astype(np.uint64)) & np.uint64(1) for c in counter]
+            distance = sum((x.astype(np.int64) << k for k, x in enumerate(bits_of)), np.zeros(len(at), np.int64))
+            yield q[hit[at]], 64 * w[hit[at]] + lane, distance
 
 
-def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that connect the same nodes of 0..n-1, fewer than n."""
+def lightest(n: int, a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> list[np.ndarray]:
+    """The pairs of a spanning forest of 0..n-1 that joins the closest first."""
     label, kept = np.arange(n), []
-    for a, b in pairs:
+    for level in np.unique(distance):
+        x, y = a[distance == level], b[distance == level]
         while True:
-            la, lb = label[a], label[b]
+            la, lb = label[x], label[y]
             open_ = la != lb
             if not open_.any():
                 break
-            a, b, la, lb = a[open_], b[open_], la[open_], lb[open_]
+            x, y, la, lb = x[open_], y[open_], la[open_], lb[open_]
             high, at = np.unique(np.maximum(la, lb), return_index=True)
-            kept.append((a[at], b[at]))
+            kept.append((x[at], y[at], np.full(len(at), level)))
             label[high] = np.minimum(la, lb)[at]
             while not np.array_equal(label, shorter := label[label]):
                 label = shorter
-    if not kept:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*kept, strict=True))
+    return [np.concatenate(v) for v in zip(*kept, strict=True)] if kept else [np.zeros(0, np.int64)] * 3
+
+
+def forest(n: int, pairs: Iterator[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer than n pairs that connect the same nodes, by the smallest distances possible."""
+    kept = [np.zeros(0, np.int64)] * 3
+    for part in pairs:
+        kept = lightest(n, *(np.concatenate(v) for v in zip(kept, part, strict=True)))
+    return kept[0], kept[1]
 
 
 def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, block: int = BLOCK) -> DataFrame:
@@ -259,14 +269,51 @@ def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
     return rows.mapInArrow(run, "a long, b long")
 
 
+def alike(
+    links: DataFrame, nodes: DataFrame, prints: DataFrame, rows: DataFrame, size: int, threshold: float
+) -> DataFrame:
+    """The links whose texts' shingle sets have at least this Jaccard similarity, over whole texts."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [
+                np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(raw or b"", size)])).tobytes()
+                for raw in b.column(1).to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= threshold * (len(x) + len(y) - both))
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    links = stored(links.distinct(), "near-links")
+    ends = links.select(F.col("a").alias("node")).unionAll(links.select("b")).distinct()
+    owners = prints.join(nodes.select("fp", "node").join(ends, "node", "left_semi"), "fp")
+    owners = stored(owners.groupBy("node").agg(F.min("row").alias("row")), "near-owners")
+    texts = rows.select("row", F.col("text").cast("binary").alias("text")).join(small(owners), "row")
+    sets = stored(texts.select("node", "text").mapInArrow(gather, "node long, hashes binary"), "near-sets")
+    pairs = links.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return pairs.mapInArrow(check, "a long, b long")
+
+
 def near_groups(
-    rows: DataFrame, size: int, words: int, bands: Sequence[Sequence[int]], radius: int, block: int = BLOCK
+    rows: DataFrame, size: int, words: int, bands: Sequence[Sequence[int]], radius: int,
+    block: int = BLOCK, threshold: float | None = None,
 ) -> DataFrame:
-    """row, doc_id, fp, root and component_id (smallest doc_id) of rows with row, doc_id and text."""
+    """row, doc_id, fp, root and component_id (smallest doc_id) of rows with row, doc_id and text.
+
+    With a threshold only links of that Jaccard similarity count.
+    """
     prints = stored(with_fingerprints(rows, size, words), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "fingerprint-nodes")
-    root = roots(near_links(nodes, bands, radius, block))
+    links = near_links(nodes, bands, radius, block)
+    root = roots(links if threshold is None else alike(links, nodes, prints, rows, size, threshold))
     rooted = nodes.join(root, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.join(smallest, "root").select("fp", "root", "component_id")
@@ -304,25 +351,28 @@ def simhash_components(
     return found.select("doc_id", F.lower(turned).alias("fingerprint"), "component_id")
 
 
-#: For a similarity of 0.8: its fingerprints differ in 15 % of the bits on average.
-WIDE_WORDS, WIDE_BANDS, WIDE_BAND_BITS, WIDE_RADIUS = 6, 40, 14, 58
+#: For a similarity of 0.8: fingerprints differ in 58 of 384 bits on average, standard deviation 7.
+WIDE_WORDS, WIDE_BANDS, WIDE_BAND_BITS, WIDE_RADIUS = 6, 40, 14, 78
+SIMILARITY = 0.8
 
 
 def drop_near_duplicates(
-    docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 2_000_000
+    docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 1_000_000
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
-    Texts are alike if their 384-bit fingerprints differ in at most 58 bits, which is where
-    word shingles of a similarity of 0.8 lie on average. Repeated rows and rows with equal or
-    null ids are told apart, and one of a group stays. All columns are kept, whatever their names.
+    Texts are alike if their sets of word shingles have a Jaccard similarity of 0.8 or more. Candidates are
+    those whose 384-bit fingerprints share a band and differ in at most 78 bits; of a bucket's
+    candidates the closest that connect it are compared over whole texts. Repeated rows and rows
+    with equal or null ids are told apart, and one of a group stays. All columns are kept,
+    whatever their names.
     """
     row = next(c for c in ("row", *(f"row_{i}" for i in range(len(docs.columns) + 1)))
                if c not in {x.lower() for x in docs.columns})
     kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-input")
     rows = kept.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     bands = random_bands(64 * WIDE_WORDS, WIDE_BANDS, WIDE_BAND_BITS)
-    members = stored(near_groups(rows, size, WIDE_WORDS, bands, WIDE_RADIUS).drop("fp"), "near-members")
+    members = stored(near_groups(rows, size, WIDE_WORDS, bands, WIDE_RADIUS, threshold=SIMILARITY).drop("fp"), "near-members")
     stays = (
         members.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root").agg(F.min("row").alias("stays"))

@@ -70,9 +70,20 @@ def test_close_pairs(width, radius):
     ends = np.repeat([1, 3, 70, 200, 500], [1, 2, 67, 130, 300])
     bits = np.unpackbits(fps, axis=1)
     expected = {(i, j) for i in range(500) for j in range(i + 1, ends[i]) if (bits[i] != bits[j]).sum() <= radius}
-    found = [p for a, b in close_pairs(fps, ends, radius) for p in zip(a.tolist(), b.tolist(), strict=True)]
+    found = []
+    for a, b, distance in close_pairs(fps, ends, radius):
+        assert (distance == (bits[a] != bits[b]).sum(axis=1)).all()
+        found += zip(a.tolist(), b.tolist(), strict=True)
     assert len(found) == len(set(found)) and set(found) == expected
     a, b = forest(500, close_pairs(fps, ends, radius))
+    # Of the same weight as a forest grown pair by pair, closest first.
+    group, weight = list(range(500)), 0
+    for i, j in sorted(expected, key=lambda p: (bits[p[0]] != bits[p[1]]).sum()):
+        if group[i] != group[j]:
+            weight += (bits[i] != bits[j]).sum()
+            old, new = group[i], group[j]
+            group = [new if g == old else g for g in group]
+    assert (bits[a] != bits[b]).sum() == weight
     assert len(a) < 500 and set(zip(a.tolist(), b.tolist(), strict=True)) <= expected
 
 
@@ -90,6 +101,21 @@ def test_roots_of_a_long_path_and_a_star(spark):
     assert found == {**{i: 0 for i in range(1, 61)}, **{i: 99 for i in range(100, 160)}}
 
 
+def test_similarity_decides_over_whole_texts(spark):
+    """Pairs on both sides of 0.8: 5 shingles change with each word apart."""
+    draw, rows = random.Random(12), []
+    for i in range(40):
+        base = [f"u{draw.randrange(10**6)}" for _ in range(304)]
+        other, changed = list(base), [6, 5, 9, 8][i % 4]
+        for k in range(changed):
+            other[10 + k * 30] = f"c{i}_{k}"
+        rows += [(2 * i, " ".join(base), 0, 0), (2 * i + 1, " ".join(other), 0, 0)]
+    kept = {r.doc_id for r in drop_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(40):
+        same = 300 - 5 * [6, 5, 9, 8][i % 4]
+        assert (2 * i + 1 in kept) == (same / (600 - same) < 0.8) and 2 * i in kept
+
+
 def test_one_of_each_group_stays(spark):
     draw = random.Random(5)
     words = [f"v{i}" for i in range(3000)]
