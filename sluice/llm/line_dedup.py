@@ -63,13 +63,8 @@ def deduplicated(
     stays null with no lines, an empty one is one empty line. Null ids come last in the
     order of occurrences; repeated rows are occurrences like any other. An empty table gives no rows.
     """
-    base = stored(
-        docs.select(
-            F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("body"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-        "line-input",
-    )
+    base = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "line-input")
+    base = base.withColumn("id", F.col("doc").getField(id_col)).withColumn("body", F.col("doc").getField(text_col))
     several = F.filter("spans", lambda s: F.pmod(s, F.lit(MODULUS)) > F.floor(s / MODULUS))
     chunks = (
         with_chunks(base.select("id", "row", "body"), "body", window, divisor)
