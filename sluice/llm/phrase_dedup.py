@@ -27,9 +27,10 @@ from sluice.llm.line_dedup import small
 from sluice.llm.scratch import stored
 from sluice.llm.url_filter import Cascade, _with_level
 
-PHRASE = 6
+#: Half a window: the longer, the fewer windows share a phrase and yet differ.
+PHRASE = 10
 #: Phrases in one automaton, some hundred bytes of memory each and node.
-SHARD_PHRASES = 40_000
+SHARD_PHRASES = 25_000
 #: Phrases in their surroundings that one task streams through an automaton.
 SHARD_SEGMENTS = 200_000
 #: Beyond this size the filter is left out and every window is a candidate.
@@ -208,13 +209,14 @@ def _windows(segments: DataFrame, span: int) -> DataFrame:
         inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         pair = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
         return pa.table({
-            "oid": np.repeat(oid, count), "copy": np.repeat(copy, count), "start": np.repeat(first, count) + inner,
+            "oid": np.repeat(oid, count), "copy": np.repeat(copy, count),
+            "start": (np.repeat(first, count) + inner).astype(np.int32),
             "w1": pair[:, 0].copy(), "w2": pair[:, 1].copy(),
         })
 
     return (
         routed.groupBy("shard", "salt").cogroup(dealt.groupBy("shard", "salt"))
-        .applyInArrow(locate, "oid long, copy long, start long, w1 long, w2 long")
+        .applyInArrow(locate, "oid long, copy long, start int, w1 long, w2 long")
     )
 
 
@@ -229,6 +231,8 @@ def without_repeats(
     document and get the same result each; rows with equal id and different texts are ordered by
     a hash of the text. An empty table gives no rows; other columns are not read.
     """
+    if span < PHRASE:
+        raise ValueError(f"a window has at least {PHRASE} words")
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     rows, later = _distinct_texts(given)
     later = small(later)
@@ -242,7 +246,7 @@ def without_repeats(
         .where("place != last").select("w1", "w2", "place")
     )
     repeated = windows.join(first, ["w1", "w2"]).where(place != F.col("place"))
-    gone = repeated.groupBy("oid", "copy").agg(F.array_sort(F.collect_set(F.col("start").cast("int"))).alias("starts"))
+    gone = repeated.groupBy("oid", "copy").agg(F.array_sort(F.collect_set("start")).alias("starts"))
     gone = stored(gone, "phrase-gone")
     size = gone.agg(F.sum(F.size("starts"))).first()[0] or 0
     marked = (
