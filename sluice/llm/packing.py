@@ -123,6 +123,7 @@ def pack(
     window: int = 4096,
     end_id: int = 2,
     max_open: int = 1024,
+    most_pieces: int = 700_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -131,11 +132,12 @@ def pack(
     Ids are those of the tokenizer plus ``end_id``; ``ids`` holds a piece's as little-endian
     unsigned 32-bit numbers. A null or empty text is the end id alone. Each row is
     packed for itself, also if ids or texts repeat or the id is null. An empty table gives no
-    rows; other columns are not read.
+    rows; other columns are not read. A Python worker remembers ``most_pieces`` pieces of text,
+    some hundred bytes each, also while it runs other tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = SpaceSplitEncoder(tokenizer_path)
+        encode = SpaceSplitEncoder(tokenizer_path, most_pieces)
         packer = Packer(window, max_open, TaskContext.get().partitionId() << PARTITION_BITS)
         end = np.array([end_id], dtype=np.uint32)
         for batch in batches:

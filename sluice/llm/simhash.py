@@ -275,7 +275,7 @@ def alike(
     """The links whose texts' shingle sets have at least this Jaccard similarity, over whole texts."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
             sets = [
                 np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(raw or b"", size)])).tobytes()
                 for raw in b.column(1).to_pylist()
@@ -283,7 +283,7 @@ def alike(
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
             keep = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

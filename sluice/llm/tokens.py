@@ -100,15 +100,15 @@ class PieceCache:
         return np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
 
 
-def worker_cache(path: str, most: int = 700_000) -> PieceCache:
+def worker_cache(path: str, most: int) -> PieceCache:
     """The cache of this Python worker, which Spark reuses for further tasks.
 
     Functions reach the workers by value, so a global of this module would last for one task.
     """
     kept = sys.modules.setdefault("_sluice_worker", types.ModuleType("_sluice_worker")).__dict__
-    if ("pieces", path) not in kept:
-        kept["pieces", path] = PieceCache(PieceEncoder(path), most)
-    return kept["pieces", path]
+    if (path, most) not in kept:
+        kept[path, most] = PieceCache(PieceEncoder(path), most)
+    return kept[path, most]
 
 
 def slices(texts: pa.Array, most_bytes: int = 2 << 20):
@@ -124,8 +124,8 @@ def slices(texts: pa.Array, most_bytes: int = 2 << 20):
 class SpaceSplitEncoder:
     """Ids of whole texts under a tokenizer that drops white space, such as the word BPE."""
 
-    def __init__(self, path: str):
-        self.cache = worker_cache(path)
+    def __init__(self, path: str, most: int = 700_000):
+        self.cache = worker_cache(path, most)
 
     def __call__(self, texts: pa.Array):
         """Yields an array of ids for each text, in order; null counts as empty."""
