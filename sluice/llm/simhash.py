@@ -10,7 +10,8 @@ bucket larger than a block is compared in pairs of blocks by different tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from sluice.llm.components import roots
 from sluice.llm.line_dedup import small
 from sluice.llm.scratch import stored
+from sluice.llm.similar_sets import parity, similar_roots
 
 SEED = 42
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -62,10 +64,10 @@ def widened(hashes: np.ndarray, words: int) -> np.ndarray:
     return np.stack(columns, axis=1)
 
 
-def fingerprint(raw: bytes, size: int, words: int) -> bytes:
-    """Little-endian bytes of the fingerprint; all zero for a text without words."""
+def fingerprint(parts: Iterable[np.ndarray], words: int) -> bytes:
+    """Little-endian bytes of the fingerprint of hashes in parts; all zero without any."""
     counts, total = np.zeros(64 * words, dtype=np.int64), 0
-    for hashes in shingle_hashes(raw, size):
+    for hashes in parts:
         bits = np.unpackbits(
             widened(hashes, words).view(np.uint8).reshape(len(hashes), -1), axis=1, bitorder="little"
         )
@@ -80,7 +82,7 @@ def with_fingerprints(rows: DataFrame, size: int, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(raw or b"", size, words) for raw in b.column(2).to_pylist()]
+            fps = [fingerprint(shingle_hashes(raw or b"", size), words) for raw in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(fps, pa.binary())], names=["row", "doc_id", "fp"]
             )
@@ -89,6 +91,28 @@ def with_fingerprints(rows: DataFrame, size: int, words: int) -> DataFrame:
     return rows.mapInArrow(run, "row long, doc_id long, fp binary")
 
 
+def with_sets(rows: DataFrame, size: int, words: int) -> DataFrame:
+    """row, doc_id, digest, fp, parity and hashes: the distinct shingles' hashes, ascending, and what stands for them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
+            sets = [
+                np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(raw or b"", size)]))
+                for raw in b.column(2).to_pylist()
+            ]
+            fps = [fingerprint((own[i:i + SHINGLES] for i in range(0, len(own), SHINGLES)), words) for own in sets]
+            parities = [parity(own) for own in sets]
+            sets = [own.tobytes() for own in sets]
+            digests = [blake2b(own, digest_size=16).digest() for own in sets]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), *(pa.array(x, pa.binary()) for x in (digests, fps, parities, sets))],
+                names=["row", "doc_id", "digest", "fp", "parity", "hashes"],
+            )
+
+    rows = rows.select("row", F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "row long, doc_id long, digest binary, fp binary, parity binary, hashes binary")
+
+
 # --- bit-sliced comparison ----------------------------------------------------------------------
 
 
@@ -269,55 +293,41 @@ def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
     return rows.mapInArrow(run, "a long, b long")
 
 
-def alike(
-    links: DataFrame, nodes: DataFrame, prints: DataFrame, rows: DataFrame, size: int, threshold: float
+def near_groups(
+    rows: DataFrame, size: int, words: int, bands: Sequence[Sequence[int]], radius: int, block: int = BLOCK
 ) -> DataFrame:
-    """The links whose texts' shingle sets have at least this Jaccard similarity, over whole texts."""
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
-            sets = [
-                np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(raw or b"", size)])).tobytes()
-                for raw in b.column(1).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= threshold * (len(x) + len(y) - both))
-            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    links = stored(links.distinct(), "near-links")
-    ends = links.select(F.col("a").alias("node")).unionAll(links.select("b")).distinct()
-    owners = prints.join(nodes.select("fp", "node").join(ends, "node", "left_semi"), "fp")
-    owners = stored(owners.groupBy("node").agg(F.min("row").alias("row")), "near-owners")
-    texts = rows.select("row", F.col("text").cast("binary").alias("text")).join(small(owners), "row")
-    sets = stored(texts.select("node", "text").mapInArrow(gather, "node long, hashes binary"), "near-sets")
-    pairs = links.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return pairs.mapInArrow(check, "a long, b long")
+    """row, doc_id, fp, root and component_id (smallest doc_id) of rows with row, doc_id and text."""
+    prints = stored(with_fingerprints(rows, size, words), "fingerprints")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "fingerprint-nodes")
+    return prints.join(labelled(nodes, roots(near_links(nodes, bands, radius, block)), "fp"), "fp")
 
 
-def near_groups(
-    rows: DataFrame, size: int, words: int, bands: Sequence[Sequence[int]], radius: int,
-    block: int = BLOCK, threshold: float | None = None,
+def similar_groups(
+    rows: DataFrame, size: int, words: int, bands: Sequence[Sequence[int]], radius: int, threshold: float
 ) -> DataFrame:
-    """row, doc_id, fp, root and component_id (smallest doc_id) of rows with row, doc_id and text.
+    """row, doc_id, root and component_id of rows with distinct row, doc_id and text.
 
-    With a threshold only links of that Jaccard similarity count.
+    Texts are linked if their sets of distinct shingles have this Jaccard similarity. One node
+    stands for all rows of a set; fingerprints propose the first links, and none decides.
     """
-    prints = stored(with_fingerprints(rows, size, words), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "fingerprint-nodes")
-    links = near_links(nodes, bands, radius, block)
-    root = roots(links if threshold is None else alike(links, nodes, prints, rows, size, threshold))
-    rooted = nodes.join(root, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
+    prints = stored(with_sets(rows, size, words), "shingle-sets")
+    nodes = prints.groupBy("digest").agg(
+        F.min("doc_id").alias("least"), F.min("row").alias("node"), F.min("fp").alias("fp")
+    )
+    nodes = stored(nodes, "set-nodes")
+    copies = prints.select("row").join(nodes.select(F.col("node").alias("row")), "row", "left_anti")
+    sets = prints.join(small(stored(copies, "set-copies")), "row", "left_anti")
+    sets = sets.select(F.col("row").alias("node"), "hashes", "parity")
+    root = similar_roots(sets, near_links(nodes, bands, radius), threshold)
+    return prints.select("row", "doc_id", "digest").join(labelled(nodes, root, "digest"), "digest").drop("digest")
+
+
+def labelled(nodes: DataFrame, root: DataFrame, key: str) -> DataFrame:
+    """``key``, root and component_id of nodes with ``key``, node and least."""
+    rooted = nodes.join(root, "node", "left").select(key, "least", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = rooted.join(smallest, "root").select("fp", "root", "component_id")
-    return prints.join(labels, "fp")
+    return rooted.join(smallest, "root").select(key, "root", "component_id")
 
 
 def thirds(bits: int = 64, parts: int = 3) -> list[list[int]]:
@@ -361,9 +371,10 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
-    Texts are alike if their sets of word shingles have a Jaccard similarity of 0.8 or more. Candidates are
-    those whose 384-bit fingerprints share a band and differ in at most 78 bits; of a bucket's
-    candidates the closest that connect it are compared over whole texts. Repeated rows and rows
+    Texts are alike if their sets of word shingles have a Jaccard similarity of 0.8 or more, compared over
+    whole texts; no such pair is missed. Those whose 384-bit fingerprints share a band and differ in at
+    most 78 bits are compared first, the closest of a bucket that connect it; then all that
+    share a shingle of their prefixes and are not connected yet. Repeated rows and rows
     with equal or null ids are told apart, and one of a group stays. All columns are kept,
     whatever their names.
     """
@@ -372,7 +383,7 @@ def drop_near_duplicates(
     kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-input")
     rows = kept.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     bands = random_bands(64 * WIDE_WORDS, WIDE_BANDS, WIDE_BAND_BITS)
-    members = stored(near_groups(rows, size, WIDE_WORDS, bands, WIDE_RADIUS, threshold=SIMILARITY).drop("fp"), "near-members")
+    members = stored(similar_groups(rows, size, WIDE_WORDS, bands, WIDE_RADIUS, SIMILARITY), "near-members")
     stays = (
         members.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root").agg(F.min("row").alias("stays"))

@@ -127,3 +127,45 @@ def test_one_of_each_group_stays(spark):
     kept = drop_near_duplicates(spark.createDataFrame(rows, SCHEMA))
     assert kept.columns == ["doc_id", "text", "row", "fp"]
     assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 11]
+
+
+def joined_groups(rows: list[tuple], size: int = 5) -> set[int]:
+    """The smallest id of each component of pairs of similarity 0.8 or more, pair by pair."""
+    words = {r[0]: (r[1] or "").lower().split() for r in rows}
+    sets = {i: {tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))} if w else set() for i, w in words.items()}
+    group = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and group[a] != group[b] and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = {i: new if g == old else g for i, g in group.items()}
+    return set(group.values())
+
+
+def kept_ids(spark, rows: list[tuple]) -> list[int]:
+    return sorted(r.doc_id for r in drop_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+
+
+def test_failed_links_displace_no_similar_pair(spark):
+    """Variants of one text with similarities on both sides of 0.8."""
+    draw = random.Random(31)
+    base, rows = [f"u{i}" for i in range(304)], []
+    for i in range(150):
+        text = list(base)
+        for k in draw.sample(range(0, 304, 4), draw.randrange(3, 14)):
+            text[k] = f"c{draw.randrange(3)}_{k}"
+        rows.append((i, " ".join(text), 0, 0))
+    expected = joined_groups(rows)
+    assert 1 < len(expected) < 150
+    assert kept_ids(spark, rows) == sorted(expected)
+
+
+
+def test_a_large_bucket_is_compared_to_its_end(spark):
+    """Texts that share one rare shingle each hold their pair far behind in the bucket."""
+    draw, rows = random.Random(34), []
+    for i in range(0, 120, 2):
+        text = [f"line{k}" for k in range(30)] + [f"u{draw.randrange(10**6)}" for _ in range(60)]
+        rows += [(i, " ".join(text), 0, 0), (i + 1, " ".join(text[:-1] + ["other"]), 0, 0)]
+    assert kept_ids(spark, rows) == sorted(joined_groups(rows)) == list(range(0, 120, 2))
