@@ -161,6 +161,19 @@ def test_failed_links_displace_no_similar_pair(spark):
     assert kept_ids(spark, rows) == sorted(expected)
 
 
+def test_repeated_lines_count_once(spark):
+    draw, rows = random.Random(32), []
+    for i in range(0, 20, 2):  # one line five times more: the same set but for its seams
+        text = [f"u{draw.randrange(10**6)}" for _ in range(200)]
+        rows += [(i, " ".join(text), 0, 0), (i + 1, " ".join(text + text[40:52] * 5), 0, 0)]
+    line = [f"line{k}" for k in range(7)] * 50
+    for i in range(20, 40):  # hardly alike but for one line 50 times
+        rows.append((i, " ".join([f"u{draw.randrange(10**6)}" for _ in range(100)] + line), 0, 0))
+    expected = joined_groups(rows)
+    assert expected == {*range(0, 20, 2), *range(20, 40)}
+    assert kept_ids(spark, rows) == sorted(expected)
+
+
 
 def test_a_large_bucket_is_compared_to_its_end(spark):
     """Texts that share one rare shingle each hold their pair far behind in the bucket."""
