@@ -174,6 +174,15 @@ def test_repeated_lines_count_once(spark):
     assert kept_ids(spark, rows) == sorted(expected)
 
 
+def test_short_texts_of_similarity_are_all_found(spark):
+    draw, rows = random.Random(33), []
+    for i in range(0, 400, 2):
+        text = [f"u{draw.randrange(10**6)}" for _ in range(8 + i % 3)]
+        rows += [(i, " ".join(text), 0, 0), (i + 1, " ".join([*text, f"u{draw.randrange(10**6)}"]), 0, 0)]
+    expected = joined_groups(rows)
+    assert len(expected) == 200
+    assert kept_ids(spark, rows) == sorted(expected)
+
 
 def test_a_large_bucket_is_compared_to_its_end(spark):
     """Texts that share one rare shingle each hold their pair far behind in the bucket."""
