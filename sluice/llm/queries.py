@@ -81,7 +81,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,6 +122,27 @@ def test_empty_tables(spark):
     assert drop_contaminated(one, bench).count() == 0 and drop_repeated_chunks(none).collect() == []
 
 
+@pytest.mark.parametrize("short_items", [True, False])
+def test_items_of_fewer_than_five_words(spark, short_items):
+    items = [(1, "Paris"), (2, "blue whale"), (3, "it is 42 km"), (4, "one two three four five"), (5, "?!"), (6, "日本の首都"), (7, "no no")]
+    docs = [(1, "He lives in Paris, France."), (2, "the Blue-Whale is large"), (3, "whale blue"), (4, "it is 42 km"), (5, "it is 41 km"),
+            (6, "x one two three four five"), (7, "「日本の首都」は"), (8, "no"), (9, "No! no."), (10, ""), (11, None), (12, "parisian " * 500 + "paris")]
+    words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    expected = set()
+    for i, item in items:
+        n = min(len(w := words(item)), 5)
+        if n == 5 or (n and short_items):
+            expected |= {(d, i) for d, t in docs if any(words(t)[k:k + n] == w for k in range(len(words(t))))}
+    table = spark.createDataFrame([(*d, "r", "k", "d") for d in docs], DOCS)
+    bench = spark.createDataFrame(items, ITEMS)
+    found = contained_items(table, bench, short_items=short_items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == expected and len(found) == len(expected)
+    assert all((r.n_shingles, r.n_shared, r.containment) == (1, 1, 1.0) for r in found)
+    assert len(expected) == (7 if short_items else 1)
+    clean = drop_contaminated(table, bench, short_items=short_items)
+    assert {r.doc_id for r in clean.collect()} == {d[0] for d in docs} - {d for d, _ in expected}
+
+
 # --- preference pairs --------------------------------------------------------------------------
 
 
