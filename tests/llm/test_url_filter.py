@@ -65,3 +65,11 @@ def test_empty_tables(spark):
     assert judge_urls(none, rules).collect() == []
     one = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     assert tuple(judge_urls(one, spark.createDataFrame([], RULES)).first()) == (1, "a.com", "/x", None, "allow")
+
+
+def test_a_url_inside_the_query_is_no_path(spark):
+    urls = ["https://www.example.com?n=http://x/en/", "https://example.com#http://a.net/es/1", "http://b.net?u=https://b.net/fr/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = judge_urls(pages, spark.createDataFrame(URL_RULES, RULES)).collect()
+    assert sorted(map(tuple, found)) == [(i, *plain(u, URL_RULES)) for i, u in enumerate(urls)]
+    assert {r.path for r in found} == {""} and {r.verdict for r in found} == {"allow"}
