@@ -10,6 +10,7 @@ from sluice.llm.decontaminate import contained_items
 from sluice.llm.line_dedup import deduplicated
 from sluice.llm.packing import pack
 from sluice.llm.phrase_dedup import without_repeats
+from sluice.llm.piece_spans import encoded
 from sluice.llm.preference import preference_rows, with_next_answer
 from sluice.llm.prefix_forest import nearest
 from sluice.llm.scratch import new_path
@@ -90,6 +91,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_removed", kept.alias("kept_sha256"))
 
 
+def op11_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encoded(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_preference": op2_preference,
@@ -101,4 +112,5 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
+    "op11_piece_spans": op11_piece_spans,
 }
