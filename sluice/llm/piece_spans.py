@@ -149,6 +149,21 @@ class Normalizer:
         return bytes(out), [*align, at]
 
 
+    def many(self, texts: list[str], dummy: bool) -> tuple[list[str], np.ndarray]:
+        """The normalised texts, and all their alignments one after another."""
+        if self.map.units or self.trim or self.symbols or dummy or not self.escape:
+            found = [self(t.encode(), dummy) for t in texts]
+            return [n.decode() for n, _ in found], np.fromiter((a for _, x in found for a in x), np.int32)
+        # An empty map leaves all but spaces as it is: each text's bytes and one more for its end.
+        raw = [t.encode() for t in texts]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
+        ends = np.cumsum(sizes)
+        data = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
+        source = np.arange(len(data)) - np.repeat(ends - sizes, sizes)
+        aligned = np.repeat(source, np.where(data == 32, len(SPACE.encode()), 1)).astype(np.int32)
+        return [t.replace(" ", SPACE) for t in texts], aligned
+
+
 class SpanEncoder:
     """One model's normaliser, merges and decoding table, with a memory for repeated segments."""
 
@@ -196,11 +211,10 @@ class SpanEncoder:
 
     def project(self, texts: list[str], dummy: bool) -> tuple[np.ndarray, ...]:
         """ids, begins and ends of all texts one after another (places within their text), and how many each has."""
-        normal = [self.normalizer(t.encode(), dummy) for t in texts]
-        found = self.merges.encode([n.decode() for n, _ in normal], num_threads=1)
+        normal, aligned = self.normalizer.many(texts, dummy)
+        found = self.merges.encode(normal, num_threads=1)
         counts = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter((i for f in found for i in f), np.int32, int(counts.sum()))
-        aligned = np.fromiter((a for _, x in normal for a in x), np.int32, sum(len(x) for _, x in normal))
         # A character that falls back to bytes is the span of its last byte; the others' are empty.
         byte, sizes = self.byte_of[ids], self.sizes[ids]
         spelled = np.flatnonzero(byte >= 0)
