@@ -13,6 +13,7 @@ from sluice.llm.phrase_dedup import without_repeats
 from sluice.llm.piece_spans import encoded
 from sluice.llm.preference import preference_rows, with_next_answer
 from sluice.llm.prefix_forest import nearest
+from sluice.llm.prefix_trie import conversation_trie
 from sluice.llm.scratch import new_path
 from sluice.llm.simhash import simhash_components
 from sluice.llm.token_counts import token_counts
@@ -101,6 +102,10 @@ def op11_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_preference": op2_preference,
@@ -113,4 +118,5 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
     "op11_piece_spans": op11_piece_spans,
+    "op12_prefix_trie": op12_prefix_trie,
 }

@@ -1,0 +1,126 @@
+"""The trie of conversation beginnings against one built beginning by beginning."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from sluice.llm import prefix_trie
+from sluice.llm.prefix_trie import TernaryTree, conversation_trie, numbered_turns, prefix_nodes, rebuilt
+from sluice.llm.queries import op12_prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+NAMES = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute_force(rows) -> list[tuple]:
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    built = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = own.get(c - c % 5, [])[:h] + turns[h:]
+    return nodes_of(built)
+
+
+def nodes_of(built: dict[int, list]) -> list[tuple]:
+    members, children = defaultdict(list), defaultdict(set)
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+            if d:
+                children[tuple(turns[:d - 1])].add(tuple(turns[:d]))
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        own = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        leaves[node] = sum(leaves[c] for c in children[node]) or 1
+        saved[node] = own + sum(saved[c] for c in children[node])
+    found = []
+    for node, convs in members.items():
+        ends = ",".join(str(c) for c in sorted(convs) if len(built[c]) == len(node))
+        found.append((
+            min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), len(children[node]),
+            leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest(),
+        ))
+    return sorted(found, key=str)
+
+
+def result(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.select(*NAMES).collect()), key=str)
+
+
+def drawn(n: int, turns: int, texts: int, seed: int = 1) -> list[tuple]:
+    rng = random.Random(seed)
+    return [
+        (c, rng.choice([None, t, t, t]), rng.choice(["user", "assistant", None]), rng.choice([None, *"abcdefgh"[:texts]]))
+        for c in rng.sample(range(3 * n), n) for t in range(rng.randint(1, turns))
+    ]
+
+
+@pytest.mark.parametrize("shard_turns", [40, 200_000])
+def test_nodes_equal_brute_force(spark: SparkSession, monkeypatch, shard_turns: int):
+    monkeypatch.setattr(prefix_trie.prefix_nodes, "__defaults__", (shard_turns,))
+    for n, turns, texts in ((80, 10, 3),):
+        rows = drawn(n, turns, texts)
+        assert result(conversation_trie(spark.createDataFrame(rows, SCHEMA))) == brute_force(rows)
+
+
+def test_copies_long_paths_and_turnless_rows(spark: SparkSession):
+    """Two hundred equal conversations, a long one and some without turns, over many shards."""
+    built = {c: [("u", "same"), ("a", "ans")] for c in range(200)}
+    built |= {1000: [("u", str(i)) for i in range(150)], 1001: [], 1003: []}
+    built |= {2000 + i: [("u", str(j)) for j in range(i)] + [("a", "é")] for i in range(0, 150, 7)}
+    ids = {t: i for i, t in enumerate(sorted({t for turns in built.values() for t in turns}))}
+    rows = [(c, [(ids[t], len(t[1].encode())) for t in turns]) for c, turns in built.items()]
+    df = spark.createDataFrame(rows, "conv_id long, turns array<struct<id: long, size: long>>")
+    assert result(prefix_nodes(df, shard_turns=400)) == nodes_of(built)
+
+
+def test_rebuilt_takes_the_groups_first_turns(spark: SparkSession):
+    rows = [(c, t, "u", f"{c}.{t}") for c in (10, 11, 12, 13, 14, 21) for t in range(9)]
+    turns = numbered_turns(spark.createDataFrame(rows, SCHEMA))
+    names = {r.id: r.text for r in _names(spark, rows)}
+    for r in rebuilt(turns).collect():
+        h = zlib.crc32(str(r.conv_id).encode()) % 9
+        first = r.conv_id - r.conv_id % 5
+        taken = [f"{first}.{t}" for t in range(h)] if first == 10 else []
+        assert [names[t.id] for t in r.turns] == taken + [f"{r.conv_id}.{t}" for t in range(h, 9)]
+
+
+def _names(spark, rows):
+    """The numbers that texts get: one conversation of all of them, in order."""
+    df = spark.createDataFrame(rows, SCHEMA)
+    pairs = numbered_turns(df).select("conv_id", F.posexplode("turns").alias("at", "t"))
+    return pairs.select(F.col("t.id").alias("id"), F.format_string("%d.%d", "conv_id", "at").alias("text")).collect()
+
+
+def test_middle_first_keeps_the_tree_low():
+    tree = TernaryTree([[i] for i in range(1023)])
+    steps = []
+    for node in range(1, 1024):
+        at, n = tree.equal[0], 1
+        while at != node:
+            at, n = (tree.low if tree.turn[node] < tree.turn[at] else tree.high)[at], n + 1
+        steps.append(n)
+    assert max(steps) == 10
+
+
+def test_empty_and_other_columns(spark: SparkSession):
+    rows = [(5, 0, "user", "x", 1, 2), (5, 0, "user", "x", 1, 2), (None, 0, "user", "y", 1, 2)]
+    df = spark.createDataFrame(rows, SCHEMA + ", turns int, id int")
+    assert result(conversation_trie(df)) == brute_force([r[:4] for r in rows])
+    assert result(conversation_trie(df.limit(0))) == []
+
+
+def test_query_equals_brute_force(spark: SparkSession, sf_dir: str):
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    assert result(op12_prefix_trie(spark, sf_dir)) == brute_force([tuple(r) for r in rows])
