@@ -16,6 +16,7 @@ from sluice.llm.prefix_forest import nearest
 from sluice.llm.prefix_trie import conversation_trie
 from sluice.llm.scratch import new_path
 from sluice.llm.simhash import simhash_components
+from sluice.llm.spelling import spelling_groups
 from sluice.llm.token_counts import token_counts
 from sluice.llm.toxicity import judged
 from sluice.llm.url_filter import judge_urls
@@ -106,6 +107,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_preference": op2_preference,
@@ -119,4 +124,5 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_piece_spans": op11_piece_spans,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling": op13_spelling,
 }
