@@ -7,6 +7,9 @@ a key with a large share of the rows costs one row per task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,20 +38,32 @@ def streamable(registry: DataFrame, require_partitions: bool = True) -> DataFram
 
     ``require_partitions=False`` also admits entries without partition columns.
     """
-    names = IDENTITY if require_partitions else IDENTITY[:3]
-    return active(registry).where(_filled(*names))
+    return active(registry).where(can_stream(require_partitions))
+
+
+def can_stream(require_partitions: bool = True) -> Column:
+    """Whether an entry names all that a stream needs."""
+    return _filled(*(IDENTITY if require_partitions else IDENTITY[:3]))
+
+
+def can_table() -> Column:
+    """Whether an entry has all that a table needs but for the schema's being usable."""
+    names = ("event_key", "complete_schema", "is_transactional")
+    return reduce(and_, (F.col(name).isNotNull() for name in names))
 
 
 def tableable(registry: DataFrame) -> DataFrame:
     """Active entries with a key, a schema and a transaction flag."""
-    return active(registry).where(
-        "event_key IS NOT NULL AND complete_schema IS NOT NULL AND is_transactional IS NOT NULL"
-    )
+    return active(registry).where(can_table())
 
 
 def bucketed(registry: DataFrame) -> DataFrame:
     """Entries of a known bucket; the match is exact and case-sensitive."""
-    return registry.where(F.col("bucket_id").isin(*BUCKETS))
+    return registry.where(in_bucket())
+
+
+def in_bucket() -> Column:
+    return F.col("bucket_id").isin(*BUCKETS)
 
 
 def distinct_events(registry: DataFrame) -> DataFrame:

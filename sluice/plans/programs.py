@@ -8,14 +8,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.config import IngestConfig
-from sluice.operators.definitions import (
-    defined,
-    definition_counts,
-    described,
-    rejected,
-    with_newest_schemas,
-)
-from sluice.operators.registry import event_flag
+from sluice.operators.definitions import definition_counts, rejected, with_newest_schemas
+from sluice.operators.resolution import ranked, resolved, table_side
 from sluice.plans.tables import NAMESPACES, THREADS, create_statements, create_tables, outcome_counts
 from sluice.streaming.fanout import Started, await_all, start_all
 
@@ -46,13 +40,14 @@ def provision_tables(
     """Create the tables of the given sides and return the outcome of each.
 
     With ``schemas`` a table's columns come from the schema that its stream decodes with,
-    without from the registry's own copy. Every schema is parsed once.
+    without from the registry's own copy. Every schema is parsed once. Entry and layout of an event are
+    those that its stream has.
     """
     if schemas is not None:
         registry = with_newest_schemas(registry, schemas)
-    entries = described(registry).persist()
+    entries = ranked(registry).persist()
     try:
-        definitions = defined(entries, event_flag(registry))
+        definitions = table_side(resolved(entries))
         for row in definition_counts(definitions).collect():  # at most one row per side
             LOG.info("%s events: %d", namespaces[row.is_transactional], row.definitions)
         LOG.info("entries without a usable schema: %d", rejected(entries).count())

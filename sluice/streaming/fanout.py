@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.config import IngestConfig
 from sluice.operators.records import require_codec, to_rows
 from sluice.operators.registry import events_to_stream, priority_order, with_stream_schema
+from sluice.operators.resolution import resolved_entries, stream_side
 from sluice.plans.tables import brief
 from sluice.sources.stream import read_records
 from sluice.streaming.sink import require_switches, start_event
@@ -41,12 +42,17 @@ def stream_plan(registry: DataFrame, schemas: DataFrame) -> DataFrame:
     return priority_order(with_stream_schema(events_to_stream(registry), schemas))
 
 
+def resolved_stream_plan(registry: DataFrame, schemas: DataFrame) -> DataFrame:
+    """As ``stream_plan``, with the entries and layouts that the tables have too."""
+    return priority_order(with_stream_schema(stream_side(resolved_entries(registry)), schemas))
+
+
 def start_all(
     spark: SparkSession, registry: DataFrame, schemas: DataFrame, config: IngestConfig
 ) -> list[Started]:
     """Start the queries, first bucket first. An event that fails is reported and skipped.
 
-    Each key starts its newest entry. Every query runs in the scheduler pool of its bucket,
+    Each key starts its resolved entry, whose layout its table has too. Every query runs in the scheduler pool of its bucket,
     so a FAIR scheduler can weigh the buckets. Settings that no event could run with (a
     codec without its module, a switch the sink or session lacks) are refused at once.
     """
@@ -55,7 +61,7 @@ def start_all(
     started = []
     pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
     try:
-        for event in stream_plan(registry, schemas).toLocalIterator():
+        for event in resolved_stream_plan(registry, schemas).toLocalIterator():
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", event.bucket_id)
             started.append(_start(spark, event, config))
     finally:

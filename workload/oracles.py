@@ -212,6 +212,27 @@ ORACLES = {
             CASE WHEN len({_ITEMS}) > 0 THEN {_JOINED} END AS table_partitions FROM definitions)
         SELECT event_key, stream_path, stream_partitions, table_path, table_partitions
         FROM s FULL JOIN t USING (event_key)""",
+    # Rank 3: for both sides, 2: for the table, 1: for the stream; the newest of the highest rank decides.
+    "reg_resolved": f"""WITH {REGISTRY}, {COLUMNS}, ranked AS (SELECT *, split_part(event_key, '_', 1) AS event_type,
+        CASE WHEN event_key IS NOT NULL AND complete_schema IS NOT NULL AND is_transactional IS NOT NULL
+            AND NOT {_BAD} THEN 2 ELSE 0 END AS tabled,
+        CASE WHEN length(event_key) > 0 AND length(topic_list) > 0 AND length(partition_columns) > 0
+            AND {_BUCKETED} THEN 1 ELSE 0 END AS streamed FROM registry WHERE is_active),
+        winners AS (SELECT * FROM ranked WHERE tabled + streamed > 0
+            QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY tabled + streamed DESC, ordinal DESC) = 1),
+        sources AS (SELECT * FROM ranked WHERE streamed = 1
+            QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY tabled DESC, ordinal DESC) = 1),
+        counts AS (SELECT event_type, count(*) AS columns FROM columns_of GROUP BY event_type),
+        found AS (SELECT w.event_key, s.ordinal AS source, s.topics, s.bucket_id,
+            CASE WHEN s.ordinal IS NOT NULL THEN path END AS stream_path,
+            CASE WHEN s.ordinal IS NOT NULL THEN coalesce(parts, '') END AS stream_partitions,
+            CASE WHEN w.tabled > 0 THEN w.ordinal END AS described_by, CASE WHEN w.tabled > 0 THEN path END AS table_path,
+            CASE WHEN w.tabled > 0 AND parts <> '' THEN parts END AS table_partitions,
+            CASE WHEN w.tabled > 0 THEN c.columns END AS columns
+        FROM (SELECT *, {_path('is_transactional')} AS path, {_JOINED} AS parts FROM winners) w
+        LEFT JOIN (SELECT event_key, ordinal, bucket_id, {_unbracketed('topic_list')} AS topics FROM sources) s
+            USING (event_key) LEFT JOIN counts c USING (event_type))
+        SELECT *, stream_path = table_path AND stream_partitions = coalesce(table_partitions, '') AS agreed FROM found""",
     "schema_type_rejects": f"""WITH types AS ({_select(inputs.TYPE_COLUMNS, 'events')})
         SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'integer' WHEN 1 THEN 'Array<long>' END AS ddl,
         CASE event_id % 6 WHEN 2 THEN 'INVALID_TYPE' WHEN 3 THEN 'MALFORMED_JSON'

@@ -12,6 +12,7 @@ from sluice.functions.avro_types import ddl_type
 from sluice.operators import definitions as defs
 from sluice.operators import records as rec
 from sluice.operators import registry as reg
+from sluice.operators import resolution
 from sluice.operators.latest import last_per_key
 from sluice.plans import tables
 from sluice.sources.registry import latest_schemas, read_registry, read_schemas
@@ -245,6 +246,24 @@ def reg_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.join(side(defs.table_definitions(entries), "table"), "event_key", "full")
 
 
+@query
+def reg_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of every event from one entry: directory, flag and partition columns."""
+    entries, config = resolution.resolved_entries(inputs.registry(spark, sf_dir)), _table_config()
+    path = config.event_path_column(F.col("event_key"), F.col("is_transactional"))
+    streams = resolution.stream_side(entries).select(
+        "event_key", F.col("ordinal").alias("source"), "topics", "bucket_id", path.alias("stream_path"),
+        F.array_join("stream_partitions", "|").alias("stream_partitions"),
+    )
+    tables_ = resolution.table_side(entries).select(
+        "event_key", F.col("ordinal").alias("described_by"), path.alias("table_path"),
+        F.array_join("table_partitions", "|").alias("table_partitions"), F.size("columns").cast("long").alias("columns"),
+    )
+    agreed = (F.col("stream_path") == F.col("table_path")) & (
+        F.col("stream_partitions") == F.coalesce("table_partitions", F.lit("")))
+    return streams.join(tables_, "event_key", "full").withColumn("agreed", agreed)
+
+
 # --- schemas and tables -----------------------------------------------------------------
 
 
