@@ -12,6 +12,7 @@ from sluice.operators.definitions import definition_counts, rejected, with_newes
 from sluice.operators.resolution import ranked, resolved, table_side
 from sluice.plans.tables import NAMESPACES, THREADS, create_statements, create_tables, outcome_counts
 from sluice.streaming.fanout import Started, await_all, start_all
+from sluice.streaming.ledger import current_layouts
 
 LOG = logging.getLogger(__name__)
 
@@ -51,7 +52,8 @@ def provision_tables(
         for row in definition_counts(definitions).collect():  # at most one row per side
             LOG.info("%s events: %d", namespaces[row.is_transactional], row.definitions)
         LOG.info("entries without a usable schema: %d", rejected(entries).count())
-        statements = create_statements(definitions, config, catalog, namespaces)
+        layouts = None if config.sink_format == "delta" else current_layouts(spark, config)
+        statements = create_statements(definitions, config, catalog, namespaces, layouts=layouts)
         outcomes = create_tables(spark, statements, sides, threads)
     finally:
         entries.unpersist()

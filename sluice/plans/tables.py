@@ -28,9 +28,11 @@ def create_statements(
     catalog: str | None = None,
     namespaces: Mapping[bool, str] = NAMESPACES,
     quoted: bool = True,
+    layouts: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``namespace`` and the ``statement`` that creates the event's table.
 
+    With ``layouts`` (event_key, directory) a table lies where its event's newest generation does.
     ``quoted=False`` gives bare names without a catalog or schema, for a
     session that has already chosen them.
     """
@@ -42,15 +44,19 @@ def create_statements(
         "columns", lambda c: F.concat_ws(" ", mark(c["column_name"]), c[type_field])
     )
     parts = F.array_join(F.transform("table_partitions", mark), ", ")
-    location = quote_literal(config.event_path_column(key, flag))
-    return definitions.withColumn("namespace", namespace).withColumn("statement", F.concat(
+    place = config.event_path_column(key, flag)
+    if layouts is not None:
+        definitions = definitions.join(layouts.select("event_key", "directory"), "event_key", "left")
+        place = F.coalesce("directory", place)
+    found = definitions.withColumn("namespace", namespace).withColumn("statement", F.concat(
         F.lit("CREATE TABLE IF NOT EXISTS "),
         _table_name(key, namespace, catalog) if quoted else key,
         F.lit(" ("), F.array_join(columns, ", "),
         F.lit(f") USING {config.sink_format.upper()}"),
         F.coalesce(F.concat(F.lit(" PARTITIONED BY ("), parts, F.lit(")")), F.lit("")),
-        F.lit(" LOCATION "), location,
+        F.lit(" LOCATION "), quote_literal(place),
     ))
+    return found if layouts is None else found.drop("directory")
 
 
 def _table_name(key: Column, namespace: Column, catalog: str | None) -> Column:

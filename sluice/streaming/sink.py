@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sluice.config import IngestConfig
+from sluice.streaming import files
+from sluice.streaming.ledger import Layout, append_batch, settle
 
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
@@ -59,26 +61,28 @@ def event_writer(
     partitions: Sequence[str],
     config: IngestConfig,
     is_transactional: bool | None = None,
+    layout: Layout | None = None,
 ) -> DataStreamWriter:
     """The append of one event: own directory, own checkpoint, own query name.
 
-    Exactly-once comes from the sink's own commit log and the checkpoint.
+    Exactly-once comes from the sink's own commit log and the checkpoint. That log cannot start in the middle
+    of a checkpoint, so generations after the first take each batch to the directory of its number.
     Delta gathers partitions itself if told to; for other formats
     ``optimize_write`` adds the shuffle here, inside the same micro-batch plan.
     """
     require_switches(rows.sparkSession, config)
     if config.optimize_write and config.sink_format != "delta":
         rows = gather_partitions(rows, partitions)
-    writer = (
-        rows.writeStream.format(config.sink_format)
-        .outputMode("append")
-        .options(**sink_options(config))
-        .option("path", config.event_path(event_key, is_transactional))
-        .option("checkpointLocation", config.event_checkpoint(event_key))
-        .queryName(f"Stream-{event_key}")
-    )
-    if partitions:
-        writer = writer.partitionBy(*partitions)
+    writer = rows.writeStream.outputMode("append")
+    if layout is not None and layout.generation > 0:
+        form, options = config.sink_format, sink_options(config)
+        writer = writer.foreachBatch(lambda batch, number: append_batch(batch, number, layout, form, options))
+    else:
+        path = config.event_path(event_key, is_transactional)
+        writer = writer.format(config.sink_format).options(**sink_options(config)).option("path", path)
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+    writer = writer.option("checkpointLocation", config.event_checkpoint(event_key)).queryName(f"Stream-{event_key}")
     if config.available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=config.processing_time)
@@ -91,10 +95,14 @@ def start_event(
     config: IngestConfig,
     is_transactional: bool | None = None,
 ) -> StreamingQuery:
-    """Starts the append. A query keeps the session settings of its start, so the size holds for it."""
-    writer = event_writer(rows, event_key, partitions, config, is_transactional)
+    """Starts the append where the ledger says. A query keeps the session settings of its start, so the size holds."""
+    spark, layout = rows.sparkSession, None
+    require_switches(spark, config)
+    if config.sink_format != "delta":
+        layout = settle(spark, config, event_key, rows.schema, partitions, is_transactional)
+    writer = event_writer(rows, event_key, partitions, config, is_transactional, layout)
     size = {} if config.target_bytes is None else {ADVISORY_SIZE: str(config.target_bytes)}
-    with session_conf(rows.sparkSession, size):
+    with session_conf(spark, size):
         return writer.start()
 
 
@@ -113,8 +121,9 @@ def compact(
     The source stays as it is: a streaming sink's log pins its files. ``where``
     on partition columns limits the work to some directories. ``schema`` is that of the rows,
     partition columns included; without one the schemas of all files are merged, which
-    opens every footer. Partition values that no schema types are text and are carried over
-    unchanged. The target must have the columns and as many rows as were read.
+    opens every footer. A schema that lacks a column of the files is refused, by one footer of each directory. Partition
+    values that no schema types are text and are carried over unchanged. The target must have the
+    columns and as many rows as were read; both counts come from footers. Without any row nothing is written.
     """
     with session_conf(spark, {
         "spark.sql.adaptive.enabled": "true",
@@ -124,8 +133,12 @@ def compact(
         reader = spark.read.format(format)
         reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
         rows = reader.load(source)
+        if schema is not None:
+            require_columns(rows, source, format)
         if where:
             rows = rows.where(where)
+        if rows.isEmpty():
+            return
         writer = gather_partitions(rows, partitions).write.format(format).mode("errorifexists")
         if partitions:
             writer = writer.partitionBy(*partitions)
@@ -136,6 +149,17 @@ def compact(
             raise RuntimeError(f"{target} does not hold the rows of {source}")
 
 
+def require_columns(rows: DataFrame, source: str, format: str = "parquet") -> None:
+    """Refuse a reader's schema that leaves out a column of the files it reads."""
+    sample = {path.rsplit("/", 1)[0]: path for path in files.input_paths(rows)}
+    if not sample:
+        return
+    reader = rows.sparkSession.read.format(format).option("mergeSchema", "true").option("basePath", source)
+    lacking = sorted(set(reader.load(list(sample.values())).columns) - set(rows.columns))
+    if lacking:
+        raise ValueError(f"the schema lacks the columns {', '.join(lacking)} of {source}")
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     before = {name: spark.conf.get(name, None) for name in settings}

@@ -191,6 +191,7 @@ ORACLES = {
     "flow_event_append": _ALL_ROWS,
     "flow_permissive_append": _damaged(_PARTS),
     "flow_restart": _ALL_ROWS,
+    "flow_relayout": _ALL_ROWS,
     "flow_schema_merge": _MERGED_ROWS,
     "flow_fanout": f"""SELECT event_type AS event_key, event_id, user_id, {_VALUE}, {_PARTS}
         FROM events WHERE event_type IN ('click', 'purchase', 'signup')""",
@@ -202,6 +203,8 @@ ORACLES = {
         CAST(sum(user_id) AS BIGINT) AS user_ids, count(value) AS filled, min(value) AS least,
         max(value) AS most FROM ({_ALL_ROWS}) GROUP BY ALL""",
     "sink_compact_merged": _MERGED_ROWS,
+    "sink_published": f"""SELECT 'publication 1' AS stage, * FROM ({_ALL_ROWS} WHERE event_id % 2 = 0)
+        UNION ALL SELECT * FROM (VALUES ('late rows'), ('publication 2')) AS s(stage) CROSS JOIN ({_ALL_ROWS})""",
     "sink_compression": f"""SELECT "dpYear", "dpMonth", "dpDay", 'zstd' AS codec, count(*) AS rows
         FROM ({_ALL_ROWS}) GROUP BY ALL""",
     "flow_query_names": f"""SELECT event_key,

@@ -17,7 +17,8 @@ from sluice.operators.latest import last_per_key
 from sluice.plans import tables
 from sluice.sources.registry import latest_schemas, read_registry, read_schemas
 from sluice.sources.stream import RECORD_SCHEMA, read_records
-from sluice.streaming import fanout, sink
+from sluice.streaming import fanout, ledger, sink
+from sluice.streaming.published import publish, read_published
 from workload import inputs
 
 DAY = ("dpYear", "dpMonth", "dpDay")
@@ -400,6 +401,21 @@ def flow_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows_at(spark, config.event_path("event"))
 
 
+@query
+def flow_relayout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three deliveries under three layouts: one more partition column, then the other kind's directory."""
+    root, fields = inputs.scratch(spark, "relayout"), _fields(spark, sf_dir)
+    config = inputs.parquet_config(
+        root, source_options={"path": f"{root}/log"}, txn_path=f"{root}/txn", non_txn_path=f"{root}/non-txn")
+    for n, (partitions, flag) in enumerate([(DAY[:1], False), (DAY, False), (DAY, True)]):
+        _deliver(fields.where(F.col("event_id") % 3 == n), f"{root}/log")
+        for _ in range(2):  # the second run finds nothing new and stays in its generation
+            rows = fanout.event_rows(spark, config, TOPICS, inputs.BODY_SCHEMA)
+            sink.start_event(rows, "event", partitions, config, flag).awaitTermination()
+    names = [field.split()[0] for field in ROW_SCHEMA.split(", ")]
+    return ledger.read_event(spark, config, "event", ROW_SCHEMA).select(*names)
+
+
 def _narrow_then_wide(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, IngestConfig]:
     """Two runs; the second one's rows have a column more."""
     root = inputs.scratch(spark, label)
@@ -509,6 +525,29 @@ def sink_compact_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows_at(spark, f"{root}/compacted")
 
 
+@query
+def sink_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A live directory read three times: after its first delivery is published, after a later one, and published again."""
+    root = inputs.scratch(spark, "published")
+    config = inputs.parquet_config(root, source_options={"path": f"{root}/log"})
+    source, target, reads = config.event_path("event"), f"{root}/published", []
+    names = [field.split()[0] for field in ROW_SCHEMA.split(", ")]
+
+    def look(stage: str) -> None:
+        rows = read_published(spark, source, target, DAY, ROW_SCHEMA)
+        reads.append(rows.select(F.lit(stage).alias("stage"), *names))
+
+    for n, delivery in enumerate(_halves(spark, sf_dir)):
+        _deliver(delivery, f"{root}/log")
+        rows = fanout.event_rows(spark, config, TOPICS, inputs.BODY_SCHEMA)
+        sink.start_event(rows, "event", DAY, config).awaitTermination()
+        if n:
+            look("late rows")
+        publish(spark, source, target, DAY, "dpDay % 2 = 0", schema=ROW_SCHEMA)
+        look(f"publication {n + 1}")
+    return reads[0].unionAll(reads[1]).unionAll(reads[2])
+
+
 @query
 def sink_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = inputs.parquet_config(inputs.scratch(spark, "compression"), compression="zstd")
