@@ -19,7 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.tokens import SpaceSplitEncoder
+from sluice.llm.tokens import SpaceSplitEncoder, forget
+from sluice.llm.worker import releasing
 
 SCHEMA = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -124,6 +125,7 @@ def pack(
     end_id: int = 2,
     max_open: int = 1024,
     most_pieces: int = 700_000,
+    keep_pieces: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -133,7 +135,7 @@ def pack(
     unsigned 32-bit numbers. A null or empty text is the end id alone. Each row is
     packed for itself, also if ids or texts repeat or the id is null. An empty table gives no
     rows; other columns are not read. A Python worker remembers ``most_pieces`` pieces of text,
-    some hundred bytes each, also while it runs other tasks.
+    some hundred bytes each, also while it runs other tasks unless ``keep_pieces`` is off.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,6 +149,8 @@ def pack(
                     yield packer.taken()
         packer.finish()
         yield packer.taken()
+        if not keep_pieces:
+            forget(tokenizer_path, most_pieces)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(releasing(run), SCHEMA)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.tokens import slices, spread
+from sluice.llm.worker import releasing
 
 #: Field numbers of the model file, the kinds of piece and the sign for a space.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -362,7 +363,7 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
                 )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SPANS}")
+    return rows.mapInArrow(releasing(encode), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SPANS}")
 
 
 def _read(path: str) -> bytes:

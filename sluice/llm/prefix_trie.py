@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.scratch import stored
+from sluice.llm.worker import releasing
 
 #: Turns in a shard, which a task holds as a tree; a single longer conversation is a shard's row all the same.
 SHARD_TURNS = 200_000
@@ -265,7 +266,7 @@ def prefix_nodes(sequences: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFr
     turns = distinct.agg(F.sum(F.size("ids"))).first()[0] or 0
     shards = 1 + turns // shard_turns
     ranged = distinct.repartitionByRange(shards, "ids").sortWithinPartitions("ids")
-    nodes = stored(ranged.mapInArrow(shard_nodes, _SHARD), "shard-nodes")
+    nodes = stored(ranged.mapInArrow(releasing(shard_nodes), _SHARD), "shard-nodes")
     paths = merged_paths(nodes.where("key IS NOT NULL"))
     above = paths.select(F.col("key").alias("parent_key"), F.col("least").alias("above"))
     inner = nodes.where("key IS NULL").join(above, "parent_key", "left").withColumn(

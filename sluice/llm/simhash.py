@@ -22,6 +22,7 @@ from sluice.llm.components import roots
 from sluice.llm.line_dedup import small
 from sluice.llm.scratch import stored
 from sluice.llm.similar_sets import parity, similar_roots
+from sluice.llm.worker import releasing
 
 SEED = 42
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -88,7 +89,7 @@ def with_fingerprints(rows: DataFrame, size: int, words: int) -> DataFrame:
             )
 
     rows = rows.select("row", F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "row long, doc_id long, fp binary")
+    return rows.mapInArrow(releasing(run), "row long, doc_id long, fp binary")
 
 
 def with_sets(rows: DataFrame, size: int, words: int) -> DataFrame:
@@ -110,7 +111,7 @@ def with_sets(rows: DataFrame, size: int, words: int) -> DataFrame:
             )
 
     rows = rows.select("row", F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "row long, doc_id long, digest binary, fp binary, parity binary, hashes binary")
+    return rows.mapInArrow(releasing(run), "row long, doc_id long, digest binary, fp binary, parity binary, hashes binary")
 
 
 # --- bit-sliced comparison ----------------------------------------------------------------------
@@ -237,9 +238,9 @@ def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
                     [pa.array(bucket), b.column(0), b.column(1)], names=["bucket", "node", "fp"]
                 )
 
-    rows = nodes.select("node", "fp").mapInArrow(keyed, "bucket long, node long, fp binary")
+    rows = nodes.select("node", "fp").mapInArrow(releasing(keyed), "bucket long, node long, fp binary")
     large = (
-        nodes.select("node", "fp").mapInArrow(keyed, "bucket long, node long, fp binary")
+        nodes.select("node", "fp").mapInArrow(releasing(keyed), "bucket long, node long, fp binary")
         .groupBy("bucket").count().where(F.col("count") > block)
         .select("bucket", F.ceil(F.col("count") / block).cast("long").alias("blocks"))
     )
@@ -290,7 +291,7 @@ def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
         if held is not None:
             yield compare(held)
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(releasing(run), "a long, b long")
 
 
 def near_groups(

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.scratch import stored
+from sluice.llm.worker import releasing
 
 # The letters of a run (after A-Z are lower-cased), one deletion in so many runs, the least word.
 RUN = re.compile("[a-zÀ-ÿ]+")
@@ -69,7 +70,7 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         yield _counted(counts)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    parts = rows.mapInArrow(count, "word string, n long")
+    parts = rows.mapInArrow(releasing(count), "word string, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
@@ -210,7 +211,7 @@ def near_words(words: DataFrame, block: int = BLOCK) -> DataFrame:
 
     tasks = 1 + 4 * words.count() // block
     dealt = rows.repartition(tasks, *names, "tile").sortWithinPartitions(*names, "tile")
-    found = dealt.mapInArrow(search, _FOUND)
+    found = dealt.mapInArrow(releasing(search), _FOUND)
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best"))
 
 

@@ -111,6 +111,11 @@ def worker_cache(path: str, most: int) -> PieceCache:
     return kept[path, most]
 
 
+def forget(path: str, most: int) -> None:
+    """Drop this worker's cache."""
+    sys.modules.get("_sluice_worker", types.ModuleType("")).__dict__.pop((path, most), None)
+
+
 def slices(texts: pa.Array, most_bytes: int = 2 << 20):
     """Parts of the texts of at most so many bytes, or of one text."""
     total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.worker import releasing
+
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 #: Words whose class needs no label; general vocabulary of the four languages.
 WORDS = {
@@ -46,6 +48,8 @@ REACH = {NEGATION: 3, TARGET: 4, REPORT: 12}
 PREFIXES = (4, 5, 6)
 LEXICON_SIZE = 4096
 TRAINING_ROWS = 20_000
+#: Tokens whose reading a task keeps, some 300 bytes each.
+REMEMBERED = 50_000
 #: Marks of a word of abuse: plain, then + 1 negated, + 2 reported, + 4 targeted.
 MARKS = 8
 FEATURES = 2 * MARKS + 5
@@ -152,7 +156,7 @@ def features(text: str, lexicon: Lexicon, machine: Transducer, memo: dict[str, t
         else:
             read = memo.get(token)
             if read is None:
-                if len(memo) > 200_000:
+                if len(memo) > REMEMBERED:
                     memo.clear()
                 read = memo[token] = lexicon.read(token)
             clause.append(read)
@@ -239,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Model:
                     [pa.array(x, pa.list_(pa.float64())), b.column(1).cast(pa.int32())], names=["x", "y"]
                 )
 
-        data = rows.select("text", F.col("toxic").cast("int")).mapInArrow(measure, "x array<double>, y int").collect()
+        data = rows.select("text", F.col("toxic").cast("int")).mapInArrow(releasing(measure), "x array<double>, y int").collect()
     finally:
         rows.unpersist()
     x = np.array([r.x for r in data]).reshape(-1, FEATURES)
@@ -282,7 +286,7 @@ def toxicity_scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
             x = [features(t or "", model.lexicon, machine, memo) for t in texts.to_pylist()]
             yield pa.array(model.score(np.array(x).reshape(-1, FEATURES)), pa.float64())
 
-    score = F.arrow_udf(scored, "double")
+    score = F.arrow_udf(releasing(scored), "double")
     return docs.withColumn("score", score(F.col(text_col)))
 
 
@@ -305,4 +309,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) ->
             x = [features(t or "", model.lexicon, machine, memo) for t in texts.to_pylist()]
             yield pa.array(model.score(np.array(x).reshape(-1, FEATURES)) < 0.5)
 
-    return docs.where(F.arrow_udf(clean, "boolean")(F.col("text")))
+    return docs.where(F.arrow_udf(releasing(clean), "boolean")(F.col("text")))
