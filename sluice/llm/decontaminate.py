@@ -116,7 +116,11 @@ def drop_contaminated(
     docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
     short_items: bool = False,
 ) -> DataFrame:
-    """``docs`` without the rows whose text holds an item; rows with the same id but other texts stay."""
+    """``docs`` without the rows whose text holds an item; rows with the same id but other texts stay.
+
+    Null and empty texts hold nothing, repeated rows go or stay together, an empty table of either side drops
+    nothing, and all columns are kept, whatever their names.
+    """
     hit = contained_items(
         docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("copy")).alias("doc_id"),
                     F.col(text_col).alias("text")),
@@ -124,4 +128,6 @@ def drop_contaminated(
     ).select("doc_id").distinct()
     hit = small(stored(hit, "contaminated"))
     own = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("copy"))
-    return docs.join(hit.select(F.col("doc_id").alias("contaminated_row")), own.eqNullSafe(F.col("contaminated_row")), "left_anti")
+    taken = {c.lower() for c in docs.columns}
+    name = next(c for c in (f"contaminated_row_{i}" for i in range(len(taken) + 1)) if c not in taken)
+    return docs.join(hit.select(F.col("doc_id").alias(name)), own.eqNullSafe(F.col(name)), "left_anti")

@@ -8,7 +8,7 @@ ORACLES = {
             SELECT page_id,
                 translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''),
                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-                coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*(/[^?#]*)', 1), '') AS path
+                coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
             FROM pages
         ), rules(rule_host, rule_path, rule_verdict) AS (VALUES
             ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -29,15 +29,17 @@ ORACLES = {
 _WORDS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '')"
 
 ORACLES["op9_decontamination"] = rf"""
-    WITH items AS (
-        SELECT item_id, unnest(list_distinct(list_transform(range(1, len(w) - 3),
-            lambda i: array_to_string(w[i:i + 4], ' ')))) AS shingle
-        FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)
+    WITH texts AS (SELECT item_id, w, least(len(w), 5) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)
+        WHERE len(w) > 0
+    ), items AS (
+        SELECT item_id, unnest(list_distinct(list_transform(range(1, len(w) - k + 2),
+            lambda i: array_to_string(w[i:i + k - 1], ' ')))) AS shingle
+        FROM texts
     ), sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
     docs AS (
-        SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3),
-            lambda i: array_to_string(w[i:i + 4], ' ')))) AS shingle
-        FROM (SELECT doc_id, {_WORDS} AS w FROM documents)
+        SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - k + 2),
+            lambda i: array_to_string(w[i:i + k - 1], ' ')))) AS shingle
+        FROM (SELECT doc_id, {_WORDS} AS w FROM documents), (SELECT DISTINCT k FROM texts)
     )
     SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS n_shingles, CAST(count(*) AS INTEGER) AS n_shared,
         count(*) / any_value(n) AS containment

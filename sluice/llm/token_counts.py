@@ -15,8 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm.line_dedup import BROADCAST_ROWS
 from sluice.llm.scratch import stored
 from sluice.llm.tokens import count_tokens, worker_cache
+from sluice.llm.worker import releasing
 
 CACHE_SCHEMA = "content binary, tokenizer binary, n_tokens long"
 #: Part of the tokenizer's digest: raise it when the way of counting changes.
@@ -46,17 +48,17 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
 def add_misses(docs: DataFrame, cache_path: str, tokenizer_path: str, text_col: str = "text") -> None:
     """Encodes every distinct text that the cache lacks and appends its count.
 
-    Copies meet map-side first: a partition sends one text per digest, so that a text held by
-    a third of all rows is no hot key. Only what the cache lacks is shuffled.
+    Digests meet the cache alone, without their texts. Then a task sends one text for each digest it has, so a text
+    held by a third of all rows is no hot key. Cached texts are not shuffled while the missing
+    digests are few enough to broadcast (or all are missing); beyond that a task sends one text for a cached digest
+    too, which is dropped before it is encoded.
     """
     spark, version = docs.sparkSession, tokenizer_digest(tokenizer_path)
     known = read_cache(spark, cache_path).where(F.col("tokenizer") == F.lit(version)).select("content")
     texts = docs.select(
         content_digest(F.col(text_col)).alias("content"), F.coalesce(text_col, F.lit("")).alias("text")
     )
-    misses = (
-        texts.join(known, "content", "left_anti").groupBy("content").agg(F.first("text").alias("text"))
-    )
+    misses = missing_texts(texts, known)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,7 +70,21 @@ def add_misses(docs: DataFrame, cache_path: str, tokenizer_path: str, text_col:
                     names=["content", "tokenizer", "n_tokens"],
                 )
 
-    misses.mapInArrow(encode, CACHE_SCHEMA).write.mode("append").parquet(cache_path)
+    misses.mapInArrow(releasing(encode), CACHE_SCHEMA).write.mode("append").parquet(cache_path)
+
+
+def missing_texts(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """content and text, once for each content of ``texts`` that ``known`` lacks."""
+    one = F.first("text").alias("text")
+    if known.isEmpty():
+        return texts.groupBy("content").agg(one)
+    missing = stored(texts.select("content").distinct().join(known, "content", "left_anti"), "missing-digests")
+    few = missing.count() <= BROADCAST_ROWS
+    if few:
+        texts = texts.join(F.broadcast(missing), "content", "left_semi")
+    found = texts.groupBy("content").agg(one)
+    # Not a semi-join, which the optimizer would move below the aggregate, to where copies have not met.
+    return found if few else found.join(missing, "content")
 
 
 def token_counts(

@@ -114,6 +114,16 @@ def test_containment_equals_brute_force(spark):
     assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted((d[:2] for d in docs if d[:2] not in bad), key=str)
 
 
+def test_clashing_names_and_nulls_in_decontamination(spark):
+    item = "one two three four five six"
+    rows = [(1, f"a {item} b", 0, 0), (1, "other text", 0, 0), (None, item, 0, 0), (2, None, 0, 0), (2, "", 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, contaminated_row int, Contaminated_Row_0 int")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    kept = drop_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "-") for r in kept.collect()) == [(1, "other text"), (2, "-"), (2, "-")]
+
+
 def test_empty_tables(spark):
     none, bench = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "a b c d e f")], ITEMS)
     one = spark.createDataFrame([(1, "x a b c d e f", "", "", "")], DOCS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sluice.llm.packing import Packer, pack
-from sluice.llm.token_counts import token_counts
+from sluice.llm.token_counts import missing_texts, token_counts
 from sluice.llm.tokens import PieceCache, PieceEncoder, SpaceSplitEncoder, count_tokens
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -112,3 +112,24 @@ def test_special_strings_stay_single_ids(path):
     ids, starts = encoder.encode_pieces(pieces)
     for i, p in enumerate(pieces):
         assert ids[starts[i]:starts[i + 1]].tolist() == encoder.encode(p).tolist()
+
+
+def carried(df) -> list[str]:
+    """What lies below each exchange of a plan."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    return [below for line, below in zip(lines, lines[1:], strict=False) if "Exchange hashpartitioning" in line]
+
+
+@pytest.mark.parametrize("most", [300_000, 0])
+def test_digests_meet_before_texts(spark, monkeypatch, most):
+    """An exchange carries a task's one text for each digest, and with a small remainder none that is cached."""
+    monkeypatch.setattr("sluice.llm.token_counts.BROADCAST_ROWS", most)
+    texts = spark.createDataFrame([(b"a", "x"), (b"b", "y"), (b"a", "x"), (b"c", "z")], "content binary, text string")
+    known = spark.createDataFrame([(b"b",)], "content binary")
+    for cached, expected in ((known, {"x", "z"}), (known.limit(0), {"x", "y", "z"})):
+        found = missing_texts(texts, cached)
+        assert {r.text for r in found.collect()} == expected and found.count() == len(expected)
+        with_text = [below for below in carried(found) if "first(text" in below or "text#" in below]
+        assert with_text and all("partial_first(text" in below for below in with_text)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("LeftSemi" in plan) == (cached is known and most > 0)
