@@ -381,7 +381,7 @@ def drop_near_duplicates(
     """
     row = next(c for c in ("row", *(f"row_{i}" for i in range(len(docs.columns) + 1)))
                if c not in {x.lower() for x in docs.columns})
-    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-input")
+    kept = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-input", "zstd")
     rows = kept.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     bands = random_bands(64 * WIDE_WORDS, WIDE_BANDS, WIDE_BAND_BITS)
     members = stored(similar_groups(rows, size, WIDE_WORDS, bands, WIDE_RADIUS, SIMILARITY), "near-members")

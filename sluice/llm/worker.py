@@ -14,10 +14,23 @@ from functools import wraps
 from typing import TypeVar
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 T, R = TypeVar("T"), TypeVar("R")
 
 
+#: Bytes of a batch; the JVM and the worker each hold one of every chained node, with room to grow.
+BATCH_BYTES = 8 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limit for batches to Python to ``BATCH_BYTES``; a lower one stays."""
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_LIMIT))
+    if now > BATCH_BYTES:
+        spark.conf.set(_LIMIT, f"{BATCH_BYTES}b")
+
+
 def release() -> None:
     """Return freed memory of Python, Arrow and the C library to the system."""
     gc.collect()
