@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import threading
 import uuid
@@ -43,6 +44,12 @@ def delete(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that nobody holds; else they stay until the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def sweeping(spark: SparkSession) -> Iterator[None]:
     """Deletes the tables stored inside this thread's last ``sweeping``, and notes those stored inside this one.

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sluice.llm.components import roots
 from sluice.llm.line_dedup import small
 from sluice.llm.scratch import stored
-from sluice.llm.similar_sets import parity, similar_roots
+from sluice.llm.similar_sets import HASH_BYTES, packed, parity, similar_roots
 from sluice.llm.worker import releasing
 
 SEED = 42
@@ -102,9 +102,9 @@ def with_sets(rows: DataFrame, size: int, words: int) -> DataFrame:
                 for raw in b.column(2).to_pylist()
             ]
             fps = [fingerprint((own[i:i + SHINGLES] for i in range(0, len(own), SHINGLES)), words) for own in sets]
-            parities = [parity(own) for own in sets]
-            sets = [own.tobytes() for own in sets]
-            digests = [blake2b(own, digest_size=16).digest() for own in sets]
+            digests = [blake2b(own.tobytes(), digest_size=16).digest() for own in sets]
+            sets = [np.unique(own >> np.uint64(64 - 8 * HASH_BYTES)) for own in sets]
+            parities, sets = [parity(own) for own in sets], [packed(own) for own in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), *(pa.array(x, pa.binary()) for x in (digests, fps, parities, sets))],
                 names=["row", "doc_id", "digest", "fp", "parity", "hashes"],
