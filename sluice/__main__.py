@@ -3,7 +3,8 @@
 The settings name the ``registry`` and ``schemas`` tables (paths, with an
 optional ``table_format``), the ``config`` (fields of IngestConfig), and for
 tables an optional ``catalog`` and the ``sides`` to create, and ``schema_source``: ``streams``
-takes the columns from the schemas table. ``compact`` needs only ``compact``, a list of
+takes the columns from the schemas table; for streams an optional ``per_query`` (events that share a query) and
+``restarts`` (of a failed query, in a row). ``compact`` needs only ``compact``, a list of
 the arguments of :func:`sluice.streaming.sink.compact`. Master, storage
 credentials, catalogs and extensions are session configuration.
 """
@@ -33,7 +34,8 @@ def run(program: str, settings: dict, spark: SparkSession):
     registry = read_registry(spark, settings["registry"], table_format)
     if program == "streams":
         schemas = read_schemas(spark, settings["schemas"], table_format)
-        return run_streams(spark, registry, schemas, config)
+        return run_streams(
+            spark, registry, schemas, config, settings.get("per_query", 1), settings.get("restarts", 0))
     sides = settings.get("sides", ["NonTxn"])
     shared = settings.get("schema_source") == "streams"
     schemas = read_schemas(spark, settings["schemas"], table_format) if shared else None

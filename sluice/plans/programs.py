@@ -13,18 +13,31 @@ from sluice.operators.resolution import ranked, resolved, table_side
 from sluice.plans.tables import NAMESPACES, THREADS, create_statements, create_tables, outcome_counts
 from sluice.streaming.fanout import Started, await_all, start_all
 from sluice.streaming.ledger import current_layouts
+from sluice.streaming.multiplex import start_groups
+from sluice.streaming.supervision import supervise
 
 LOG = logging.getLogger(__name__)
 
 
 def run_streams(
-    spark: SparkSession, registry: DataFrame, schemas: DataFrame, config: IngestConfig
+    spark: SparkSession, registry: DataFrame, schemas: DataFrame, config: IngestConfig,
+    per_query: int = 1, restarts: int = 0,
 ) -> list[Started]:
-    """Start one query per event and wait for all of them, in production forever."""
-    started = start_all(spark, registry, schemas, config)
+    """Start the queries and wait for all of them, in production forever.
+
+    With ``per_query`` above 1 up to so many events share a query; with ``restarts`` a failed query starts again
+    up to so many times in a row.
+    """
+    if per_query > 1:
+        started = start_groups(spark, registry, schemas, config, per_query)
+    else:
+        started = start_all(spark, registry, schemas, config)
     running = sum(outcome.query is not None for outcome in started)
-    LOG.info("%d of %d events started", running, len(started))
-    await_all(spark, started)
+    LOG.info("%d of %d queries started", running, len(started))
+    if restarts:
+        supervise(spark, started, restarts)
+    else:
+        await_all(spark, started)
     return started
 
 

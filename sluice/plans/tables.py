@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.config import IngestConfig
 from sluice.functions.text import quote_literal, quote_name
+from sluice.streaming.ledger import BATCH
 
 LOG = logging.getLogger(__name__)
 # The schema that holds the tables of each side.
@@ -32,7 +33,9 @@ def create_statements(
 ) -> DataFrame:
     """Adds ``namespace`` and the ``statement`` that creates the event's table.
 
-    With ``layouts`` (event_key, directory) a table lies where its event's newest generation does.
+    With ``layouts`` (event_key, directory, generation, batched) a table lies where its event's newest generation
+    does. Where batches have directories of their own, their name is the table's first partition column, and
+    ``repair`` is the statement that makes the directories known, which each run repeats for new ones.
     ``quoted=False`` gives bare names without a catalog or schema, for a
     session that has already chosen them.
     """
@@ -43,20 +46,28 @@ def create_statements(
     columns = F.transform(
         "columns", lambda c: F.concat_ws(" ", mark(c["column_name"]), c[type_field])
     )
-    parts = F.array_join(F.transform("table_partitions", mark), ", ")
+    parts, batch = F.col("table_partitions"), F.lit("")
+    name = _table_name(key, namespace, catalog) if quoted else key
     place = config.event_path_column(key, flag)
     if layouts is not None:
-        definitions = definitions.join(layouts.select("event_key", "directory"), "event_key", "left")
+        in_batches = (F.coalesce("batched", F.lit(False)) | (F.col("generation") > 0)).alias("in_batches")
+        definitions = definitions.join(layouts.select("event_key", "directory", in_batches), "event_key", "left")
         place = F.coalesce("directory", place)
+        own = F.array(F.lit(BATCH))
+        parts = F.when(F.col("in_batches"), F.concat(own, F.coalesce(parts, F.array().cast("array<string>")))).otherwise(parts)
+        batch = F.when(F.col("in_batches"), F.concat(F.lit(", "), mark(F.lit(BATCH)), F.lit(" string"))).otherwise(batch)
+    parts = F.array_join(F.transform(parts, mark), ", ")
     found = definitions.withColumn("namespace", namespace).withColumn("statement", F.concat(
         F.lit("CREATE TABLE IF NOT EXISTS "),
-        _table_name(key, namespace, catalog) if quoted else key,
-        F.lit(" ("), F.array_join(columns, ", "),
+        name, F.lit(" ("), F.array_join(columns, ", "), batch,
         F.lit(f") USING {config.sink_format.upper()}"),
         F.coalesce(F.concat(F.lit(" PARTITIONED BY ("), parts, F.lit(")")), F.lit("")),
         F.lit(" LOCATION "), quote_literal(place),
     ))
-    return found if layouts is None else found.drop("directory")
+    if layouts is None:
+        return found
+    repair = F.when(F.col("in_batches"), F.concat(F.lit("MSCK REPAIR TABLE "), name))
+    return found.withColumn("repair", repair).drop("directory", "in_batches")
 
 
 def _table_name(key: Column, namespace: Column, catalog: str | None) -> Column:
@@ -79,7 +90,8 @@ def create_tables(
     and of limited size. A message is short: the error's class and condition.
     """
     wanted = statements.where(F.col("namespace").isin(*sides))
-    wanted = wanted.select("event_key", "is_transactional", "statement").hint("rebalance")
+    repair = F.col("repair") if "repair" in wanted.columns else F.lit(None).cast("string").alias("repair")
+    wanted = wanted.select("event_key", "is_transactional", "statement", repair).hint("rebalance")
     outcomes, running = [], deque()
 
     def settle() -> None:
@@ -88,7 +100,7 @@ def create_tables(
 
     with ThreadPoolExecutor(threads) as pool:
         for row in wanted.toLocalIterator():
-            running.append((row, pool.submit(_run, spark, row.event_key, row.statement)))
+            running.append((row, pool.submit(_run, spark, row.event_key, row.statement, row.repair)))
             while running and (running[0][1].done() or len(running) > 8 * threads):
                 settle()
         while running:
@@ -96,9 +108,11 @@ def create_tables(
     return spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
 
 
-def _run(spark: SparkSession, event_key: str, statement: str) -> tuple[str, str | None]:
+def _run(spark: SparkSession, event_key: str, statement: str, repair: str | None = None) -> tuple[str, str | None]:
     try:
         spark.sql(statement)
+        if repair is not None:
+            spark.sql(repair)
     except (AnalysisException, ParseException) as e:
         LOG.warning("table of %s refused: %s", event_key, e)
         return "failure", brief(e)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.config import IngestConfig
+from sluice.operators.reconcile import START, STOP, actions, with_digest
 from sluice.operators.records import require_codec, to_rows
 from sluice.operators.registry import events_to_stream, priority_order, with_stream_schema
 from sluice.operators.resolution import resolved_entries, stream_side
@@ -23,12 +24,28 @@ LOG = logging.getLogger(__name__)
 
 @dataclass
 class Started:
-    """An event's query, or why there is none."""
+    """An event's query, or why there is none. A query of a group names its ``events``.
+
+    ``start`` begins a run from the checkpoint, the first one as any later one.
+    """
 
     event_key: str
     bucket_id: str
     query: StreamingQuery | None = None
     error: str | None = None
+    digest: str | None = None
+    events: tuple[str, ...] = ()
+    start: Callable[[], StreamingQuery] | None = field(default=None, repr=False)
+    restarts: int = 0
+
+    def begin(self) -> Started:
+        self.query = self.error = None
+        try:
+            self.query = self.start()
+        except Exception as e:  # one event must not stop the others
+            self.error = brief(e)
+            LOG.error("event %s did not start: %s: %s", self.event_key, type(e).__name__, e)
+        return self
 
 
 def event_rows(spark: SparkSession, config: IngestConfig, topics: str, schema: str) -> DataFrame:
@@ -58,30 +75,48 @@ def start_all(
     """
     require_codec(spark, config.codec)
     require_switches(spark, config)
-    started = []
-    pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
-    try:
-        for event in resolved_stream_plan(registry, schemas).toLocalIterator():
-            spark.sparkContext.setLocalProperty("spark.scheduler.pool", event.bucket_id)
-            started.append(_start(spark, event, config))
-    finally:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
-    return started
-
-
-def _start(spark: SparkSession, event: Row, config: IngestConfig) -> Started:
-    outcome = Started(event.event_key, event.bucket_id)
-    try:
+    plan = with_digest(resolved_stream_plan(registry, schemas))
+    return [start_one(spark, event, config) for event in plan.toLocalIterator()]
+
+
+def start_one(spark: SparkSession, event: Row, config: IngestConfig) -> Started:
+    """Start the query of one row of the stream plan, in the pool of its bucket."""
+
+    def start() -> StreamingQuery:
         if event.schema is None:
             raise LookupError(f"no schema shared by the topics {event.topics}")
-        rows = event_rows(spark, config, event.topics, event.schema)
-        outcome.query = start_event(
-            rows, event.event_key, event.stream_partitions, config, event.is_transactional
-        )
-    except Exception as e:  # one event must not stop the others
-        outcome.error = brief(e)
-        LOG.error("event %s did not start: %s: %s", event.event_key, type(e).__name__, e)
-    return outcome
+        pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", event.bucket_id)
+        try:
+            rows = event_rows(spark, config, event.topics, event.schema)
+            return start_event(rows, event.event_key, event.stream_partitions, config, event.is_transactional)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+
+    digest = event.digest if "digest" in event else None
+    return Started(event.event_key, event.bucket_id, digest=digest, start=start).begin()
+
+
+def reconcile(
+    spark: SparkSession, started: Iterable[Started], registry: DataFrame, schemas: DataFrame, config: IngestConfig
+) -> tuple[list[Started], dict[str, str]]:
+    """Bring the queries of ``start_all`` in line with a newer registry: those that run now, and what was done.
+
+    A query that ended counts as not running. A changed event stops and starts again from its
+    checkpoint, in the generation that its new layout asks for; the rest never stop.
+    """
+    running = {o.event_key: o for o in started if o.query is not None and o.query.isActive}
+    now = spark.createDataFrame([(o.event_key, o.digest) for o in running.values()], "event_key string, digest string")
+    plan = with_digest(resolved_stream_plan(registry, schemas))
+    todo = actions(now, plan)
+    done = {}
+    for event in todo.join(plan, "event_key", "left").orderBy("priority", "event_key").toLocalIterator():
+        done[event.event_key] = event.action
+        if event.action != START:
+            running.pop(event.event_key).query.stop()
+        if event.action != STOP:
+            running[event.event_key] = start_one(spark, event, config)
+    return list(running.values()), done
 
 
 def await_all(spark: SparkSession, started: Iterable[Started]) -> None:

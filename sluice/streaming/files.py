@@ -35,6 +35,11 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _path(spark, path)
+    fs.delete(hadoop, True)
+
+
 def input_paths(rows: DataFrame) -> list[str]:
     """The files that ``rows`` reads, as paths; Spark lists them as encoded URIs."""
     return [unquote(uri) for uri in rows.inputFiles()]

@@ -23,12 +23,15 @@ from sluice.streaming import files
 
 #: The directory level of one micro-batch in the generations after the first.
 BATCH = "ingest_batch"
-LAYOUT_SCHEMA = "event_key string, generation int, home string, directory string, partitions array<string>, digest string"
+LAYOUT_SCHEMA = "event_key string, generation int, home string, directory string, partitions array<string>, digest string, batched boolean"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """``home`` is the event's path by the configuration, ``directory`` where the generation's rows are."""
+    """``home`` is the event's path by the configuration, ``directory`` where the generation's rows are.
+
+    ``batched`` rows come from a group's query, whose batches have directories from the first generation on.
+    """
 
     event_key: str
     generation: int
@@ -37,12 +40,18 @@ class Layout:
     partitions: list[str]
     columns: dict[str, str] = field(default_factory=dict)
     digest: str = ""
+    batched: bool = False
+
+    @property
+    def in_batches(self) -> bool:
+        return self.batched or self.generation > 0
 
     def fits(self, other: Layout) -> bool:
         """Whether rows of ``other`` can go where this layout's are."""
         common = self.columns.keys() & other.columns.keys()
         return (
             (self.home, self.partitions) == (other.home, other.partitions)
+            and self.batched == other.batched
             and all(self.columns[name] == other.columns[name] for name in common)
         )
 
@@ -60,7 +69,7 @@ def layouts(spark: SparkSession, config: IngestConfig, event_key: str) -> list[L
 
 def settle(
     spark: SparkSession, config: IngestConfig, event_key: str, schema: T.StructType, partitions: Sequence[str],
-    is_transactional: bool | None = None,
+    is_transactional: bool | None = None, batched: bool = False,
 ) -> Layout:
     """The generation that rows of this schema and layout go to, recorded if it is new.
 
@@ -70,19 +79,19 @@ def settle(
     home = config.event_path(event_key, is_transactional)
     columns = {f.name: f.dataType.simpleString() for f in schema}
     digest = hashlib.sha256(json.dumps(columns, sort_keys=True).encode()).hexdigest()
-    wanted = Layout(event_key, 0, home, home, list(partitions), columns, digest)
+    wanted = Layout(event_key, 0, home, home, list(partitions), columns, digest, batched)
     while True:
         known = layouts(spark, config, event_key)
         if known and known[-1].fits(wanted):
             return known[-1]
         n, record = len(known), wanted
         older = None if known else directory_partitions(spark, home)
-        if older is not None and older != wanted.partitions:
+        if older is not None and (older != wanted.partitions or batched):
             record = Layout(event_key, 0, home, home, older)
         elif n:
             used = {layout.directory for layout in known}
             apart = join_path(home.rsplit("/", 1)[0], f"_g{n}/{event_key}")
-            record = Layout(event_key, n, home, home if home not in used else apart, wanted.partitions, columns, digest)
+            record = Layout(event_key, n, home, home if home not in used else apart, wanted.partitions, columns, digest, batched)
         files.create_once(spark, join_path(_folder(config, event_key), f"{n:05}.json"), json.dumps(asdict(record)))
 
 
@@ -107,11 +116,11 @@ def current_layouts(spark: SparkSession, config: IngestConfig) -> DataFrame:
         return spark.createDataFrame([], LAYOUT_SCHEMA)
     records = spark.read.schema(LAYOUT_SCHEMA).json(f"{root}/*/*.json")
     newest = records.groupBy("event_key").agg(
-        F.max_by(F.struct("generation", "home", "directory", "partitions", "digest"), "generation").alias("newest"))
+        F.max_by(F.struct("generation", "home", "directory", "partitions", "digest", "batched"), "generation").alias("newest"))
     return newest.select("event_key", "newest.*")
 
 
-def append_batch(rows: DataFrame, batch: int, layout: Layout, format: str, options: dict[str, str]) -> None:
+def append_batch(rows: DataFrame, batch: int | str, layout: Layout, format: str, options: dict[str, str]) -> None:
     """Write one micro-batch to the directory of its number, in place of an earlier attempt at it."""
     writer = rows.write.format(format).mode("overwrite").options(**options)
     if layout.partitions:

@@ -74,7 +74,7 @@ def event_writer(
     if config.optimize_write and config.sink_format != "delta":
         rows = gather_partitions(rows, partitions)
     writer = rows.writeStream.outputMode("append")
-    if layout is not None and layout.generation > 0:
+    if layout is not None and layout.in_batches:
         form, options = config.sink_format, sink_options(config)
         writer = writer.foreachBatch(lambda batch, number: append_batch(batch, number, layout, form, options))
     else:
@@ -83,6 +83,10 @@ def event_writer(
         if partitions:
             writer = writer.partitionBy(*partitions)
     writer = writer.option("checkpointLocation", config.event_checkpoint(event_key)).queryName(f"Stream-{event_key}")
+    return trigger(writer, config)
+
+
+def trigger(writer: DataStreamWriter, config: IngestConfig) -> DataStreamWriter:
     if config.available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=config.processing_time)

@@ -118,6 +118,17 @@ _MERGED_ROWS = f"""SELECT event_id, user_id,
     CASE WHEN event_id % 2 = 1 AND event_id % 10 <> 0 THEN value END AS value, {_PARTS}
     FROM events"""
 
+
+def _planned(n: int) -> str:
+    """What streams by the registry without every n-th entry, and its schema."""
+    return f"""SELECT s.*, a.schema FROM (WITH events AS (SELECT * FROM kept WHERE event_id % {n} <> 0),
+        {REGISTRY}, {FLAGS}, {STREAMS} SELECT event_key, {_unbracketed('topic_list')} AS topics, bucket_id,
+        is_transactional, coalesce({_JOINED}, '') AS parts FROM streams) s LEFT JOIN (WITH events AS (FROM kept), {SCHEMAS}
+        SELECT subject, arg_max(schema, version) AS schema FROM versions GROUP BY subject) a
+        ON len(list_distinct(list_transform(string_split(s.topics, ','), lambda t: trim(t)))) = 1
+        AND subject = trim(string_split(s.topics, ',')[1]) || '-value'"""
+
+
 ORACLES = {
     "src_stream_read": f"""SELECT event_type AS topic, '{inputs.HEADER}' AS header, event_id
         FROM events""",
@@ -169,6 +180,13 @@ ORACLES = {
         is_transactional, CASE bucket_id WHEN 'p0Event' THEN 0 ELSE 1 END AS priority,
         {_JOINED} AS stream_partitions, schema
         FROM streams JOIN agreed USING (event_key)""",
+    # Lists of two topics have no schema, unless both are the same topic.
+    "reg_reconcile": f"""WITH kept AS (SELECT * FROM events), a AS ({_planned(3)}), b AS ({_planned(4)}),
+        found AS (SELECT event_key, CASE WHEN a.event_key IS NULL THEN 'start' WHEN b.event_key IS NULL THEN 'stop'
+            WHEN b.schema IS NOT NULL AND (a.topics, a.bucket_id, a.is_transactional, a.parts, a.schema)
+            IS DISTINCT FROM (b.topics, b.bucket_id, b.is_transactional, b.parts, b.schema) THEN 'restart' END AS action
+        FROM a FULL JOIN b USING (event_key))
+        SELECT event_key, action FROM found WHERE action IS NOT NULL""",
     "schema_columns": f"""WITH {DEFINITIONS}, {COLUMNS}
         SELECT event_key, ordinal, column_name, data_type
         FROM definitions JOIN columns_of USING (event_type)""",
@@ -195,6 +213,8 @@ ORACLES = {
     "flow_schema_merge": _MERGED_ROWS,
     "flow_fanout": f"""SELECT event_type AS event_key, event_id, user_id, {_VALUE}, {_PARTS}
         FROM events WHERE event_type IN ('click', 'purchase', 'signup')""",
+    "flow_multiplex": f"""SELECT event_type AS event_key, event_id, user_id, {_VALUE}, {_PARTS}
+        FROM events WHERE event_type IN ('click', 'purchase', 'signup')""",
     "flow_fanout_status": _STARTS,
     "sink_optimized_write": f"""SELECT "dpYear", "dpMonth", "dpDay", count(*) AS rows,
         CAST(1 AS BIGINT) AS files FROM ({_ALL_ROWS}) GROUP BY ALL""",

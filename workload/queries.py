@@ -11,13 +11,13 @@ from sluice.config import IngestConfig
 from sluice.functions.avro_types import ddl_type
 from sluice.operators import definitions as defs
 from sluice.operators import records as rec
+from sluice.operators import reconcile, resolution
 from sluice.operators import registry as reg
-from sluice.operators import resolution
 from sluice.operators.latest import last_per_key
 from sluice.plans import tables
 from sluice.sources.registry import latest_schemas, read_registry, read_schemas
 from sluice.sources.stream import RECORD_SCHEMA, read_records
-from sluice.streaming import fanout, ledger, sink
+from sluice.streaming import fanout, files, ledger, multiplex, sink
 from sluice.streaming.published import publish, read_published
 from workload import inputs
 
@@ -247,6 +247,14 @@ def reg_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.join(side(defs.table_definitions(entries), "table"), "event_key", "full")
 
 
+@query
+def reg_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the queries of an older registry to those of a newer one; the schemas stay."""
+    entries, schemas = inputs.registry(spark, sf_dir), inputs.schema_versions(spark, sf_dir)
+    plans = [reconcile.with_digest(fanout.stream_plan(entries.where(f"ordinal % {n} <> 0"), schemas)) for n in (3, 4)]
+    return reconcile.actions(plans[0].select("event_key", "digest"), plans[1])
+
+
 @query
 def reg_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides of every event from one entry: directory, flag and partition columns."""
@@ -464,6 +472,29 @@ def flow_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def flow_multiplex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries to groups of two events, then the newest batch of each group once more."""
+    root = inputs.scratch(spark, "multiplex")
+    config = inputs.parquet_config(root, source_options={"path": f"{root}/log"})
+    registry, schemas = inputs.topic_registry(spark, sf_dir), inputs.schema_versions(spark, sf_dir)
+    keys: set[str] = set()
+    for delivery in _halves(spark, sf_dir):
+        _deliver(delivery, f"{root}/log")
+        started = multiplex.start_groups(spark, registry, schemas, config, per_query=2)
+        fanout.await_all(spark, started)
+        keys.update(key for outcome in started for key in outcome.events)
+    for outcome in started:
+        if outcome.events:
+            files.remove(spark, f"{config.checkpoint_path}/_{outcome.event_key}/commits/1")
+    fanout.await_all(spark, multiplex.start_groups(spark, registry, schemas, config, per_query=2))
+    rows = spark.createDataFrame([], f"event_key string, {ROW_SCHEMA}")
+    for key in sorted(keys):
+        rows = rows.unionByName(
+            ledger.read_event(spark, config, key, ROW_SCHEMA).withColumn("event_key", F.lit(key)))
+    return rows
+
+
 @query
 def flow_query_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, started = _fan_out(spark, sf_dir)
