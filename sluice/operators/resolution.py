@@ -42,11 +42,12 @@ def resolved(entries: DataFrame) -> DataFrame:
     """event_key, ``rank``, ``entry`` and ``source``, one row per event that streams or has a table.
 
     ``entry`` (ordinal, partition_columns, is_transactional, columns) is the newest of the entries with
-    the highest rank; both sides take their layout from it. ``source`` (ordinal, topic_list, bucket_id) is where the
-    event streams from: the entry itself, or, if no entry suits both sides, the newest that
-    streams; null if none does. Both maxima combine before the shuffle.
+    the highest rank; both sides take their layout from it. Its flag is that of the newest entry with a usable schema,
+    as for ``table_definitions``: an entry that moves an event to the other kind need not stream to do so. ``source``
+    (ordinal, topic_list, bucket_id) is where the event streams from: the entry itself, or, if no entry suits
+    both sides, the newest that streams; null if none does. All maxima combine before the shuffle.
     """
-    streams = F.col("rank").isin(BOTH, STREAM_ONLY)
+    streams, usable = F.col("rank").isin(BOTH, STREAM_ONLY), F.col("rank") >= TABLE_ONLY
     best = entries.where("rank > 0").groupBy("event_key").agg(
         F.max_by(
             F.struct("rank", "ordinal", "partition_columns", "is_transactional", "columns"),
@@ -56,8 +57,10 @@ def resolved(entries: DataFrame) -> DataFrame:
             F.struct("ordinal", "topic_list", "bucket_id"),
             F.when(streams, F.struct((F.col("rank") == BOTH).alias("both"), "ordinal")),
         ).alias("source"),
+        F.max_by("is_transactional", F.when(usable, F.col("ordinal"))).alias("flag"),
     )
-    return best.select("event_key", "entry.rank", F.col("entry").dropFields("rank").alias("entry"), "source")
+    entry = F.col("entry").withField("is_transactional", F.coalesce("flag", "entry.is_transactional"))
+    return best.select("event_key", "entry.rank", entry.dropFields("rank").alias("entry"), "source")
 
 
 def stream_side(resolved: DataFrame) -> DataFrame:

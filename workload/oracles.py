@@ -236,12 +236,15 @@ ORACLES = {
         SELECT event_key, stream_path, stream_partitions, table_path, table_partitions
         FROM s FULL JOIN t USING (event_key)""",
     # Rank 3: for both sides, 2: for the table, 1: for the stream; the newest of the highest rank decides.
+    # The flag is that of the newest entry with a usable schema, if there is one.
     "reg_resolved": f"""WITH {REGISTRY}, {COLUMNS}, ranked AS (SELECT *, split_part(event_key, '_', 1) AS event_type,
         CASE WHEN event_key IS NOT NULL AND complete_schema IS NOT NULL AND is_transactional IS NOT NULL
             AND NOT {_BAD} THEN 2 ELSE 0 END AS tabled,
         CASE WHEN length(event_key) > 0 AND length(topic_list) > 0 AND length(partition_columns) > 0
             AND {_BUCKETED} THEN 1 ELSE 0 END AS streamed FROM registry WHERE is_active),
-        winners AS (SELECT * FROM ranked WHERE tabled + streamed > 0
+        winners AS (SELECT * REPLACE (coalesce(arg_max(is_transactional, ordinal) FILTER (tabled = 2)
+                OVER (PARTITION BY event_key), is_transactional) AS is_transactional)
+            FROM ranked WHERE tabled + streamed > 0
             QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY tabled + streamed DESC, ordinal DESC) = 1),
         sources AS (SELECT * FROM ranked WHERE streamed = 1
             QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY tabled DESC, ordinal DESC) = 1),
