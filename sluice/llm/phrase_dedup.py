@@ -6,9 +6,11 @@
 2. All documents stream past the filter. Runs of windows whose phrase passes become segments, and
    phrases whose text occurs in several places are confirmed as recurring.
 3. Confirmed phrases are dealt to shards, each small enough for one automaton, and each stretch of
-   windows with one phrase goes to that phrase's shard. The automaton locates every occurrence;
-   windows around an occurrence of their own phrase give their digests.
-4. The first place of each digest stays, every later window is removed.
+   windows with one phrase goes to that phrase's shard. The automaton confirms the phrase at its known
+   place. Equal windows have equal phrases, so they meet in one shard, which keeps the first place of each
+   digest and gives back the runs of all later windows.
+4. A shard with a hot phrase is salted. Its tasks send on only the first place that each of them
+   found for a digest, and the least of these stays.
 
 Later copies of a whole text need no search: all their windows started earlier.
 """
@@ -16,6 +18,7 @@ Later copies of a whole text need no search: all their windows started earlier.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 from zlib import crc32
 
 import numpy as np
@@ -31,7 +34,7 @@ from sluice.llm.url_filter import Cascade, _with_level
 PHRASE = 10
 #: Phrases in one automaton, some hundred bytes of memory each and node.
 SHARD_PHRASES = 25_000
-#: Phrases in their surroundings that one task streams through an automaton.
+#: Phrases in their surroundings that one task streams through an automaton; a shard has half as many on average.
 SHARD_SEGMENTS = 200_000
 #: Beyond this size the filter is left out and every window is a candidate.
 MAX_FILTER_BYTES = 32 << 20
@@ -116,17 +119,20 @@ def _recurring_filter(texts: DataFrame, span: int) -> Cascade | None:
 
 
 def _segments(texts: DataFrame, span: int, passing: Cascade | None) -> DataFrame:
-    """oid, copy, text and phrases of each run of windows that may recur.
+    """oid, copy, text and stretches of each run of windows that may recur.
 
-    A phrase comes with the windows that picked it: its text, the first window's number in the
-    document, their count, the first byte and the bytes of their words in the segment, and the
-    phrase's first word among these.
+    A stretch is the windows that picked one phrase: the first window's number in the document, their count, and first
+    byte and length, in the segment, of their words and of the phrase.
     """
     sent = texts.sparkSession.sparkContext.broadcast(passing)
+    names = ("first", "windows", "start", "bytes", "at", "length")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
+            keys: list[tuple] = []
+            parts: list[bytes] = []
+            sizes = [0]
+            stretches: list[np.ndarray] = []
             for oid, copy, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = Words(raw)
                 at, hashes = words.picks(span)
@@ -139,45 +145,65 @@ def _segments(texts: DataFrame, span: int, passing: Cascade | None) -> DataFrame
                     h = hashes[first]
                     ok = sent.value.passes(0, h, second_hash(h))
                 edges = np.flatnonzero(np.diff(ok.astype(np.int8), prepend=0, append=0))
-                for a, z in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-                    begin, phrases = int(words.starts[first[a]]), []
-                    for i, j in zip(first[a:z].tolist(), last[a:z].tolist(), strict=True):
-                        p, start = int(at[i]), int(words.starts[i])
-                        phrases.append({
-                            "phrase": words.part(p, p + PHRASE - 1), "first": i, "windows": j - i,
-                            "start": start - begin, "bytes": int(words.ends[j + span - 2]) - start, "at": p - i,
-                        })
-                    out.append((oid, copy, words.part(first[a], last[z - 1] + span - 2), phrases))
-            columns = list(zip(*out, strict=True)) if out else [()] * 4
-            numbers = [(n, pa.int32()) for n in ("first", "windows", "start", "bytes", "at")]
-            phrase = pa.struct([("phrase", pa.binary()), *numbers])
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(phrase))
+                begins, ends = edges[::2], edges[1::2]
+                if not len(begins):
+                    continue
+                origin = np.repeat(words.starts[first[begins]], ends - begins)
+                first, last = first[ok], last[ok]
+                phrase, start = words.starts[at[first]], words.starts[first]
+                stretches.append(np.stack([
+                    first, last - first, start - origin, words.ends[last + span - 2] - start,
+                    phrase - origin, words.ends[at[first] + PHRASE - 1] - phrase,
+                ]).astype(np.int32))
+                n = 0
+                for size in (ends - begins).tolist():
+                    keys.append((oid, copy))
+                    parts.append(words.part(first[n], last[n + size - 1] + span - 2))
+                    sizes.append(size)
+                    n += size
+            table = np.concatenate(stretches, axis=1) if stretches else np.zeros((len(names), 0), np.int32)
+            inner = pa.StructArray.from_arrays([pa.array(row) for row in table], names=list(names))
+            found = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), inner)
+            oids, copies = zip(*keys, strict=True) if keys else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["oid", "copy", "part", "phrases"]
-            )
+                [pa.array(oids, pa.int64()), pa.array(copies, pa.int64()), pa.array(parts, pa.binary()), found],
+                names=["oid", "copy", "part", "stretches"])
 
     rows = texts.select("oid", "copy", F.col("text").cast("binary"))
-    return rows.mapInArrow(
-        cut, "oid long, copy long, part binary, "
-        "phrases array<struct<phrase:binary,first:int,windows:int,start:int,bytes:int,at:int>>"
-    )
+    inner = ",".join(f"{name}:int" for name in names)
+    return rows.mapInArrow(cut, f"oid long, copy long, part binary, stretches array<struct<{inner}>>")
+
+
+def _runs(oid: np.ndarray, copy: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows as (oid, copy, first window, count) of maximal runs."""
+    order = np.lexsort((start, copy, oid))
+    oid, copy, start = oid[order], copy[order], start[order]
+    same = (oid[1:] == oid[:-1]) & (copy[1:] == copy[:-1])
+    new = np.ones(len(oid), dtype=bool)
+    new[1:] = ~(same & (start[1:] <= start[:-1] + 1))  # equal rows give equal windows
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(oid))[: len(first)] - 1
+    return oid[first], copy[first], start[first], start[last] - start[first] + 1
 
 
-def _windows(segments: DataFrame, span: int) -> DataFrame:
-    """oid, copy, start and digest (w1, w2) of the windows around confirmed phrases."""
-    parts = segments.select("oid", "copy", "part", F.explode("phrases").alias("p")).select("oid", "copy", "part", "p.*")
-    phrases = parts.groupBy("phrase").count().where("count > 1")
-    phrases = stored(phrases.select("phrase"), "phrases")
-    shards = max(1, -(-phrases.count() // SHARD_PHRASES))
+def _located(segments: DataFrame, span: int) -> DataFrame:
+    """What the shards' automata find.
+
+    Runs of windows that start earlier elsewhere, as (oid, copy, start, windows) without a digest; and, of salted shards,
+    the first place that a task found for each digest (w1, w2), with ``windows`` 1.
+    """
+    parts = segments.select("oid", "copy", "part", F.explode("stretches").alias("s")).select("oid", "copy", "part", "s.*")
+    parts = parts.withColumn("phrase", F.substring("part", F.col("at") + 1, F.col("length")))
+    phrases = stored(parts.groupBy("phrase").count().where("count > 1"), "phrases")
+    size = phrases.agg(F.count("*").alias("phrases"), F.coalesce(F.sum("count"), F.lit(0)).alias("places")).first()
+    shards = max(1, -(-size.phrases // SHARD_PHRASES), -(-size.places // (SHARD_SEGMENTS // 2)))
     shard = F.pmod(F.xxhash64("phrase"), F.lit(shards)).cast("int").alias("shard")
+    salts = phrases.groupBy(shard).agg(F.ceil(F.sum("count") / SHARD_SEGMENTS).cast("long").alias("salts"))
+    salts = small(stored(salts, "phrase-salts"))
     routed = parts.select(
-        "oid", "copy", "first", "windows", "at", shard,
+        "oid", "copy", "first", "windows", (F.col("at") - F.col("start") + F.col("length")).alias("until"), shard,
         F.substring("part", F.col("start") + 1, F.col("bytes")).alias("part"),
     )
-    salts = parts.select(shard).groupBy("shard").count().select(
-        "shard", F.ceil(F.col("count") / SHARD_SEGMENTS).cast("long").alias("salts")
-    )
-    salts = small(stored(salts, "phrase-salts"))
     routed = routed.join(salts, "shard").withColumn("salt", F.pmod(F.xxhash64("oid", "copy", "first"), F.col("salts")))
     dealt = phrases.select("phrase", shard).join(salts, "shard").select(
         "shard", "phrase", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
@@ -187,36 +213,45 @@ def _windows(segments: DataFrame, span: int) -> DataFrame:
         import ahocorasick
         from xxhash import xxh3_128_digest
 
-        out: list[tuple] = []
+        found: list[int] = []
         digests: list[bytes] = []
         if len(parts) and len(patterns):
             automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
             for p in patterns.column("phrase").to_pylist():
                 automaton.add_word(f" {p.decode('latin-1')} ")
             automaton.make_automaton()
-            columns = (parts.column(c).to_pylist() for c in ("oid", "copy", "first", "windows", "at", "part"))
-            for oid, copy, first, count, at, part in zip(*columns, strict=True):
-                words = Words(part)
+            columns = (parts.column(c).to_pylist() for c in ("windows", "until", "part"))
+            for row, (count, until, part) in enumerate(zip(*columns, strict=True)):
                 # Bytes as characters; a space on both sides keeps matches to whole words.
-                wanted = int(words.ends[at + PHRASE - 1]) + 1
-                if any(end == wanted for end, _ in automaton.iter(f" {part.decode('latin-1')} ")):
-                    starts, ends = words.starts[:count].tolist(), words.ends[span - 1:span - 1 + count].tolist()
-                    digests += [xxh3_128_digest(part[a:z]) for a, z in zip(starts, ends, strict=True)]
-                    out.append((oid, copy, first, count))
-        oid, copy, first, count = (
-            (np.array(c, dtype=np.int64) for c in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 4
-        )
+                if any(end == until + 1 for end, _ in automaton.iter(f" {part.decode('latin-1')} ")):
+                    at = list(accumulate((len(word) + 1 for word in part.split(b" ")), initial=0))
+                    digests += [xxh3_128_digest(part[at[i]:at[i + span] - 1]) for i in range(count)]
+                    found.append(row)
+        rows = parts.select(["oid", "copy", "first", "windows"]).take(pa.array(found, pa.int64()))
+        oid, copy, first, count = (c.to_numpy().astype(np.int64) for c in rows.columns)
         inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        pair = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+        w1, w2 = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2).T
+        place = np.stack([np.repeat(oid, count), np.repeat(copy, count), np.repeat(first, count) + inner])
+        order = np.lexsort((*place[::-1], w2, w1))
+        w1, w2, place = w1[order], w2[order], place[:, order]
+        new = np.ones(len(w1), dtype=bool)
+        new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+        leaders = np.flatnonzero(new)
+        later = (place != place[:, leaders[np.cumsum(new) - 1]]).any(axis=0) if len(leaders) else new
+        oid, copy, start, count = _runs(*place[:, later])
+        if not len(parts) or parts.column("salts")[0].as_py() == 1:
+            leaders = leaders[:0]
+        closed, ones = pa.nulls(len(oid), pa.int64()), np.ones(len(leaders), np.int64)
         return pa.table({
-            "oid": np.repeat(oid, count), "copy": np.repeat(copy, count),
-            "start": (np.repeat(first, count) + inner).astype(np.int32),
-            "w1": pair[:, 0].copy(), "w2": pair[:, 1].copy(),
+            "oid": np.append(oid, place[0, leaders]), "copy": np.append(copy, place[1, leaders]),
+            "start": np.append(start, place[2, leaders]).astype(np.int32),
+            "windows": np.append(count, ones).astype(np.int32),
+            "w1": pa.concat_arrays([closed, pa.array(w1[leaders])]), "w2": pa.concat_arrays([closed, pa.array(w2[leaders])]),
         })
 
     return (
         routed.groupBy("shard", "salt").cogroup(dealt.groupBy("shard", "salt"))
-        .applyInArrow(locate, "oid long, copy long, start int, w1 long, w2 long")
+        .applyInArrow(locate, "oid long, copy long, start int, windows int, w1 long, w2 long")
     )
 
 
@@ -237,37 +272,39 @@ def without_repeats(
     rows, later = _distinct_texts(given)
     later = small(later)
     texts = rows.join(later, ["oid", "copy"], "left_anti")
-    segments = stored(_segments(texts, span, _recurring_filter(texts, span)), "segments")
-    # Rows with equal id and text give equal windows, which are one place.
-    windows = stored(_windows(segments, span), "windows")
+    segments = stored(_segments(texts, span, _recurring_filter(texts, span)), "segments", "zstd")
+    located = stored(_located(segments, span), "phrase-places")
+    # At most one row of a digest for each salt of its shard.
+    open_ = located.where("w1 IS NOT NULL")
     place = F.struct("oid", "copy", "start")
     first = (
-        windows.groupBy("w1", "w2").agg(F.min(place).alias("place"), F.max(place).alias("last"))
+        open_.groupBy("w1", "w2").agg(F.min(place).alias("place"), F.max(place).alias("last"))
         .where("place != last").select("w1", "w2", "place")
     )
-    repeated = windows.join(first, ["w1", "w2"]).where(place != F.col("place"))
-    gone = repeated.groupBy("oid", "copy").agg(F.array_sort(F.collect_set("start")).alias("starts"))
-    gone = stored(gone, "phrase-gone")
-    size = gone.agg(F.sum(F.size("starts"))).first()[0] or 0
+    repeated = open_.join(first, ["w1", "w2"]).where(place != F.col("place"))
+    runs = located.where("w1 IS NULL").select("oid", "copy", "start", "windows").unionAll(
+        repeated.select("oid", "copy", "start", "windows"))
+    gone = runs.groupBy("oid", "copy").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    gone = small(stored(gone, "phrase-gone"), F.size("runs"))
     marked = (
-        rows.join(F.broadcast(gone) if size < 4_000_000 else gone, ["oid", "copy"], "left")
+        rows.join(gone, ["oid", "copy"], "left")
         .join(later.withColumn("whole", F.lit(True)), ["oid", "copy"], "left")
-        .select("id", F.col("text").cast("binary").alias("text"), "starts", F.coalesce("whole", F.lit(False)).alias("whole"))
+        .select("id", F.col("text").cast("binary").alias("text"), "runs", F.coalesce("whole", F.lit(False)).alias("whole"))
     )
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for raw, starts, whole in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
+            for raw, runs, whole in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
                 words = raw.split()
                 n = len(words)
                 if whole and n >= span:
                     words = []
-                elif starts:
+                elif runs:
                     edge = np.zeros(n + 1, dtype=np.int64)
-                    at = np.array(starts)
-                    edge[at] += 1
-                    np.add.at(edge, at + span, -1)
+                    at = np.array([(run["start"], run["windows"]) for run in runs])
+                    np.add.at(edge, at[:, 0], 1)
+                    np.add.at(edge, at.sum(axis=1) + span - 1, -1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(edge)[:n] == 0).tolist()]
                 out.append((n, n - len(words), b" ".join(words).decode()))
             columns = list(zip(*out, strict=True)) if out else [()] * 3
