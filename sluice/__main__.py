@@ -33,7 +33,7 @@ def run(program: str, settings: dict, spark: SparkSession):
     table_format = settings.get("table_format", "parquet")
     registry = read_registry(spark, settings["registry"], table_format)
     if program == "streams":
-        schemas = read_schemas(spark, settings["schemas"], table_format)
+        schemas = read_schemas(spark, settings["schemas"], table_format, settings.get("decode_by_id", False))
         return run_streams(
             spark, registry, schemas, config, settings.get("per_query", 1), settings.get("restarts", 0))
     sides = settings.get("sides", ["NonTxn"])

@@ -20,7 +20,8 @@ class IngestConfig:
     event; streams and tables both resolve their directory through
     :meth:`base_path` with the flag of ``event_flag``, so a table always points
     at its stream's output. ``target_bytes`` is the file size that
-    ``optimize_write`` aims at (for Delta the platform chooses it).
+    ``optimize_write`` aims at (for Delta the platform chooses it). ``quarantine`` keeps
+    undecodable records raw beside the checkpoints instead of as rows of nulls.
     """
 
     output_path: str
@@ -41,6 +42,7 @@ class IngestConfig:
     available_now: bool = False
     txn_path: str | None = None
     non_txn_path: str | None = None
+    quarantine: bool = False
 
     def base_path(self, is_transactional: bool | None = None) -> str:
         if is_transactional is None:

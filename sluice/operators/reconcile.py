@@ -12,7 +12,8 @@ FACTS = ("topics", "bucket_id", "is_transactional", "stream_partitions", "schema
 
 def with_digest(plan: DataFrame) -> DataFrame:
     """Adds ``digest``, equal for two plans of an event that need no restart."""
-    facts = F.to_json(F.struct(*FACTS), {"ignoreNullFields": "false"})
+    names = (*FACTS, "writers") if "writers" in plan.columns else FACTS
+    facts = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
     return plan.withColumn("digest", F.sha2(facts, 256))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,19 +18,20 @@ MODES = ("PERMISSIVE", "FAILFAST")
 _NUMBER = (
     r"\A[\x00-\x20\x7F]*(?<sign>[+-]?)(?=[\d.])(?<whole>\d*)(?:\.\d*)?[\x00-\x20\x7F]*\z"
 )
-_CORRUPT = "_corrupt_record"
+#: Where a JSON body that is bad is told from a good one.
+CORRUPT = "_corrupt_record"
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
-def strip_header(records: DataFrame, value: str = "value") -> DataFrame:
-    """Keep the body: everything after the 5 bytes of magic and schema id."""
-    return records.select(F.substring(F.col(value), 6, 2**31 - 1).alias("body"))
+def strip_header(records: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Keep the body: everything after the 5 bytes of magic and schema id; and the columns ``keep``."""
+    return records.select(*keep, F.substring(F.col(value), 6, 2**31 - 1).alias("body"))
 
 
 def decode_body(
-    bodies: DataFrame, schema: str, codec: str = "avro", mode: str = "FAILFAST"
+    bodies: DataFrame, schema: str, codec: str = "avro", mode: str = "FAILFAST", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Decode ``body`` with an Avro schema into the struct column ``output``.
+    """Decode ``body`` with an Avro schema into the struct column ``output``, beside the columns ``keep``.
 
     PERMISSIVE turns an undecodable body into an all-null record, FAILFAST
     fails the task. The codec ``avro`` uses Spark's ``from_avro`` and needs its
@@ -37,24 +40,27 @@ def decode_body(
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is none of {MODES}")
     if codec == "json":
-        return _decode_json(bodies, record_type(schema), mode)
+        return _decode_json(bodies, record_type(schema), mode, keep)
     if codec != "avro":
         raise ValueError(f"codec {codec!r} is neither 'avro' nor 'json'")
     require_codec(bodies.sparkSession, codec)
-    return bodies.select(from_avro(F.col("body"), schema, {"mode": mode}).alias("output"))
+    return bodies.select(*keep, from_avro(F.col("body"), schema, {"mode": mode}).alias("output"))
+
+
+def with_corrupt(kind: T.StructType) -> T.StructType:
+    return T.StructType([*kind.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _decode_json(bodies: DataFrame, decoded: T.StructType, mode: str) -> DataFrame:
+def _decode_json(bodies: DataFrame, decoded: T.StructType, mode: str, keep: Sequence[str] = ()) -> DataFrame:
     text = F.col("body").cast("string")
     if mode == "FAILFAST":
-        return bodies.select(F.from_json(text, decoded, {"mode": mode}).alias("output"))
+        return bodies.select(*keep, F.from_json(text, decoded, {"mode": mode}).alias("output"))
     # A body with one bad field is bad as a whole, like an Avro body.
-    checked = T.StructType([*decoded.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": mode, "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = bodies.select(F.from_json(text, checked, options).alias("parsed"))
+    options = {"mode": mode, "columnNameOfCorruptRecord": CORRUPT}
+    parsed = bodies.select(*keep, F.from_json(text, with_corrupt(decoded), options).alias("parsed"))
     fields = [F.col("parsed").getField(name).alias(name) for name in decoded.fieldNames()]
-    whole = F.col("parsed").getField(_CORRUPT).isNull()
-    return parsed.select(F.when(whole, F.struct(*fields)).alias("output"))
+    whole = F.col("parsed").getField(CORRUPT).isNull()
+    return parsed.select(*keep, F.when(whole, F.struct(*fields)).alias("output"))
 
 
 def has_native_avro(spark: SparkSession) -> bool:

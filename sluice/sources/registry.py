@@ -23,13 +23,16 @@ SUBJECT_SCHEMA = T.StructType([
     T.StructField("schema", T.StringType()),
 ])
 
+VERSIONED_SCHEMA = T.StructType([*SUBJECT_SCHEMA.fields, T.StructField("schema_id", T.IntegerType())])
+
 
 def read_registry(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     return spark.read.schema(REGISTRY_SCHEMA).format(format).load(path)
 
 
-def read_schemas(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    return spark.read.schema(SUBJECT_SCHEMA).format(format).load(path)
+def read_schemas(spark: SparkSession, path: str, format: str = "parquet", ids: bool = False) -> DataFrame:
+    """The schema table; with ``ids`` also the ``schema_id`` by which streams then decode each record."""
+    return spark.read.schema(VERSIONED_SCHEMA if ids else SUBJECT_SCHEMA).format(format).load(path)
 
 
 def latest_schemas(schemas: DataFrame) -> DataFrame:

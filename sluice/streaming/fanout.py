@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import StreamingQueryException
@@ -12,11 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.config import IngestConfig
 from sluice.operators.reconcile import START, STOP, actions, with_digest
-from sluice.operators.records import require_codec, to_rows
+from sluice.operators.records import require_codec
 from sluice.operators.registry import events_to_stream, priority_order, with_stream_schema
 from sluice.operators.resolution import resolved_entries, stream_side
+from sluice.operators.versions import to_rows, with_writers
 from sluice.plans.tables import brief
 from sluice.sources.stream import read_records
+from sluice.streaming.quarantine import start_separated
 from sluice.streaming.sink import require_switches, start_event
 
 LOG = logging.getLogger(__name__)
@@ -48,10 +50,12 @@ class Started:
         return self
 
 
-def event_rows(spark: SparkSession, config: IngestConfig, topics: str, schema: str) -> DataFrame:
+def event_rows(
+    spark: SparkSession, config: IngestConfig, topics: str, schema: str, writers: Mapping[int, str] | None = None
+) -> DataFrame:
     """Source to typed rows for one event."""
     records = read_records(spark, config, topics)
-    return to_rows(records, schema, config.codec, config.mode)
+    return to_rows(records, schema, config.codec, config.mode, writers)
 
 
 def stream_plan(registry: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -60,8 +64,17 @@ def stream_plan(registry: DataFrame, schemas: DataFrame) -> DataFrame:
 
 
 def resolved_stream_plan(registry: DataFrame, schemas: DataFrame) -> DataFrame:
-    """As ``stream_plan``, with the entries and layouts that the tables have too."""
-    return priority_order(with_stream_schema(stream_side(resolved_entries(registry)), schemas))
+    """As ``stream_plan``, with the entries and layouts that the tables have too.
+
+    If the schemas have a ``schema_id``, the plan has the ``writers`` by which records are decoded.
+    """
+    plan = with_stream_schema(stream_side(resolved_entries(registry)), schemas)
+    return priority_order(with_writers(plan, schemas) if "schema_id" in schemas.columns else plan)
+
+
+def writers_of(event: Row) -> dict[int, str] | None:
+    """The schemas by id of a row of the stream plan; None if the plan decodes by the newest schema alone."""
+    return {w.schema_id: w.schema for w in event.writers} if "writers" in event else None
 
 
 def start_all(
@@ -88,7 +101,12 @@ def start_one(spark: SparkSession, event: Row, config: IngestConfig) -> Started:
         pool = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", event.bucket_id)
         try:
-            rows = event_rows(spark, config, event.topics, event.schema)
+            writers = writers_of(event)
+            if config.quarantine:
+                records = read_records(spark, config, event.topics)
+                return start_separated(
+                    records, event.event_key, event.schema, event.stream_partitions, config, event.is_transactional, writers)
+            rows = event_rows(spark, config, event.topics, event.schema, writers)
             return start_event(rows, event.event_key, event.stream_partitions, config, event.is_transactional)
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)

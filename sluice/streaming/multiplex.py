@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.config import IngestConfig, join_path
-from sluice.operators.records import require_codec, to_rows
+from sluice.operators.records import require_codec
+from sluice.operators.versions import to_rows
 from sluice.plans.tables import brief
 from sluice.sources.stream import RECORD_SCHEMA, read_records
 from sluice.streaming import files
-from sluice.streaming.fanout import Started, resolved_stream_plan, start_one
+from sluice.streaming.fanout import Started, resolved_stream_plan, start_one, writers_of
 from sluice.streaming.ledger import BATCH, Layout, append_batch, settle
+from sluice.streaming.quarantine import separate, tagged
 from sluice.streaming.sink import gather_partitions, require_switches, sink_options, trigger
 
 LOG = logging.getLogger(__name__)
@@ -48,18 +50,20 @@ class Member:
     is_transactional: bool | None = None
     layout: Layout | None = None
     error: str | None = None
+    writers: dict[int, str] | None = None
 
 
 def member_of(event: Row) -> Member:
     topics = [topic.strip() for topic in event.topics.split(",") if topic.strip()]
-    return Member(event.event_key, topics, event.schema, list(event.stream_partitions), event.is_transactional)
+    return Member(
+        event.event_key, topics, event.schema, list(event.stream_partitions), event.is_transactional, writers=writers_of(event))
 
 
 def settled(spark: SparkSession, member: Member, config: IngestConfig) -> Member:
     """``member`` with the layout of its rows; raises what would keep its rows from being written."""
     if member.schema is None:
         raise LookupError(f"no schema shared by the topics {', '.join(member.topics)}")
-    rows = to_rows(spark.createDataFrame([], RECORD_SCHEMA), member.schema, config.codec, config.mode)
+    rows = to_rows(spark.createDataFrame([], RECORD_SCHEMA), member.schema, config.codec, config.mode, member.writers)
     absent = [name for name in member.partitions if name not in rows.columns]
     if absent:
         raise ValueError(f"no partition column {', '.join(absent)}")
@@ -192,7 +196,10 @@ def _write(kept: DataFrame, name: str, number: int, member: Member, config: Inge
 
 def append_event(records: DataFrame, batch: str, member: Member, config: IngestConfig) -> None:
     """The rows of one event and batch, in place of an earlier attempt at it."""
-    rows = to_rows(records, member.schema, config.codec, config.mode)
+    if config.quarantine:
+        separate(tagged(records, member.schema, config, member.writers), batch, member.layout, config)
+        return
+    rows = to_rows(records, member.schema, config.codec, config.mode, member.writers)
     if config.sink_format == "delta":
         name, number = batch.rsplit("-", 1)
         writer = rows.write.format("delta").mode("append").options(**sink_options(config), **delta_attempt(

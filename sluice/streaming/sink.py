@@ -32,6 +32,8 @@ def _text(flag: bool) -> str:
 
 def require_switches(spark: SparkSession, config: IngestConfig) -> None:
     """Refuse switches that this sink or session would ignore without a word."""
+    if config.quarantine and (config.sink_format == "delta" or config.mode != "PERMISSIVE"):
+        raise ValueError("quarantine needs mode PERMISSIVE and a sink with batch directories, not Delta")
     if config.sink_format == "delta":
         if config.target_bytes is not None:
             raise ValueError("target_bytes has no effect on a Delta sink")

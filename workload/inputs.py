@@ -137,6 +137,39 @@ SCHEMA_COLUMNS = {
 }
 
 
+# The versions of a topic by schema id: the first has no ``value``, the second a default for it.
+DEFAULT_VALUE = -1.0
+DEFAULTING_SCHEMA = json.dumps({"type": "record", "name": "Body", "fields": [
+    {**field, "type": ["double", "null"], "default": DEFAULT_VALUE} if field["name"] == "value" else field
+    for field in _FIELDS
+]})
+
+# A history whose versions differ in one field: as it is, without it, with a default, user_id as an int, malformed.
+_OPTIONAL = [{**field, "default": None} if field["name"] == "value" else field for field in _FIELDS]
+_INT_USER = [{**field, "type": "int"} if field["name"] == "user_id" else field for field in _FIELDS]
+HISTORY_SCHEMAS = [
+    BODY_SCHEMA, NARROW_SCHEMA, *[json.dumps({"type": "record", "name": "Body", "fields": fields}) for fields in (_OPTIONAL, _INT_USER)],
+    MALFORMED_SCHEMA,
+]
+HISTORY_COLUMNS = {
+    "subject": "concat(event_type, '-value')",
+    "version": "CAST(event_id AS INT)",
+    "schema": "CASE event_id % 5 " + " ".join(f"WHEN {n} THEN '{text}'" for n, text in enumerate(HISTORY_SCHEMAS)) + " END",
+}
+
+
+def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).selectExpr(*select_list(HISTORY_COLUMNS))
+
+
+def identified_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions with ids of every topic's schema."""
+    topics = events(spark, sf_dir).select(F.concat("event_type", F.lit("-value")).alias("subject")).distinct()
+    return topics.selectExpr(
+        "subject", f"stack(2, 1, '{NARROW_SCHEMA}', 2, '{DEFAULTING_SCHEMA}') AS (version, schema)"
+    ).withColumn("schema_id", F.col("version"))
+
+
 def select_list(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
@@ -203,12 +236,23 @@ def _json_value(fields: DataFrame) -> Column:
     return _framed(F.encode(F.to_json(F.struct(*names)), "UTF-8"))
 
 
+def versioned_json_records(fields: DataFrame) -> DataFrame:
+    """Records of two schema ids and, a tenth of them, of an id that no schema has."""
+    number = F.when(F.col("event_id") % 10 == 3, 9).otherwise(1 + F.col("event_id") % 2)
+    body = F.encode(F.to_json(F.struct(*[name for name in fields.columns if name != "topic"])), "UTF-8")
+    header = F.unhex(F.concat(F.lit("00"), F.lpad(F.hex(number), 8, "0")))
+    return fields.select("topic", F.concat(header, body).alias("value"))
+
+
 def json_records(fields: DataFrame) -> DataFrame:
     return fields.select("topic", _json_value(fields).alias("value"))
 
 
+GARBAGE = b'{"event_id": "no number"'
+
+
 def damaged_json_records(fields: DataFrame) -> DataFrame:
-    return _damaged(fields, _json_value(fields), b'{"event_id": "no number"')
+    return _damaged(fields, _json_value(fields), GARBAGE)
 
 
 def _damaged(fields: DataFrame, value: Column, garbage: bytes) -> DataFrame:

@@ -187,6 +187,13 @@ ORACLES = {
             IS DISTINCT FROM (b.topics, b.bucket_id, b.is_transactional, b.parts, b.schema) THEN 'restart' END AS action
         FROM a FULL JOIN b USING (event_key))
         SELECT event_key, action FROM found WHERE action IS NOT NULL""",
+    # 0: as it is, 1: without a field, 2: with a default for it, 3: a narrower number, 4: malformed.
+    "schema_compat": """SELECT subject, version, previous, CASE WHEN kind = 4 THEN 'INVALID' WHEN before IS NULL THEN 'NEW'
+        WHEN before = 4 THEN 'UNKNOWN' WHEN kind = before THEN 'FULL' WHEN before = 3 THEN 'BACKWARD' WHEN kind = 3 THEN 'FORWARD'
+        WHEN kind = 0 AND before = 1 THEN 'FORWARD' WHEN kind = 1 AND before = 0 THEN 'BACKWARD' ELSE 'FULL' END AS code
+        FROM (SELECT event_type || '-value' AS subject, CAST(event_id AS INTEGER) AS version, event_id % 5 AS kind,
+            CAST(lag(event_id) OVER w AS INTEGER) AS previous, lag(event_id % 5) OVER w AS before
+        FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id))""",
     "schema_columns": f"""WITH {DEFINITIONS}, {COLUMNS}
         SELECT event_key, ordinal, column_name, data_type
         FROM definitions JOIN columns_of USING (event_type)""",
@@ -208,6 +215,16 @@ ORACLES = {
         GROUP BY is_transactional, status""",
     "flow_event_append": _ALL_ROWS,
     "flow_permissive_append": _damaged(_PARTS),
+    "flow_quarantine": f"""SELECT false AS quarantined, NULL AS topic, CAST(NULL AS BIGINT) AS octets, *
+        FROM ({_ALL_ROWS} WHERE event_id % 12 NOT IN (1, 4, 7, 10))
+        UNION ALL SELECT true, event_type, CASE event_id % 12 WHEN 4 THEN 3 WHEN 7 THEN 5 WHEN 10 THEN {5 + len(inputs.GARBAGE)} END,
+        NULL, NULL, NULL, NULL, NULL, NULL FROM events WHERE event_id % 12 IN (1, 4, 7, 10)""",
+    # Records of the first version have the default of the field that it lacks, whatever their bodies say.
+    "flow_schema_ids": f"""SELECT event_type AS event_key, {", ".join(
+        f'CASE WHEN event_id % 10 <> 3 THEN "{name}" END AS "{name}"'
+        for name in ("user_id", "value", "dpYear", "dpMonth", "dpDay", "event_id"))} FROM (SELECT event_id, event_type, user_id,
+        CASE WHEN event_id % 2 = 0 THEN {inputs.DEFAULT_VALUE} ELSE value END AS value, {_PARTS}
+        FROM (SELECT * REPLACE ({_VALUE}) FROM events) WHERE event_type <> 'error')""",
     "flow_restart": _ALL_ROWS,
     "flow_relayout": _ALL_ROWS,
     "flow_schema_merge": _MERGED_ROWS,

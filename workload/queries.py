@@ -11,7 +11,7 @@ from sluice.config import IngestConfig
 from sluice.functions.avro_types import ddl_type
 from sluice.operators import definitions as defs
 from sluice.operators import records as rec
-from sluice.operators import reconcile, resolution
+from sluice.operators import reconcile, resolution, versions
 from sluice.operators import registry as reg
 from sluice.operators.latest import last_per_key
 from sluice.plans import tables
@@ -19,6 +19,7 @@ from sluice.sources.registry import latest_schemas, read_registry, read_schemas
 from sluice.sources.stream import RECORD_SCHEMA, read_records
 from sluice.streaming import fanout, files, ledger, multiplex, sink
 from sluice.streaming.published import publish, read_published
+from sluice.streaming.quarantine import quarantined_records, start_separated
 from workload import inputs
 
 DAY = ("dpYear", "dpMonth", "dpDay")
@@ -276,6 +277,12 @@ def reg_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- schemas and tables -----------------------------------------------------------------
 
 
+@query
+def schema_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every version of every subject and the one before it read each other."""
+    return versions.compatibility(inputs.schema_history(spark, sf_dir))
+
+
 @query
 def schema_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return defs.column_list(defs.table_definitions(inputs.registry(spark, sf_dir)))
@@ -387,6 +394,33 @@ def flow_permissive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows_at(spark, _append(spark, records, config, inputs.BODY_SCHEMA))
 
 
+@query
+def flow_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a stream with damaged records, and the damaged ones as they came."""
+    config = inputs.parquet_config(inputs.scratch(spark, "quarantine"), quarantine=True)
+    records = inputs.damaged_json_records(inputs.body_fields(inputs.events_stream(spark, sf_dir)))
+    start_separated(records, "event", inputs.BODY_SCHEMA, DAY, config).awaitTermination()
+    rows = ledger.read_event(spark, config, "event", ROW_SCHEMA)
+    lost = quarantined_records(spark, config, "event").select("topic", F.length("value").cast("long").alias("octets"))
+    return lost.withColumn("quarantined", F.lit(True)).unionByName(
+        rows.withColumn("quarantined", F.lit(False)), allowMissingColumns=True)
+
+
+@query
+def flow_schema_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two schema ids through the streams of their events, each decoded by its own."""
+    root = inputs.scratch(spark, "ids")
+    config = inputs.parquet_config(root, source_options={"path": f"{root}/log"})
+    inputs.versioned_json_records(_fields(spark, sf_dir)).write.partitionBy("topic").parquet(f"{root}/log")
+    started = fanout.start_all(spark, inputs.topic_registry(spark, sf_dir), inputs.identified_schemas(spark, sf_dir), config)
+    fanout.await_all(spark, started)
+    rows = spark.createDataFrame([], f"event_key string, {ROW_SCHEMA}")
+    for outcome in started:
+        read = ledger.read_event(spark, config, outcome.event_key, ROW_SCHEMA)
+        rows = rows.unionByName(read.withColumn("event_key", F.lit(outcome.event_key)))
+    return rows
+
+
 def _halves(spark, sf_dir) -> list[DataFrame]:
     """All events, as an earlier and a later delivery."""
     fields = _fields(spark, sf_dir)
