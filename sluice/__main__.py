@@ -39,7 +39,8 @@ def run(program: str, settings: dict, spark: SparkSession):
     sides = settings.get("sides", ["NonTxn"])
     shared = settings.get("schema_source") == "streams"
     schemas = read_schemas(spark, settings["schemas"], table_format) if shared else None
-    return provision_tables(spark, registry, config, settings.get("catalog"), sides, schemas=schemas)
+    return provision_tables(spark, registry, config, settings.get("catalog"), sides, schemas=schemas,
+        widen=settings.get("widen", False))
 
 
 def main() -> None:

@@ -9,8 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.config import IngestConfig
 from sluice.operators.definitions import definition_counts, rejected, with_newest_schemas
+from sluice.operators.drift import drifted
 from sluice.operators.resolution import ranked, resolved, table_side
-from sluice.plans.tables import NAMESPACES, THREADS, create_statements, create_tables, outcome_counts
+from sluice.plans.tables import (
+    NAMESPACES,
+    THREADS,
+    alter_statements,
+    create_statements,
+    create_tables,
+    outcome_counts,
+    table_schemas,
+)
 from sluice.streaming.fanout import Started, await_all, start_all
 from sluice.streaming.ledger import current_layouts
 from sluice.streaming.multiplex import start_groups
@@ -50,12 +59,14 @@ def provision_tables(
     namespaces: Mapping[bool, str] = NAMESPACES,
     schemas: DataFrame | None = None,
     threads: int = THREADS,
+    widen: bool = False,
 ) -> DataFrame:
     """Create the tables of the given sides and return the outcome of each.
 
     With ``schemas`` a table's columns come from the schema that its stream decodes with,
     without from the registry's own copy. Every schema is parsed once. Entry and layout of an event are
-    those that its stream has.
+    those that its stream has. With ``widen`` a table that was there already gets the columns that its schema has
+    more, which is one more outcome of the event; changes it cannot follow are logged.
     """
     if schemas is not None:
         registry = with_newest_schemas(registry, schemas)
@@ -68,6 +79,14 @@ def provision_tables(
         layouts = None if config.sink_format == "delta" else current_layouts(spark, config)
         statements = create_statements(definitions, config, catalog, namespaces, layouts=layouts)
         outcomes = create_tables(spark, statements, sides, threads)
+        if widen:
+            tables = table_schemas(spark, definitions, catalog, namespaces, sides, threads)
+            altered = alter_statements(drifted(definitions, registry, tables), catalog, namespaces).persist()
+            for row in altered.where("size(refused) > 0").toLocalIterator():
+                LOG.warning("table of %s cannot follow: %s", row.event_key, "; ".join(row.refused))
+            added = create_tables(spark, altered.where("statement IS NOT NULL"), sides, threads)
+            outcomes = outcomes.unionByName(added)
+            altered.unpersist()
     finally:
         entries.unpersist()
     for row in outcome_counts(outcomes).collect():  # at most three rows per side

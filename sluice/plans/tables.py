@@ -75,6 +75,42 @@ def _table_name(key: Column, namespace: Column, catalog: str | None) -> Column:
     return F.concat_ws(".", *map(quote_name, names))
 
 
+def alter_statements(
+    drift: DataFrame, catalog: str | None = None, namespaces: Mapping[bool, str] = NAMESPACES
+) -> DataFrame:
+    """Adds ``namespace`` and the ``statement`` that adds a lagging table's columns; null if there is none to add.
+
+    A nested field is a path, which Delta takes; a table of files refuses it, as an outcome of its own.
+    """
+    namespace = F.when(F.col("is_transactional"), namespaces[True]).otherwise(namespaces[False])
+    columns = F.transform(
+        "added", lambda c: F.concat_ws(" ", F.array_join(F.transform(c["path"], quote_name), "."), c["type"]))
+    statement = F.concat(
+        F.lit("ALTER TABLE "), _table_name(F.col("event_key"), namespace, catalog), F.lit(" ADD COLUMNS ("),
+        F.array_join(columns, ", "), F.lit(")"))
+    return drift.withColumn("namespace", namespace).withColumn("statement", F.when(F.size("added") > 0, statement))
+
+
+def table_schemas(
+    spark: SparkSession, definitions: DataFrame, catalog: str | None = None,
+    namespaces: Mapping[bool, str] = NAMESPACES, sides: Iterable[str] = ("NonTxn",), threads: int = THREADS,
+) -> DataFrame:
+    """event_key and table_schema (Spark's JSON form) of the tables that are there; one catalog look-up for each."""
+    namespace = F.when(F.col("is_transactional"), namespaces[True]).otherwise(namespaces[False])
+    name = _table_name(F.col("event_key"), namespace, catalog)
+    wanted = definitions.where(namespace.isin(*sides)).select("event_key", name.alias("name")).hint("rebalance")
+
+    def look(row) -> tuple[str, str] | None:
+        try:
+            return row.event_key, spark.table(row.name).schema.json()
+        except AnalysisException:
+            return None
+
+    with ThreadPoolExecutor(threads) as pool:
+        found = [row for row in pool.map(look, wanted.toLocalIterator()) if row]
+    return spark.createDataFrame(found, "event_key string, table_schema string")
+
+
 def create_tables(
     spark: SparkSession,
     statements: DataFrame,

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.config import IngestConfig
+from sluice.operators.drift import wanted_type
 
 HEADER = "0000000001"
 EVENTS_SCHEMA = (
@@ -158,6 +159,27 @@ HISTORY_COLUMNS = {
 }
 
 
+def _older_type(event_type: str, kind: int) -> str:
+    """The type of a table that lacks a column or a nested field (1), has another type for one (2), or both (3)."""
+    tree = wanted_type(json.dumps(TABLE_SCHEMAS[event_type]))
+    if kind & 1:
+        (tree["fields"][1]["type"]["fields"] if event_type == "error" else tree["fields"]).pop()
+    if kind & 2:
+        tree["fields"][0]["type"] = "binary"
+    return json.dumps(tree)
+
+
+def older_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_key and table_schema of a table for every user and event type; a quarter of them is up to date."""
+    kind, found = F.col("user_id") % 4, F.lit(None).cast("string")
+    for event_type in TABLE_SCHEMAS:
+        for n in range(4):
+            found = F.when((F.col("event_type") == event_type) & (kind == n), _older_type(event_type, n)).otherwise(found)
+    keys = events(spark, sf_dir).select("event_type", "user_id").distinct()
+    key = F.concat("event_type", F.lit("_"), F.col("user_id").cast("string"))
+    return keys.select(key.alias("event_key"), found.alias("table_schema"))
+
+
 def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).selectExpr(*select_list(HISTORY_COLUMNS))
 

@@ -210,6 +210,16 @@ ORACLES = {
         FROM definitions GROUP BY is_transactional""",
     "tbl_ddl": _ddl(quoted=True),
     "tbl_ddl_plain": _ddl(quoted=False),
+    # 1: a column or nested field is missing, 2: the first column has another type, 3: both.
+    "tbl_alter": f"""WITH {DEFINITIONS}, drift(event_type, added, refused) AS (VALUES
+        ('click', '`visible` boolean', 'page: binary to string'),
+        ('error', '`origin`.`frames` Array<long>', 'code: binary to integer'),
+        ('purchase', '`attrs` Map<string,long>', 'at: binary to timestamp'),
+        ('signup', '`dpHour` integer', 'plan: binary to string'))
+        SELECT event_key, CASE WHEN kind % 2 = 1 THEN 'ALTER TABLE `main`.`' || {_DEFINITIONS_SIDE} || '`.`' || event_key
+            || '` ADD COLUMNS (' || added || ')' END AS statement, CASE WHEN kind >= 2 THEN refused ELSE '' END AS refused
+        FROM (SELECT *, CAST(split_part(event_key, '_', 2) AS BIGINT) % 4 AS kind FROM definitions JOIN drift USING (event_type))
+        WHERE kind > 0""",
     "tbl_create": _CREATED,
     "tbl_outcomes": f"""SELECT is_transactional, status, count(*) AS tables FROM ({_CREATED})
         GROUP BY is_transactional, status""",

@@ -11,7 +11,7 @@ from sluice.config import IngestConfig
 from sluice.functions.avro_types import ddl_type
 from sluice.operators import definitions as defs
 from sluice.operators import records as rec
-from sluice.operators import reconcile, resolution, versions
+from sluice.operators import drift, reconcile, resolution, versions
 from sluice.operators import registry as reg
 from sluice.operators.latest import last_per_key
 from sluice.plans import tables
@@ -341,6 +341,15 @@ def tbl_ddl_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return statements.select("event_key", "namespace", "statement")
 
 
+@query
+def tbl_alter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What to add to tables of older schemas, and what they cannot follow."""
+    entries = inputs.registry(spark, sf_dir)
+    lagging = drift.drifted(defs.table_definitions(entries), entries, inputs.older_tables(spark, sf_dir))
+    statements = tables.alter_statements(lagging, "main")
+    return statements.select("event_key", "statement", F.array_join("refused", "; ").alias("refused"))
+
+
 @query
 def tbl_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _create(spark, sf_dir).select("event_key", "is_transactional", "status")
