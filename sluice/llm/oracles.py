@@ -76,26 +76,49 @@ ORACLES["op10_line_dedup"] = r"""
 """
 
 ORACLES["op2_preference"] = r"""
-    WITH last_turn AS (
-        SELECT conv_id, turn, text FROM conversations c WHERE role = 'assistant' AND turn = (
-            SELECT max(turn) FROM conversations d WHERE d.conv_id = c.conv_id AND d.role = 'assistant')
+    WITH turns AS (
+        SELECT conv_id, role, text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), middles AS (
+        SELECT conv_id, place AS middle FROM (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY place) - 1 AS nth,
+                count(*) OVER (PARTITION BY conv_id) AS n
+            FROM turns WHERE role = 'assistant'
+        ) WHERE nth = n // 2
     ), pairs AS (
-        SELECT a.conv_id, a.turn AS last, b.text AS other, a.text AS own
-        FROM last_turn a JOIN last_turn b ON b.conv_id = a.conv_id + 1
+        SELECT *, coalesce(lead(conv_id) OVER (ORDER BY conv_id), min(conv_id) OVER ()) AS other FROM middles
+    ), chosen AS (
+        SELECT p.conv_id AS pair_id, t.place, t.role, t.text FROM pairs p JOIN turns t USING (conv_id)
+    ), rejected AS (
+        SELECT p.conv_id AS pair_id, t.place, t.role, t.text
+        FROM pairs p JOIN turns t USING (conv_id) WHERE t.place < p.middle
+        UNION ALL
+        SELECT p.conv_id, t.place - m.middle + p.middle, t.role, t.text
+        FROM pairs p JOIN middles m ON m.conv_id = p.other JOIN turns t ON t.conv_id = p.other WHERE t.place >= m.middle
+    ), sizes AS (
+        SELECT pair_id, max(place) FILTER (side = 0) AS n_a, max(place) FILTER (side = 1) AS n_b
+        FROM (SELECT 0 AS side, * FROM chosen UNION ALL SELECT 1, * FROM rejected) GROUP BY pair_id
+    ), agreeing AS (
+        SELECT s.pair_id, coalesce(min(c.place) FILTER (
+                c.role IS DISTINCT FROM r.role OR c.text IS DISTINCT FROM r.text) - 1, least(any_value(n_a), any_value(n_b))) AS n
+        FROM sizes s JOIN chosen c USING (pair_id) JOIN rejected r USING (pair_id, place) GROUP BY s.pair_id
     ), shown AS (
-        SELECT p.conv_id AS pair_id, c.turn, p.own, p.other, p.last,
-            '<|' || c.role || '|>' || chr(10) || c.text || chr(10) || '<|end|>' || chr(10) AS block
-        FROM pairs p JOIN conversations c ON c.conv_id = p.conv_id AND c.turn <= p.last
-    ), prompts AS (
-        SELECT pair_id, any_value(own) AS own, any_value(other) AS other, any_value(own) = any_value(other) AS same,
-            CAST(count(*) - 1 AS INTEGER) + CASE WHEN any_value(own) = any_value(other) THEN 1 ELSE 0 END AS prompt_turns,
-            coalesce(string_agg(block, '' ORDER BY turn) FILTER (turn < last OR own = other), '') AS prompt
-        FROM shown GROUP BY pair_id
+        SELECT pair_id, side, place, place <= n AS shared, role IS NOT DISTINCT FROM 'assistant' AS answer,
+            '<|' || coalesce(role, '') || '|>' || chr(10) AS head,
+            coalesce(text, '') || chr(10) || '<|end|>' || chr(10) AS said
+        FROM (SELECT 0 AS side, * FROM chosen UNION ALL SELECT 1, * FROM rejected) JOIN agreeing USING (pair_id)
+    ), placed AS (
+        SELECT *, sum(length(head) + length(said)) OVER (PARTITION BY pair_id, side, shared ORDER BY place) - length(said) AS begun
+        FROM shown
     )
-    SELECT pair_id, prompt_turns, prompt,
-        CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || own || chr(10) || '<|end|>' || chr(10) END AS chosen,
-        CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || other || chr(10) || '<|end|>' || chr(10) END AS rejected,
-        CASE WHEN same THEN NULL ELSE 14 END AS chosen_start, CASE WHEN same THEN NULL ELSE length(own) + 9 END AS chosen_length,
-        CASE WHEN same THEN NULL ELSE 14 END AS rejected_start, CASE WHEN same THEN NULL ELSE length(other) + 9 END AS rejected_length
-    FROM prompts
+    SELECT pair_id, CAST(count(*) FILTER (shared AND side = 0) AS INTEGER) AS prompt_turns,
+        coalesce(string_agg(head || said, '' ORDER BY place) FILTER (shared AND side = 0), '') AS prompt,
+        coalesce(string_agg(head || said, '' ORDER BY place) FILTER (NOT shared AND side = 0), '') AS chosen,
+        coalesce(string_agg(head || said, '' ORDER BY place) FILTER (NOT shared AND side = 1), '') AS rejected,
+        coalesce(string_agg(CAST(begun AS VARCHAR) || ':' || CAST(length(said) AS VARCHAR), ' ' ORDER BY place)
+            FILTER (NOT shared AND side = 0 AND answer), '') AS chosen_spans,
+        coalesce(string_agg(CAST(begun AS VARCHAR) || ':' || CAST(length(said) AS VARCHAR), ' ' ORDER BY place)
+            FILTER (NOT shared AND side = 1 AND answer), '') AS rejected_spans
+    FROM placed GROUP BY pair_id
 """

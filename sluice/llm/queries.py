@@ -11,7 +11,7 @@ from sluice.llm.line_dedup import deduplicated
 from sluice.llm.packing import pack
 from sluice.llm.phrase_dedup import without_repeats
 from sluice.llm.piece_spans import encoded
-from sluice.llm.preference import preference_rows, with_next_answer
+from sluice.llm.preference import pairs_by_order
 from sluice.llm.prefix_forest import nearest
 from sluice.llm.prefix_trie import conversation_trie
 from sluice.llm.scratch import new_path
@@ -41,12 +41,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each conversation against itself with the next conversation's answer, so one span on each side."""
-    chosen, rejected = with_next_answer(_table(spark, sf_dir, "conversations"))
-    found = preference_rows(chosen, rejected)
+    """Each conversation against one that leaves it at its middle answer; spans as ``start:length``, by spaces."""
+    found = pairs_by_order(_table(spark, sf_dir, "conversations"))
     spans = [
-        F.get(f"{side}_spans", F.lit(0))[part].alias(f"{side}_{part}")
-        for side in ("chosen", "rejected") for part in ("start", "length")
+        F.array_join(F.transform(name, lambda s: F.concat(s["start"], F.lit(":"), s["length"])), " ").alias(name)
+        for name in ("chosen_spans", "rejected_spans")
     ]
     return found.select("pair_id", "prompt_turns", "prompt", "chosen", "rejected", *spans)
 

@@ -12,7 +12,7 @@ import check
 from sluice.llm.decontaminate import contained_items, drop_contaminated
 from sluice.llm.line_dedup import drop_repeated_chunks
 from sluice.llm.oracles import ORACLES
-from sluice.llm.preference import preference_rows
+from sluice.llm.preference import pairs_by_order, preference_rows
 
 DOCS = "doc_id long, text string, row string, kept string, doc string"
 ITEMS = "item_id long, text string"
@@ -183,3 +183,65 @@ def test_pairs_equal_brute_force(spark):
             assert text == "".join(map(block, turns))
             trained = [text[s.start:s.start + s.length] for s in spans]
             assert trained == [f"{t[3] or ''}\n<|end|>\n" for t in turns if t[2] == "assistant"]
+
+
+def plain_order(rows: list[tuple]) -> dict:
+    """pair_id to its two talks, by the rule of ``pairs_by_order``."""
+    talks = {}
+    for conv, *turn in rows:
+        if conv is not None:
+            talks.setdefault(conv, []).append(tuple(turn[:3]))
+    for talk in talks.values():
+        talk.sort(key=lambda t: [(x is not None, x) if x is not None else (False,) for x in t])
+    cuts = {c: [i for i, x in enumerate(t) if x[1] == "assistant"] for c, t in talks.items()}
+    cuts = {c: at[len(at) // 2] for c, at in cuts.items() if at}
+    order = sorted(cuts)
+    return {
+        c: (talks[c], talks[c][:cuts[c]] + talks[o][cuts[o]:])
+        for c, o in zip(order, order[1:] + order[:1], strict=True)
+    }
+
+
+CONVERSATIONS = "conv_id long, turn long, role string, text string, pair_id string, a string, range string"
+
+
+def test_pairs_by_order_equal_brute_force(spark):
+    draw = random.Random(12)
+    rows = [
+        (conv, t, draw.choice(["user", "assistant", "assistant", "system", None]), draw.choice(["hi", "", None, "yes", "x" * 20_000]))
+        for conv in [-5, 0, 1, 2, 4, *range(100, 160), 2**40, None] for t in range(draw.randrange(1, 9))
+    ]
+    rows += [(7, 0, "user", "alone"), (8, None, "assistant", "b"), (8, None, "assistant", "a"), (8, 3, "user", None)]
+    rows += draw.sample(rows, 40)
+    table = spark.createDataFrame([(*r, "p", "a", "r") for r in rows], CONVERSATIONS)
+    found, expected = pairs_by_order(table).collect(), plain_order(rows)
+    block = lambda t: f"<|{t[1] or ''}|>\n{t[2] or ''}\n<|end|>\n"
+    assert len(found) == len(expected) and {r.pair_id for r in found} == set(expected) and 7 not in expected
+    lengths = set()
+    for r in found:
+        a, b = expected[r.pair_id]
+        n = 0
+        while n < min(len(a), len(b)) and a[n][1:] == b[n][1:]:
+            n += 1
+        assert (r.prompt_turns, r.prompt) == (n, "".join(map(block, a[:n])))
+        for turns, text, spans in ((a[n:], r.chosen, r.chosen_spans), (b[n:], r.rejected, r.rejected_spans)):
+            lengths.add(len(spans))
+            assert text == "".join(map(block, turns))
+            assert [text[s.start:s.start + s.length] for s in spans] == [f"{t[2] or ''}\n<|end|>\n" for t in turns if t[1] == "assistant"]
+    assert {0, 1, 2, 3} <= lengths
+
+
+def test_a_lone_conversation_and_none(spark):
+    one = spark.createDataFrame([(3, 0, "user", "q", "", "", ""), (3, 1, "assistant", "r", "", "", "")], CONVERSATIONS)
+    row = pairs_by_order(one).first()
+    assert (row.pair_id, row.prompt_turns, row.chosen, row.rejected, row.chosen_spans) == (3, 2, "", "", [])
+    assert pairs_by_order(one.where("turn = 0")).count() == 0 and pairs_by_order(one.limit(0)).count() == 0
+
+
+def test_every_answered_conversation_has_a_pair(spark, sf_dir):
+    from sluice.llm.queries import QUERIES
+
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    found = QUERIES["op2_preference"](spark, sf_dir).collect()
+    assert len(found) == table.where("role = 'assistant'").select("conv_id").distinct().count()
+    assert any(" " in r.chosen_spans for r in found) and any(" " in r.rejected_spans for r in found)
