@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Words become classes (insult, threat, target, negation, report, other) by a lexicon. Three
-transducers read a clause's classes: one marks abuse that a negation reaches, one abuse in reported
-speech, one abuse that a target reaches. Their composition is one table of (state, class) ->
-(state, mark), run once over a clause that holds any abuse. A clause scores by its
-heaviest word under its mark's weight; a document by a logistic model over its clauses.
+Words become classes (insult, threat, intent, target, negation, report, other) by a lexicon. Five
+weighted transducers read a clause's classes: the insult and the threat machine turn words of abuse into
+marked symbols, and one each marks abuse that a negation, a report or a target reaches. Each arc has a factor;
+the composition is one table of (state, class) -> (state, mark, product of the factors), run once over a clause that
+holds any abuse. A clause scores by the sum, along its path, of factor times lexicon weight; a
+document by a logistic model over its clauses' scores, marks and heaviest words.
 
 The lexicon's weights are log odds learned from labelled rows, for words and for word
 beginnings, so that invented or inflected insults of any language are found. The word lists below
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +27,12 @@ from pyspark.sql import functions as F
 from sluice.llm.worker import releasing
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+#: Marks of a word of abuse: plain, then + 1 negated, + 2 reported, + 4 targeted.
+MARKS = 8
+#: Symbols from here on are marked abuse: 6 + marks for insults, 6 + 8 + marks for threats; then comes intent.
+ABUSE = 6
+INTENT = ABUSE + 2 * MARKS
+SYMBOLS = INTENT + 1
 #: Words whose class needs no label; general vocabulary of the four languages.
 WORDS = {
     INSULT: "idiot moron stupid dumb loser scum trash worthless pathetic disgusting clown fool vermin "
@@ -39,64 +46,98 @@ WORDS = {
               "kein keine nie ohne nunca ni sin",
     REPORT: "said says say wrote writes told tells quoted reported called according dit écrit raconte "
             "sagte sagt schrieb berichtet dijo dice escribió",
+    INTENT: "will ll gonna going shall must vais vas va allons allez vont werde wirst wird werden voy vamos van",
 }
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:|\n\"“”«»]")
 CLAUSE_ENDS, QUOTES = frozenset(".!?;:|\n"), frozenset("\"“”«»")
-#: Words that a negation, a target and a report reach.
-REACH = {NEGATION: 3, TARGET: 4, REPORT: 12}
+#: Words that a negation, a target, a report and an intent reach.
+REACH = {NEGATION: 3, TARGET: 4, REPORT: 12, INTENT: 4}
+#: Factors of a word of abuse that one of these reaches.
+FACTORS = {NEGATION: 0.25, TARGET: 1.5, REPORT: 0.5, INTENT: 1.5}
+#: Factors of an insult right after another and of a threat without intent.
+PILED, IDLE = 1.25, 0.75
 #: Beginnings of words that may carry a weight.
 PREFIXES = (4, 5, 6)
 LEXICON_SIZE = 4096
 TRAINING_ROWS = 20_000
 #: Tokens whose reading a task keeps, some 300 bytes each.
 REMEMBERED = 50_000
-#: Marks of a word of abuse: plain, then + 1 negated, + 2 reported, + 4 targeted.
-MARKS = 8
-FEATURES = 2 * MARKS + 5
+FEATURES = 2 * MARKS + 7
 
 
 @dataclass
 class Transducer:
-    """A deterministic transducer: table[state][symbol] is (next state, output symbol)."""
+    """A deterministic weighted transducer.
+
+    table[state][symbol] is (next state, output symbol), factors[state][symbol] what the arc multiplies a word's weight by.
+    """
 
     table: list[list[tuple[int, int]]]
+    factors: list[list[float]]
 
     def then(self, other: Transducer) -> Transducer:
-        """The composition: ``other`` reads what this one writes."""
+        """The composition: ``other`` reads what this one writes; factors of both arcs are multiplied."""
         width = len(other.table)
-        return Transducer([
+        pairs = [(a, b) for a in range(len(self.table)) for b in range(width)]
+        return Transducer(
+            [[(to * width + other.table[b][out][0], other.table[b][out][1]) for to, out in self.table[a]] for a, b in pairs],
             [
-                (to * width + other.table[b][out][0], other.table[b][out][1])
-                for to, out in self.table[a]
-            ]
-            for a in range(len(self.table)) for b in range(width)
-        ])
+                [f * other.factors[b][out] for f, (_, out) in zip(self.factors[a], self.table[a], strict=True)]
+                for a, b in pairs
+            ],
+        )
 
+    def clause(self, words: list[tuple[int, float]]) -> tuple[list[int], float, float]:
+        """Marks of the words of abuse in a clause of (class, weight), its score and its heaviest lexicon weight.
 
-def reaching(trigger: int, reach: int, mark: int) -> Transducer:
-    """Adds ``mark`` to words of abuse at most ``reach`` words after the trigger.
+        A word of abuse without a lexicon weight counts 1.
+        """
+        state, marks, score, heaviest = 0, [], 0.0, 0.0
+        for kind, weight in words:
+            factor = self.factors[state][kind]
+            state, symbol = self.table[state][kind]
+            if ABUSE <= symbol < INTENT:
+                marks.append(symbol - ABUSE)
+                weight = weight if weight > 0 else 1.0
+                score, heaviest = score + factor * weight, max(heaviest, weight)
+        return marks, score, heaviest
 
-    Symbols are classes, and from 6 on marked abuse: 6 + marks for insults, 6 + 8 + marks for threats.
-    """
-    def step(state: int, symbol: int) -> tuple[int, int]:
-        left = max(state - 1, 0)
+
+def machine(n_states: int, step: Callable[[int, int], tuple[int, int, float]]) -> Transducer:
+    """The transducer of a rule (state, symbol) -> (next state, output symbol, factor)."""
+    arcs = [[step(s, x) for x in range(SYMBOLS)] for s in range(n_states)]
+    return Transducer([[x[:2] for x in row] for row in arcs], [[x[2] for x in row] for row in arcs])
+
+
+def insults() -> Transducer:
+    """Marks insults; one right after another weighs more."""
+    return machine(2, lambda s, x: (1, ABUSE, PILED if s else 1.0) if x == INSULT else (0, x, 1.0))
+
+
+def threats() -> Transducer:
+    """Marks threats; one that an intent reaches weighs more, any other less."""
+    def step(state: int, symbol: int) -> tuple[int, int, float]:
+        if symbol == THREAT:
+            return max(state - 1, 0), ABUSE + MARKS, FACTORS[INTENT] if state else IDLE
+        return (REACH[INTENT] if symbol == INTENT else max(state - 1, 0)), symbol, 1.0
+
+    return machine(REACH[INTENT] + 1, step)
+
+
+def reaching(trigger: int, mark: int) -> Transducer:
+    """Adds ``mark`` and the trigger's factor to words of abuse that it reaches."""
+    def step(state: int, symbol: int) -> tuple[int, int, float]:
         if symbol == trigger:
-            return reach, symbol
-        if symbol in (INSULT, THREAT):
-            symbol = 6 + MARKS * (symbol == THREAT)
-        if symbol >= 6 and state:
-            symbol = 6 + (symbol - 6 | mark)
-        return left, symbol
+            return REACH[trigger], symbol, 1.0
+        if state and ABUSE <= symbol < INTENT:
+            return state - 1, ABUSE + (symbol - ABUSE | mark), FACTORS[trigger]
+        return max(state - 1, 0), symbol, 1.0
 
-    return Transducer([[step(s, x) for x in range(6 + 2 * MARKS)] for s in range(reach + 1)])
+    return machine(REACH[trigger] + 1, step)
 
 
 def grammar() -> Transducer:
-    return (
-        reaching(NEGATION, REACH[NEGATION], 1)
-        .then(reaching(REPORT, REACH[REPORT], 2))
-        .then(reaching(TARGET, REACH[TARGET], 4))
-    )
+    return insults().then(threats()).then(reaching(NEGATION, 1)).then(reaching(REPORT, 2)).then(reaching(TARGET, 4))
 
 
 @dataclass
@@ -127,21 +168,19 @@ def features(text: str, lexicon: Lexicon, machine: Transducer, memo: dict[str, t
     """What the grammar finds in a text; clauses without abuse only count as length."""
     found = np.zeros(FEATURES)
     clauses = hits = words = 0
-    best = second = total = 0.0
+    best = second = heaviest = next_heaviest = total = 0.0
     clause: list[tuple[int, float]] = []
     abusive = quoted = False
 
     def end_clause() -> None:
-        nonlocal hits, best, second, total
-        state, top = 0, 0.0
-        for kind, weight in clause:
-            state, symbol = machine.table[state][kind]
-            if symbol >= 6:
-                found[symbol - 6] += 1
-                top = max(top, weight if weight > 0 else 1.0)
+        nonlocal hits, best, second, heaviest, next_heaviest, total
+        marks, score, top = machine.clause(clause)
+        for mark in marks:
+            found[mark] += 1
         hits += 1
-        total += top
-        best, second = max(best, top), max(second, min(best, top))
+        total += score
+        best, second = max(best, score), max(second, min(best, score))
+        heaviest, next_heaviest = max(heaviest, top), max(next_heaviest, min(heaviest, top))
 
     for token in TOKEN.findall(text.lower()):
         if token in CLAUSE_ENDS:
@@ -166,7 +205,8 @@ def features(text: str, lexicon: Lexicon, machine: Transducer, memo: dict[str, t
         end_clause()
     found[:2 * MARKS] = np.log1p(found[:2 * MARKS])
     found[2 * MARKS:] = (
-        math.log1p(hits), math.log1p(total), best, second, 100 * hits / (10 + words),
+        math.log1p(hits), math.log1p(total), heaviest, next_heaviest, 100 * hits / (10 + words),
+        math.log1p(best), math.log1p(second),
     )
     return found
 

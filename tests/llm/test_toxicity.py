@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sluice.llm.toxicity import (
-    INSULT, NEGATION, OTHER, REPORT, TARGET, THREAT, Lexicon, drop_toxic, features, fit, grammar, held_out, judged,
+    INSULT, INTENT, NEGATION, OTHER, REPORT, TARGET, THREAT, Lexicon, drop_toxic, features, fit, grammar, held_out, judged,
 )
 
 SCHEMA = "doc_id long, text string, score string, held_out string"
@@ -36,6 +36,31 @@ def test_clauses_and_beginnings():
     assert not features("", lexicon, grammar(), memo).any()
 
 
+def test_weights_along_a_path_by_hand():
+    # Intent 4 words back, insults in a row, a target that reaches both, and a report over all.
+    marked, score, heaviest = grammar().clause([
+        (REPORT, 0.0), (TARGET, 0.0), (INSULT, 2.0), (INSULT, 4.0), (INTENT, 0.0), (OTHER, 0.0), (THREAT, 0.0), (NEGATION, 0.0), (THREAT, 3.0),
+    ])
+    assert marked == [6, 6, 8 + 2, 8 + 3] and heaviest == 4.0
+    assert score == 2.0 * 0.5 * 1.5 + 4.0 * 1.25 * 0.5 * 1.5 + 1.0 * 1.5 * 0.5 + 3.0 * 1.5 * 0.25 * 0.5
+    assert grammar().clause([(OTHER, 0.0), (THREAT, 0.0)]) == ([8], 0.75, 1.0)
+    assert grammar().clause([]) == ([], 0.0, 0.0)
+
+
+def test_negated_and_reported_clauses_score_lower():
+    lexicon = Lexicon({"idiot": 4.0})
+
+    def score(text: str) -> float:
+        return grammar().clause([lexicon.read(w) for w in text.split()])[1]
+
+    plain = score("he is an idiot at all")
+    assert score("he is no idiot at all") < plain and score("he said that he is an idiot") < plain
+    assert score("an idiot") < plain < score("he is an idiot idiot")
+    assert score("people will kill") > score("people kill")
+    x, y = (features(t, lexicon, grammar(), {}) for t in ("he is no idiot at all", "he is an idiot at all"))
+    assert x[17] < y[17] and x[21] < y[21]  # the total, the best clause
+
+
 def sample(count: int, seed: int) -> tuple[list, list]:
     draw = random.Random(seed)
     words = [f"{a}{b}" for a in ("the", "of", "and", "ing", "er") for b in "abcdefghij"]
