@@ -2,8 +2,9 @@
 
 Candidates share a shingle of their prefixes: in an order common to all sets, rare shingles first, two sets
 of Jaccard similarity ``t`` share one of the first ``n - ceil(t * n) + 1`` of each, ``n`` being its size. The
-sets of one such shingle are a bucket. Each round links a bucket's first sets with all others of another
-component, compares the linked sets as a whole, contracts the links that pass and lets the first sets go, since
+sets of one such shingle are a bucket. Each round takes the sets that have one of another component and a fitting
+size in their bucket, compares in the buckets the parities of the first ones with those of all others, compares
+those that may be alike as a whole, contracts the links that pass and lets the first sets go, since
 all their pairs are decided. It ends when no bucket holds two components, so a candidate
 is either compared or already in the same component; a dense group costs one comparison a set.
 """
@@ -29,6 +30,10 @@ COUNTED_SETS = 20_000
 COMMON_SETS, COMMON_SHINGLES = 8, 200_000
 #: A bucket of so few sets is compared at once; of larger ones the first 4, then 16 and so on up to this many.
 AT_ONCE, MOST_FIRST = 24, 256
+#: Up to this size a bucket's rows without any partner of a fitting size are told apart before parities are sent.
+LOOKED_AT = 64
+#: Pairs of a bucket in hand at a time.
+PAIRS = 1 << 15
 
 
 #: Of a shingle's 64-bit hash the upper 40 bits are kept: two of a pair of texts of a thousand words fall together
@@ -55,18 +60,32 @@ def parity(hashes: np.ndarray) -> bytes:
     return np.packbits(np.bincount((hashes >> np.uint64(30)).astype(np.int64), minlength=1024) & 1).tobytes()
 
 
-def passed(links: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The links (a, b; stored) whose sets (node, hashes, parity) have at least this Jaccard similarity.
+def may_be_similar(x: np.ndarray, y: np.ndarray, both: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether parities (a row of 16 words each) admit this similarity of sets of ``both`` elements together."""
+    apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return apart * (1 + threshold) <= (1 - threshold) * both + 1e-6
 
-    Most links fail by their parities, which are short, so few sets are moved.
-    """
+
+def parities(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 16)
+
+
+def screened(links: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The links (a, b) whose sets may have this similarity by their parities, which are short."""
 
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(-1, 16) for i in (2, 3))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
             both = b.column(4).to_numpy() + b.column(5).to_numpy()
-            yield b.select([0, 1]).filter(pa.array(apart * (1 + threshold) <= (1 - threshold) * both + 1e-6))
+            keep = may_be_similar(parities(b.column(2)), parities(b.column(3)), both, threshold)
+            yield b.select([0, 1]).filter(pa.array(keep))
+
+    short = sets.select("node", "parity", F.floor(F.length("hashes") / HASH_BYTES).alias("n"))
+    pairs = links.join(short.toDF("a", "x", "n"), "a").join(short.toDF("b", "y", "m"), "b")
+    return pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(releasing(may), "a long, b long")
+
+
+def passed(links: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The links (a, b; stored) whose sets (node, hashes) have at least this Jaccard similarity."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
@@ -77,9 +96,6 @@ def passed(links: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 keep.append(both >= threshold * (len(x) + len(y) - both))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    short = sets.select("node", "parity", F.floor(F.length("hashes") / HASH_BYTES).alias("n"))
-    pairs = links.join(short.toDF("a", "x", "n"), "a").join(short.toDF("b", "y", "m"), "b")
-    links = stored(pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(releasing(may), "a long, b long"), "set-pairs")
     ends = links.select(F.col("a").alias("node")).unionAll(links.select("b")).distinct()
     linked = sets.join(small(stored(ends, "set-ends")), "node", "left_semi").select("node", "hashes")
     pairs = links.join(linked.toDF("a", "x"), "a").join(linked.toDF("b", "y"), "b").select("a", "b", "x", "y")
@@ -131,18 +147,80 @@ def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
     return sets.select("node", "hashes").mapInArrow(releasing(first), "key long, node long, n long")
 
 
+def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Tables of whole buckets, from batches sorted by their first column, and where each bucket starts and ends."""
+
+    def cut_up(held: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        key = table.column(0).to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        return table, starts, np.append(starts[1:], len(key))
+
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = b.column(0).to_numpy()
+        cut = int(np.argmax(key == key[-1]))  # the last bucket may go on in the next batch
+        if cut or (held and held[-1].column(0)[-1].as_py() != key[0]):
+            yield cut_up([*held, b.slice(0, cut)])
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield cut_up(held)
+
+
+def undecided(buckets: DataFrame, threshold: float) -> DataFrame:
+    """The rows of buckets (key, node, n, root) with a row of another root and a fitting size in their bucket.
+
+    Of buckets larger than ``LOOKED_AT`` with several roots all rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts, ends in whole_buckets(batches):
+            n, root = (table.column(i).to_numpy() for i in (2, 3))
+            keep, size = np.zeros(len(n), bool), ends - starts
+            two = starts[size == 2]
+            two = two[(root[two] != root[two + 1]) & (n[two] >= threshold * n[two + 1] - 1e-6)]
+            keep[two] = keep[two + 1] = True
+            several = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
+            at = np.flatnonzero(several & (size > 2))
+            for start, end in zip(starts[at].tolist(), ends[at].tolist(), strict=True):
+                if end - start > LOOKED_AT:
+                    keep[start:end] = True
+                    continue
+                a, r = n[start:end], root[start:end]
+                fits = (np.minimum.outer(a, a) >= threshold * np.maximum.outer(a, a) - 1e-6) & (r[:, None] != r)
+                keep[start:end] = fits.any(axis=1)
+            yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    dealt = buckets.select("key", "node", "n", "root").repartition("key").sortWithinPartitions("key", "n", "node")
+    return dealt.mapInArrow(releasing(run), "key long, node long, n long, root long")
+
+
 def bucket_links(buckets: DataFrame, threshold: float, most: int) -> DataFrame:
-    """key, a, b, n of buckets with key, node, n and root: links to compare, and what stays (b null)."""
+    """key, a, b, n of buckets with key, node, n, root and parity: links that may pass, and what stays (b null).
 
-    def links(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    Parities are compared in the bucket, so unlike sets make no row.
+    """
+
+    def links(bucket: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
         """Places of linked rows (n ascending), and how many of the first have no pair left."""
         n, root = bucket[2], bucket[3]
         m = len(n)
         go = m - 1 if m <= AT_ONCE else min(m - 1, most)
-        i = np.repeat(np.arange(go), m - 1 - np.arange(go))
-        j = np.concatenate([np.arange(k + 1, m) for k in range(go)])
-        fits = (root[i] != root[j]) & (n[i] >= threshold * n[j] - 1e-6)
-        return i[fits], j[fits], go
+        step = max(1, PAIRS // m)
+        found = []
+        for first in range(0, go, step):
+            own = np.arange(first, min(first + step, go))
+            i = np.repeat(own, m - 1 - own)
+            j = np.concatenate([np.arange(k + 1, m) for k in own.tolist()])
+            fits = (root[i] != root[j]) & (n[i] >= threshold * n[j] - 1e-6)
+            i, j = i[fits], j[fits]
+            fits = may_be_similar(prints[i], prints[j], n[i] + n[j], threshold)
+            found.append((i[fits], j[fits]))
+        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+        return i, j, go
 
     def batch(key: list, a: list, b: list, n: list) -> pa.RecordBatch:
         a, b = np.concatenate(a), np.concatenate(b)
@@ -151,45 +229,31 @@ def bucket_links(buckets: DataFrame, threshold: float, most: int) -> DataFrame:
             names=["key", "a", "b", "n"],
         )
 
-    def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        rows = np.stack([table.column(i).to_numpy() for i in range(4)])
-        starts = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]]))
-        ends = np.append(starts[1:], rows.shape[1])
-        several = np.minimum.reduceat(rows[3], starts) != np.maximum.reduceat(rows[3], starts)
-        out: tuple[list, list, list, list] = ([], [], [], [])
-        held = 0
-        for start, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
-            bucket = rows[:, start:end]
-            i, j, go = links(bucket)
-            stay = bucket[:, go:] if end - start - go > 1 else bucket[:, :0]
-            parts = (
-                np.full(len(i) + stay.shape[1], bucket[0, 0]), np.concatenate([bucket[1, i], stay[1]]),
-                np.concatenate([bucket[1, j], np.full(stay.shape[1], -1)]), np.concatenate([bucket[2, i], stay[2]]),
-            )
-            for column, part in zip(out, parts, strict=True):
-                column.append(part)
-            held += len(parts[0])
-            if held > 100_000:
-                yield batch(*out)
-                out, held = ([], [], [], []), 0
-        if held:
-            yield batch(*out)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for b in batches:
-            if not b.num_rows:
-                continue
-            key = b.column(0).to_numpy()
-            cut = int(np.argmax(key == key[-1]))  # the last bucket may go on in the next batch
-            if cut or (held and held[-1].column(0)[-1].as_py() != key[0]):
-                yield from compare(pa.Table.from_batches([*held, b.slice(0, cut)]))
-                held = []
-            held.append(b.slice(cut))
-        if held:
-            yield from compare(pa.Table.from_batches(held))
+        for table, starts, ends in whole_buckets(batches):
+            rows, prints = np.stack([table.column(i).to_numpy() for i in range(4)]), parities(table.column(4))
+            several = np.minimum.reduceat(rows[3], starts) != np.maximum.reduceat(rows[3], starts)
+            out: tuple[list, list, list, list] = ([], [], [], [])
+            held = 0
+            for start, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
+                bucket = rows[:, start:end]
+                i, j, go = links(bucket, prints[start:end])
+                stay = bucket[:, go:] if end - start - go > 1 else bucket[:, :0]
+                parts = (
+                    np.full(len(i) + stay.shape[1], bucket[0, 0]), np.concatenate([bucket[1, i], stay[1]]),
+                    np.concatenate([bucket[1, j], np.full(stay.shape[1], -1)]), np.concatenate([bucket[2, i], stay[2]]),
+                )
+                for column, part in zip(out, parts, strict=True):
+                    column.append(part)
+                held += len(parts[0])
+                if held > 100_000:
+                    yield batch(*out)
+                    out, held = ([], [], [], []), 0
+            if held:
+                yield batch(*out)
 
-    dealt = buckets.select("key", "node", "n", "root").repartition("key").sortWithinPartitions("key", "n", "node")
+    dealt = buckets.select("key", "node", "n", "root", "parity").repartition("key")
+    dealt = dealt.sortWithinPartitions("key", "n", "node")
     return dealt.mapInArrow(releasing(run), "key long, a long, b long, n long")
 
 
@@ -200,20 +264,22 @@ def similar_roots(sets: DataFrame, links: DataFrame, threshold: float) -> DataFr
     first; they save rounds where they are good, and lose nothing where they are not. Nodes that are the
     smallest of their component have no row.
     """
+    spark, short = sets.sparkSession, sets.select("node", "parity")
     links = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "set-links")
-    free_shuffles(sets.sparkSession)
-    root = roots(passed(links, sets, threshold))
+    free_shuffles(spark)
+    root = roots(passed(stored(screened(links, sets, threshold), "set-pairs"), sets, threshold))
     buckets, most = prefixes(sets, threshold), 4
     while True:
-        free_shuffles(sets.sparkSession)
-        labelled = buckets.join(small(root), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        found = stored(bucket_links(labelled, threshold, most), "set-buckets")
+        free_shuffles(spark)
+        buckets = buckets.join(small(root), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        buckets = stored(undecided(buckets, threshold), "set-buckets")
+        free_shuffles(spark)
+        found = stored(bucket_links(buckets.join(short, "node"), threshold, most), "set-found")
         links = stored(found.where("b is not null").select("a", "b").distinct(), "set-links")
-        if not links.take(1):
-            if not found.take(1):
-                return root
-        else:
-            free_shuffles(sets.sparkSession)
+        if links.take(1):
+            free_shuffles(spark)
             good = passed(links, sets, threshold)
             root = roots(root.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(good))
+        elif not found.take(1):
+            return root
         buckets, most = found.where("b is null").select("key", F.col("a").alias("node"), "n"), min(4 * most, MOST_FIRST)

@@ -9,6 +9,7 @@ import xxhash
 
 from sluice.llm.components import roots
 from sluice.llm.simhash import close_pairs, drop_near_duplicates, forest, near_links, simhash_components, thirds
+from sluice.llm.similar_sets import bucket_links, parity, undecided
 
 SCHEMA = "doc_id long, text string, row long, fp int"
 
@@ -191,3 +192,32 @@ def test_a_large_bucket_is_compared_to_its_end(spark):
         text = [f"line{k}" for k in range(30)] + [f"u{draw.randrange(10**6)}" for _ in range(60)]
         rows += [(i, " ".join(text), 0, 0), (i + 1, " ".join(text[:-1] + ["other"]), 0, 0)]
     assert kept_ids(spark, rows) == sorted(joined_groups(rows)) == list(range(0, 120, 2))
+
+
+def test_unlike_sets_of_a_bucket_make_no_row(spark):
+    """One large bucket of texts that share a shingle and little else, with one similar pair at its end."""
+    draw = np.random.default_rng(35)
+    own = [np.unique(draw.integers(0, 2**40, 200, dtype=np.uint64)) for _ in range(299)]
+    own.append(np.unique(np.append(own[298][1:], np.uint64(7))))
+    rows = [(1, i, 200, i, bytearray(parity(x))) for i, x in enumerate(own)]
+    rows += [(2, 500, 200, 500, rows[0][4]), (2, 501, 300, 501, rows[0][4]), (3, 502, 200, 9, rows[0][4]), (3, 503, 200, 9, rows[0][4])]
+    buckets = spark.createDataFrame(rows, "key long, node long, n long, root long, parity binary")
+    left = undecided(buckets, 0.8)  # the second bucket's sizes do not fit, the third has one root
+    assert sorted(r.node for r in left.collect()) == list(range(300))
+    found = bucket_links(left.join(buckets.select("node", "parity"), "node"), 0.8, 299).collect()
+    assert [(r.a, r.b) for r in found] == [(298, 299)]
+    # With fewer first sets the others stay, in proportion to the bucket.
+    found = bucket_links(left.join(buckets.select("node", "parity"), "node"), 0.8, 4).collect()
+    assert sorted(r.a for r in found) == list(range(4, 300)) and all(r.b is None for r in found)
+
+
+def test_undecided_rows_have_a_partner(spark):
+    """Small buckets over several batches, next to a comparison of all pairs."""
+    draw = random.Random(36)
+    rows = [(draw.randrange(60), i, draw.randrange(10, 40), draw.randrange(12)) for i in range(300)]
+    expected = {
+        b for k, b, n, r in rows
+        if any(k == k2 and r != r2 and min(n, n2) >= 0.8 * max(n, n2) - 1e-6 for k2, _, n2, r2 in rows)
+    }
+    found = undecided(spark.createDataFrame(rows, "key long, node long, n long, root long"), 0.8).collect()
+    assert sorted(r.node for r in found) == sorted(expected) and 0 < len(expected) < 300
