@@ -11,6 +11,7 @@ bucket larger than a block is compared in pairs of blocks by different tasks.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.components import roots
 from sluice.llm.line_dedup import small
-from sluice.llm.scratch import stored
+from sluice.llm.scratch import free_shuffles, stored
 from sluice.llm.similar_sets import HASH_BYTES, packed, parity, similar_roots
 from sluice.llm.worker import releasing
 
@@ -28,10 +29,14 @@ SEED = 42
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Fingerprints of a bucket that one task compares with each other.
 BLOCK = 8192
+#: Bands whose buckets are shuffled at a time; the shuffle files of the ones before are gone then.
+BANDS_AT_ONCE = 32
 #: Pairs of a fingerprint and a word of 64 others in hand at a time.
 PAIRS = 1 << 16
 #: Shingle hashes of a text in hand at a time.
 SHINGLES = 1 << 15
+#: Words of 64 compared fingerprints whose close ones are listed at a time.
+LISTED = 1 << 12
 
 
 # --- fingerprints ------------------------------------------------------------------------------
@@ -184,13 +189,15 @@ def close_pairs(fps: np.ndarray, ends: np.ndarray, radius: int) -> Iterator[tupl
                 add = (one, two, four)[k] if k < 3 else zero
                 counter[k], carry = full_adder(counter[k], add, carry)
             alive = alive & ~above(counter, radius)
-        if len(q) and alive.any():
-            hit = np.flatnonzero(alive)
+        hits = np.flatnonzero(alive) if len(q) else np.zeros(0, np.int64)
+        for i in range(0, len(hits), LISTED):
+            hit = hits[i:i + LISTED]
             at, lane = np.nonzero(
                 np.unpackbits(alive[hit].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             )
-            bits_of = [(c[hit[at]] >> lane.astype(np.uint64)) & np.uint64(1) for c in counter]
-            distance = sum((x.astype(np.int64) << k for k, x in enumerate(bits_of)), np.zeros(len(at), np.int64))
+            distance = np.zeros(len(at), np.int64)
+            for k, c in enumerate(counter):
+                distance += ((c[hit[at]] >> lane.astype(np.uint64)) & np.uint64(1)).astype(np.int64) << k
             yield q[hit[at]], 64 * w[hit[at]] + lane, distance
 
 
@@ -221,27 +228,56 @@ def forest(n: int, pairs: Iterator[tuple[np.ndarray, ...]]) -> tuple[np.ndarray,
     return kept[0], kept[1]
 
 
-def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, block: int = BLOCK) -> DataFrame:
-    """a, b: links that connect all nodes (node, fp; distinct fps) within the radius that share a band."""
+def tree_keys(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each link of a forest (places a and b) a number that stands for the set of its tree's nodes."""
+    label = np.arange(len(node))
+    while True:
+        low = np.minimum(label[a], label[b])
+        # The larger label's own place learns of the smaller one, so that whole branches follow.
+        for x in (label[a], label[b], a, b):
+            np.minimum.at(label, x, low)
+        while not np.array_equal(label, shorter := label[label]):
+            label = shorter
+        if np.array_equal(label[a], label[b]):
+            break
+    total = np.zeros(len(node), np.uint64)
+    np.add.at(total, label, widened(node.view(np.uint64), 2)[:, 1])
+    return total[label[a]].view(np.int64)
+
+
+def near_trees(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, block: int = BLOCK) -> DataFrame:
+    """key, a, b: links that connect all nodes (node, fp; distinct fps) within the radius that share a band.
+
+    Two nodes of a bucket (or of a pair of its blocks) that are within the radius are in one tree, and the
+    links of a tree have one key. Equal trees of other buckets have the same key.
+    """
     picks = [np.array(band) for band in bands]
 
+    def buckets(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+        fps = np.frombuffer(b"".join(b.column(1).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
+        bits = np.unpackbits(fps, axis=1, bitorder="little")
+        for band, pick in enumerate(picks):
+            key = bits[:, pick] @ (np.int64(1) << np.arange(len(pick), dtype=np.int64))
+            yield key * len(picks) + band
+
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            fps = np.frombuffer(b"".join(b.column(1).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
-            bits = np.unpackbits(fps, axis=1, bitorder="little")
-            for band, pick in enumerate(picks):
-                key = bits[:, pick] @ (np.int64(1) << np.arange(len(pick), dtype=np.int64))
-                bucket = key * len(picks) + band
+            for bucket in buckets(b) if b.num_rows else ():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket), b.column(0), b.column(1)], names=["bucket", "node", "fp"]
                 )
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for bucket in buckets(b) if b.num_rows else ():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in np.unique(bucket, return_counts=True)], names=["bucket", "count"]
+                )
+
     rows = nodes.select("node", "fp").mapInArrow(releasing(keyed), "bucket long, node long, fp binary")
     large = (
-        nodes.select("node", "fp").mapInArrow(releasing(keyed), "bucket long, node long, fp binary")
-        .groupBy("bucket").count().where(F.col("count") > block)
+        nodes.select("node", "fp").mapInArrow(releasing(counted), "bucket long, count long")
+        .groupBy("bucket").agg(F.sum("count").alias("count")).where(F.col("count") > block)
         .select("bucket", F.ceil(F.col("count") / block).cast("long").alias("blocks"))
     )
     large = stored(large, "large-buckets")
@@ -273,7 +309,7 @@ def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
             a, b = forest(len(rows), close_pairs(matrix, ends, radius))
         else:
             a = b = np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (tree_keys(node, a, b), node[a], node[b])], names=["key", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -291,7 +327,12 @@ def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
         if held is not None:
             yield compare(held)
 
-    return rows.mapInArrow(releasing(run), "a long, b long")
+    return rows.mapInArrow(releasing(run), "key long, a long, b long")
+
+
+def near_links(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, block: int = BLOCK) -> DataFrame:
+    """a, b: links that connect all nodes (node, fp; distinct fps) within the radius that share a band."""
+    return near_trees(nodes, bands, radius, block).select("a", "b")
 
 
 def near_groups(
@@ -309,8 +350,8 @@ def similar_groups(
 ) -> DataFrame:
     """row, doc_id, root and component_id of rows with distinct row, doc_id and text.
 
-    Texts are linked if their sets of distinct shingles have this Jaccard similarity. One node
-    stands for all rows of a set; fingerprints propose the first links, and none decides.
+    Texts are linked if their fingerprints share a band and differ in at most ``radius`` bits, and their sets of
+    distinct shingles have this Jaccard similarity; no such pair is missed. One node stands for all rows of a set.
     """
     prints = stored(with_sets(rows, size, words), "shingle-sets")
     nodes = prints.groupBy("digest").agg(
@@ -320,7 +361,11 @@ def similar_groups(
     copies = prints.select("row").join(nodes.select(F.col("node").alias("row")), "row", "left_anti")
     sets = prints.join(small(stored(copies, "set-copies")), "row", "left_anti")
     sets = sets.select(F.col("row").alias("node"), "hashes", "parity")
-    root = similar_roots(sets, near_links(nodes, bands, radius), threshold)
+    trees = []
+    for i in range(0, len(bands), BANDS_AT_ONCE):
+        free_shuffles(rows.sparkSession)
+        trees.append(stored(near_trees(nodes, bands[i:i + BANDS_AT_ONCE], radius).distinct(), "near-trees"))
+    root = similar_roots(sets, reduce(DataFrame.unionAll, trees).distinct(), threshold)
     return prints.select("row", "doc_id", "digest").join(labelled(nodes, root, "digest"), "digest").drop("digest")
 
 
@@ -362,8 +407,10 @@ def simhash_components(
     return found.select("doc_id", F.lower(turned).alias("fingerprint"), "component_id")
 
 
-#: For a similarity of 0.8: fingerprints differ in 58 of 384 bits on average, standard deviation 7.
-WIDE_WORDS, WIDE_BANDS, WIDE_BAND_BITS, WIDE_RADIUS = 6, 40, 14, 78
+#: At a similarity of 0.8 fingerprints differ in 58 of 384 bits on average, standard deviation 7, and in 72 at most, which is
+#: sets of 4 and 5 shingles; unlike ones in 192. So the radius lets about one such pair in two million go at worst, and of
+#: the bands 128 * 0.08 fit at worst and 128 * 0.14 as a rule: about one pair in 20,000 or in 50 million shares none.
+WIDE_WORDS, WIDE_BANDS, WIDE_BAND_BITS, WIDE_RADIUS = 6, 128, 12, 110
 SIMILARITY = 0.8
 
 
@@ -372,10 +419,9 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
-    Texts are alike if their sets of word shingles have a Jaccard similarity of 0.8 or more, compared over
-    whole texts; no such pair is missed. Those whose 384-bit fingerprints share a band and differ in at
-    most 78 bits are compared first, the closest of a bucket that connect it; then all that
-    share a shingle of their prefixes and are not connected yet. Repeated rows and rows
+    Texts are alike if their 384-bit fingerprints share one of 128 bands and differ in at most 110 bits, and their
+    sets of word shingles, compared over whole texts, have a Jaccard similarity of 0.8 or more. Each pair
+    of close fingerprints in a bucket is decided, so a failed check displaces no other pair. Repeated rows and rows
     with equal or null ids are told apart, and one of a group stays. All columns are kept,
     whatever their names.
     """

@@ -8,7 +8,11 @@ import pytest
 import xxhash
 
 from sluice.llm.components import roots
-from sluice.llm.simhash import close_pairs, drop_near_duplicates, forest, near_links, simhash_components, thirds
+from sluice.llm import simhash
+from sluice.llm.simhash import (
+    LISTED, close_pairs, drop_near_duplicates, forest, near_links, near_trees, random_bands, similar_groups,
+    simhash_components, thirds, tree_keys,
+)
 from sluice.llm.similar_sets import bucket_links, parity, undecided
 
 SCHEMA = "doc_id long, text string, row long, fp int"
@@ -221,3 +225,61 @@ def test_undecided_rows_have_a_partner(spark):
     }
     found = undecided(spark.createDataFrame(rows, "key long, node long, n long, root long"), 0.8).collect()
     assert sorted(r.node for r in found) == sorted(expected) and 0 < len(expected) < 300
+
+
+def test_fingerprints_decide_which_pairs_are_checked(spark):
+    """Similar texts are linked if their fingerprints are close, and by nothing else."""
+    draw, rows = random.Random(37), []
+    for i in range(0, 40, 2):
+        text = [f"u{draw.randrange(10**6)}" for _ in range(100)]
+        rows += [(i, " ".join(text), i, 0), (i + 1, " ".join([*text[:-1], "other"]), i + 1, 0)]
+    df, bands = spark.createDataFrame(rows, SCHEMA).select("row", "doc_id", "text"), random_bands(384, 128, 12)
+
+    def found(radius: int, bands: list) -> list:
+        return sorted((r.doc_id, r.component_id) for r in similar_groups(df, 5, 6, bands, radius, 0.8).collect())
+
+    prints = simhash.with_fingerprints(df, 5, 6).collect()
+    ints = {r.doc_id: int.from_bytes(r.fp, "little") for r in prints}
+    apart = {i: (ints[i] ^ ints[i + 1]).bit_count() for i in range(0, 40, 2)}
+    middle = sorted(apart.values())[10]
+    assert min(apart.values()) < middle and max(apart.values()) < 110
+    assert found(110, bands) == [(i, i - i % 2) for i in range(40)]
+    every = [[b] for b in range(2)] + bands
+    assert found(middle - 1, every) == [(i, i - i % 2 if apart[i - i % 2] < middle else i) for i in range(40)]
+
+
+def test_trees_hold_all_close_pairs_of_a_bucket(spark):
+    """Any two close fingerprints of a band are in one tree, and equal trees of several bands have one key."""
+    draw = np.random.default_rng(38)
+    fps = draw.integers(0, 256, (40, 48), dtype=np.uint8)[np.arange(200) % 40]
+    for i in range(200):
+        for b in draw.integers(0, 384, 30):
+            fps[i, b // 8] ^= np.uint8(1 << (b % 8))
+    bits, bands = np.unpackbits(fps, axis=1, bitorder="little"), random_bands(384, 12, 8)
+    df = spark.createDataFrame([(3 * i, bytearray(fps[i].tobytes())) for i in range(200)], "node long, fp binary")
+    trees: dict[int, set] = {}
+    for r in near_trees(df, bands, 70).collect():
+        trees.setdefault(r.key, set()).update((r.a, r.b))
+    expected = {
+        (3 * i, 3 * j) for i in range(200) for j in range(i + 1, 200)
+        if (bits[i] != bits[j]).sum() <= 70 and any((bits[i, b] == bits[j, b]).all() for b in bands)
+    }
+    assert len(expected) > 50
+    assert all(any(i in t and j in t for t in trees.values()) for i, j in expected)
+    assert len({frozenset(t) for t in trees.values()}) == len(trees)
+
+
+def test_keys_of_trees():
+    node = np.array([10, 11, 12, 13, 14, 15, 16])
+    keys = tree_keys(node, np.array([5, 0, 1, 3]), np.array([6, 2, 5, 4])).tolist()  # 1-5-6, 0-2, 3-4
+    assert keys[0] == keys[2] and len(set(keys)) == 3
+    turned = tree_keys(node[::-1].copy(), np.array([0, 1]), np.array([5, 5]))  # 16, 15 and 11 again
+    assert turned.tolist() == [keys[0]] * 2
+    path = np.arange(5000)
+    assert len(set(tree_keys(path, path[:-1][::-1], path[1:][::-1]).tolist())) == 1
+
+
+def test_a_dense_bucket_is_listed_in_parts():
+    n = 3000
+    sizes = [len(a) for a, *_ in close_pairs(np.zeros((n, 48), np.uint8), np.full(n, n), 110)]
+    assert sum(sizes) == n * (n - 1) // 2 and max(sizes) <= 64 * LISTED
