@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from sluice.llm.components import roots
 from sluice.llm.line_dedup import small
 from sluice.llm.scratch import free_shuffles, stored
-from sluice.llm.similar_sets import HASH_BYTES, packed, parity, similar_roots
+from sluice.llm.similar_sets import (
+    HASH_BYTES, SKETCH_BYTES, linked_roots, may_be_similar, packed, parity, similar_roots, sketch, sketches,
+)
 from sluice.llm.worker import releasing
 
 SEED = 42
@@ -30,7 +32,7 @@ ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Fingerprints of a bucket that one task compares with each other.
 BLOCK = 8192
 #: Bands whose buckets are shuffled at a time; the shuffle files of the ones before are gone then.
-BANDS_AT_ONCE = 32
+BANDS_AT_ONCE = 16
 #: Pairs of a fingerprint and a word of 64 others in hand at a time.
 PAIRS = 1 << 16
 #: Shingle hashes of a text in hand at a time.
@@ -98,7 +100,7 @@ def with_fingerprints(rows: DataFrame, size: int, words: int) -> DataFrame:
 
 
 def with_sets(rows: DataFrame, size: int, words: int) -> DataFrame:
-    """row, doc_id, digest, fp, parity and hashes: the distinct shingles' hashes, ascending, and what stands for them."""
+    """row, doc_id, digest, fp, parity, sketch and hashes: the distinct shingles' hashes, ascending, and what stands for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
@@ -109,14 +111,17 @@ def with_sets(rows: DataFrame, size: int, words: int) -> DataFrame:
             fps = [fingerprint((own[i:i + SHINGLES] for i in range(0, len(own), SHINGLES)), words) for own in sets]
             digests = [blake2b(own.tobytes(), digest_size=16).digest() for own in sets]
             sets = [np.unique(own >> np.uint64(64 - 8 * HASH_BYTES)) for own in sets]
-            parities, sets = [parity(own) for own in sets], [packed(own) for own in sets]
+            parities = [parity(own) for own in sets]
+            short = [sketch(x, len(own)) for x, own in zip(parities, sets, strict=True)]
+            sets = [packed(own) for own in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *(pa.array(x, pa.binary()) for x in (digests, fps, parities, sets))],
-                names=["row", "doc_id", "digest", "fp", "parity", "hashes"],
+                [b.column(0), b.column(1), *(pa.array(x, pa.binary()) for x in (digests, fps, parities, short, sets))],
+                names=["row", "doc_id", "digest", "fp", "parity", "sketch", "hashes"],
             )
 
     rows = rows.select("row", F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(releasing(run), "row long, doc_id long, digest binary, fp binary, parity binary, hashes binary")
+    schema = "row long, doc_id long, digest binary, fp binary, parity binary, sketch binary, hashes binary"
+    return rows.mapInArrow(releasing(run), schema)
 
 
 # --- bit-sliced comparison ----------------------------------------------------------------------
@@ -201,6 +206,19 @@ def close_pairs(fps: np.ndarray, ends: np.ndarray, radius: int) -> Iterator[tupl
             yield q[hit[at]], 64 * w[hit[at]] + lane, distance
 
 
+def plausible_pairs(
+    pairs: Iterator[tuple[np.ndarray, ...]], short: np.ndarray, n: np.ndarray, root: np.ndarray, threshold: float
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """The pairs of two roots whose sets of ``n`` elements may have this similarity by their sizes and sketches."""
+    for listed in pairs:
+        for i in range(0, len(listed[0]), PAIRS):
+            a, b, distance = (x[i:i + PAIRS] for x in listed)
+            keep = (root[a] != root[b]) & (np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b]) - 1e-6)
+            a, b, distance = a[keep], b[keep], distance[keep]
+            keep = may_be_similar(short[a], short[b], n[a] + n[b], threshold)
+            yield a[keep], b[keep], distance[keep]
+
+
 def lightest(n: int, a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> list[np.ndarray]:
     """The pairs of a spanning forest of 0..n-1 that joins the closest first."""
     label, kept = np.arange(n), []
@@ -245,17 +263,27 @@ def tree_keys(node: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total[label[a]].view(np.int64)
 
 
-def near_trees(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, block: int = BLOCK) -> DataFrame:
+def near_trees(
+    nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, block: int = BLOCK, threshold: float | None = None
+) -> DataFrame:
     """key, a, b: links that connect all nodes (node, fp; distinct fps) within the radius that share a band.
 
-    Two nodes of a bucket (or of a pair of its blocks) that are within the radius are in one tree, and the
+    With a threshold nodes have a sketch and a root too, and pairs that cannot have this similarity by their sketches
+    or have one root already count as not within the radius, so they make no row. Two nodes of a bucket (or of a pair of its blocks) that are within the radius are in one tree, and the
     links of a tree have one key. Equal trees of other buckets have the same key.
     """
     picks = [np.array(band) for band in bands]
+    if threshold is None:
+        nodes, schema = nodes.select("node", "fp"), "bucket long, node long, fp binary"
+    else:
+        nodes = nodes.select("node", F.concat("fp", "sketch").alias("fp"), "root")
+        schema = "bucket long, node long, fp binary, root long"
+
+    nodes_columns = nodes.columns
 
     def buckets(b: pa.RecordBatch) -> Iterator[np.ndarray]:
         fps = np.frombuffer(b"".join(b.column(1).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
-        bits = np.unpackbits(fps, axis=1, bitorder="little")
+        bits = np.unpackbits(fps if threshold is None else fps[:, :-SKETCH_BYTES], axis=1, bitorder="little")
         for band, pick in enumerate(picks):
             key = bits[:, pick] @ (np.int64(1) << np.arange(len(pick), dtype=np.int64))
             yield key * len(picks) + band
@@ -263,9 +291,7 @@ def near_trees(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for bucket in buckets(b) if b.num_rows else ():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket), b.column(0), b.column(1)], names=["bucket", "node", "fp"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), *b.columns], names=["bucket", *nodes_columns])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -274,9 +300,9 @@ def near_trees(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
                     [pa.array(x) for x in np.unique(bucket, return_counts=True)], names=["bucket", "count"]
                 )
 
-    rows = nodes.select("node", "fp").mapInArrow(releasing(keyed), "bucket long, node long, fp binary")
+    rows = nodes.mapInArrow(releasing(keyed), schema)
     large = (
-        nodes.select("node", "fp").mapInArrow(releasing(counted), "bucket long, count long")
+        nodes.mapInArrow(releasing(counted), "bucket long, count long")
         .groupBy("bucket").agg(F.sum("count").alias("count")).where(F.col("count") > block)
         .select("bucket", F.ceil(F.col("count") / block).cast("long").alias("blocks"))
     )
@@ -292,7 +318,7 @@ def near_trees(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
         )
     else:
         rows = rows.withColumn("tile", F.lit(0).cast("long"))
-    rows = rows.select("bucket", "tile", "node", "fp").repartition("bucket", "tile").sortWithinPartitions("bucket", "tile")
+    rows = rows.select("bucket", "tile", *nodes_columns).repartition("bucket", "tile").sortWithinPartitions("bucket", "tile")
 
     def compare(table: pa.Table) -> pa.RecordBatch:
         bucket, tile = (table.column(i).to_numpy() for i in (0, 1))
@@ -306,7 +332,13 @@ def near_trees(nodes: DataFrame, bands: Sequence[Sequence[int]], radius: int, bl
         ends = np.repeat(np.cumsum(sizes), sizes)
         if len(rows):
             matrix = np.frombuffer(fps, dtype=np.uint8).reshape(len(rows), -1)
-            a, b = forest(len(rows), close_pairs(matrix, ends, radius))
+            if threshold is None:
+                pairs = close_pairs(matrix, ends, radius)
+            else:
+                pairs = close_pairs(matrix[:, :-SKETCH_BYTES], ends, radius)
+                root = table.column(4).to_numpy()[rows]
+                pairs = plausible_pairs(pairs, *sketches(matrix[:, -SKETCH_BYTES:]), root, threshold)
+            a, b = forest(len(rows), pairs)
         else:
             a = b = np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (tree_keys(node, a, b), node[a], node[b])], names=["key", "a", "b"])
@@ -355,23 +387,32 @@ def similar_groups(
     """
     prints = stored(with_sets(rows, size, words), "shingle-sets")
     nodes = prints.groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.min("row").alias("node"), F.min("fp").alias("fp")
+        F.min("doc_id").alias("least"), F.min("row").alias("node"), F.min("fp").alias("fp"),
+        F.min("sketch").alias("sketch"),
     )
-    nodes = stored(nodes, "set-nodes")
+    nodes = stored(nodes.withColumn("root", F.col("node")), "set-nodes")
     copies = prints.select("row").join(nodes.select(F.col("node").alias("row")), "row", "left_anti")
     sets = prints.join(small(stored(copies, "set-copies")), "row", "left_anti")
     sets = sets.select(F.col("row").alias("node"), "hashes", "parity")
-    trees = []
+    trees, root, rooted = [], None, nodes
     for i in range(0, len(bands), BANDS_AT_ONCE):
         free_shuffles(rows.sparkSession)
-        trees.append(stored(near_trees(nodes, bands[i:i + BANDS_AT_ONCE], radius).distinct(), "near-trees"))
-    root = similar_roots(sets, reduce(DataFrame.unionAll, trees).distinct(), threshold)
+        found = near_trees(rooted, bands[i:i + BANDS_AT_ONCE], radius, threshold=threshold).distinct()
+        trees.append(stored(found, "near-trees"))
+        if not i:  # what the first bands have joined makes no rows in the others
+            root = linked_roots(sets, trees[0], threshold)
+            rooted = nodes.drop("root").join(small(root), "node", "left")
+            rooted = stored(rooted.withColumn("root", F.coalesce("root", "node")), "rooted-nodes")
+    if len(trees) > 1:
+        more = reduce(DataFrame.unionAll, trees[1:])
+        root = linked_roots(sets, more, threshold, root)
+    root = similar_roots(sets, reduce(DataFrame.unionAll, trees).distinct(), root, threshold)
     return prints.select("row", "doc_id", "digest").join(labelled(nodes, root, "digest"), "digest").drop("digest")
 
 
 def labelled(nodes: DataFrame, root: DataFrame, key: str) -> DataFrame:
     """``key``, root and component_id of nodes with ``key``, node and least."""
-    rooted = nodes.join(root, "node", "left").select(key, "least", F.coalesce("root", "node").alias("root"))
+    rooted = nodes.select("node", key, "least").join(root, "node", "left").select(key, "least", F.coalesce("root", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.join(smallest, "root").select(key, "root", "component_id")
 

@@ -2,9 +2,9 @@
 
 The nodes of a tree are a bucket, and every pair in it is a candidate. The links of the trees come first. Each round
 then takes the sets that have one of another component and a fitting
-size in their bucket, compares in the buckets the parities of the first ones with those of all others, compares
-those that may be alike as a whole, contracts the links that pass and lets the first sets go, since
-all their pairs are decided. It ends when no bucket holds two components, so a candidate
+size in their bucket, compares in the buckets their parities, compares the pairs of the first ones that may be
+alike as a whole, contracts the links that pass and lets the first sets go, since all their pairs are decided. Of the
+others only those stay that may be alike to one another. It ends when none stays, so a candidate
 is either compared or already in the same component; a dense group costs one comparison a set.
 """
 
@@ -30,6 +30,8 @@ LOOKED_AT = 64
 PAIRS = 1 << 15
 
 
+#: Bytes of a sketch.
+SKETCH_BYTES = 68
 #: Of a shingle's 64-bit hash the upper 40 bits are kept: two of a pair of texts of a thousand words fall together
 #: once in a million pairs, and then move the similarity by a thousandth.
 HASH_BYTES = 5
@@ -54,8 +56,20 @@ def parity(hashes: np.ndarray) -> bytes:
     return np.packbits(np.bincount((hashes >> np.uint64(30)).astype(np.int64), minlength=1024) & 1).tobytes()
 
 
+def sketch(raw: bytes, n: int) -> bytes:
+    """A parity folded to 512 classes, which bounds the difference as well, and the number of elements."""
+    whole = np.frombuffer(raw, np.uint64)
+    return (whole[:8] ^ whole[8:]).tobytes() + n.to_bytes(4, "little")
+
+
+def sketches(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Folded parities (a row of 8 words each) and numbers of elements of sketches (a row of bytes each)."""
+    folded, n = (np.ascontiguousarray(x) for x in (matrix[:, :-4], matrix[:, -4:]))
+    return folded.view(np.uint64), n.view("<u4").ravel().astype(np.int64)
+
+
 def may_be_similar(x: np.ndarray, y: np.ndarray, both: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether parities (a row of 16 words each) admit this similarity of sets of ``both`` elements together."""
+    """Whether parities (a row of words each) admit this similarity of sets of ``both`` elements together."""
     apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
     return apart * (1 + threshold) <= (1 - threshold) * both + 1e-6
 
@@ -147,29 +161,33 @@ def undecided(buckets: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(releasing(run), "key long, node long, n long, root long")
 
 
-def bucket_links(buckets: DataFrame, threshold: float, most: int) -> DataFrame:
+def bucket_links(buckets: DataFrame, threshold: float, most: int, partners: bool = False) -> DataFrame:
     """key, a, b, n of buckets with key, node, n, root and parity: links that may pass, and what stays (b null).
 
-    Parities are compared in the bucket, so unlike sets make no row.
+    Parities are compared in the bucket, so unlike sets make no row; with ``partners`` only rows stay that have
+    a link that may pass to another of these.
     """
 
-    def links(bucket: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Places of linked rows (n ascending), and how many of the first have no pair left."""
+    def links(bucket: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of linked rows (n ascending), and of those that stay, as their pairs are not among these links."""
         n, root = bucket[2], bucket[3]
         m = len(n)
         go = m - 1 if m <= AT_ONCE else min(m - 1, most)
         step = max(1, PAIRS // m)
-        found = []
-        for first in range(0, go, step):
-            own = np.arange(first, min(first + step, go))
+        found, stays = [], np.arange(m) >= (m if partners or m - go <= 1 else go)
+        for first in range(0, m - 1 if partners else go, step):
+            own = np.arange(first, min(first + step, m - 1 if partners else go))
             i = np.repeat(own, m - 1 - own)
             j = np.concatenate([np.arange(k + 1, m) for k in own.tolist()])
             fits = (root[i] != root[j]) & (n[i] >= threshold * n[j] - 1e-6)
             i, j = i[fits], j[fits]
             fits = may_be_similar(prints[i], prints[j], n[i] + n[j], threshold)
-            found.append((i[fits], j[fits]))
+            i, j = i[fits], j[fits]
+            late = i >= go
+            stays[i[late]] = stays[j[late]] = True
+            found.append((i[~late], j[~late]))
         i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-        return i, j, go
+        return i, j, np.flatnonzero(stays)
 
     def batch(key: list, a: list, b: list, n: list) -> pa.RecordBatch:
         a, b = np.concatenate(a), np.concatenate(b)
@@ -186,8 +204,8 @@ def bucket_links(buckets: DataFrame, threshold: float, most: int) -> DataFrame:
             held = 0
             for start, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
                 bucket = rows[:, start:end]
-                i, j, go = links(bucket, prints[start:end])
-                stay = bucket[:, go:] if end - start - go > 1 else bucket[:, :0]
+                i, j, stays = links(bucket, prints[start:end])
+                stay = bucket[:, stays]
                 parts = (
                     np.full(len(i) + stay.shape[1], bucket[0, 0]), np.concatenate([bucket[1, i], stay[1]]),
                     np.concatenate([bucket[1, j], np.full(stay.shape[1], -1)]), np.concatenate([bucket[2, i], stay[2]]),
@@ -206,36 +224,48 @@ def bucket_links(buckets: DataFrame, threshold: float, most: int) -> DataFrame:
     return dealt.mapInArrow(releasing(run), "key long, a long, b long, n long")
 
 
-def similar_roots(sets: DataFrame, trees: DataFrame, threshold: float) -> DataFrame:
+def of_trees(sets: DataFrame, trees: DataFrame) -> DataFrame:
+    """The sets (node, hashes, parity) of the nodes of trees, with their number of elements; stored."""
+    linked = stored(trees.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "linked-nodes")
+    n = F.floor(F.length("hashes") / HASH_BYTES).cast("long").alias("n")
+    return stored(sets.join(small(linked), "node", "left_semi").select("node", "hashes", "parity", n), "linked-sets")
+
+
+def linked_roots(sets: DataFrame, trees: DataFrame, threshold: float, root: DataFrame | None = None) -> DataFrame:
+    """node, root of the components by the links (a, b) of trees that have this similarity, and by ``root`` before."""
+    links = stored(trees.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "set-links")
+    sets = of_trees(sets, links)
+    free_shuffles(sets.sparkSession)
+    good = passed(stored(screened(links, sets, threshold), "set-pairs"), sets, threshold)
+    return roots(good if root is None else joined(root, good))
+
+
+def joined(root: DataFrame, links: DataFrame) -> DataFrame:
+    return root.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(links)
+
+
+def similar_roots(sets: DataFrame, trees: DataFrame, root: DataFrame, threshold: float) -> DataFrame:
     """node, root of the components of all pairs of this similarity that are in one tree.
 
     ``sets`` (node, hashes, parity; stored) has ascending distinct 40-bit hashes and their parity, ``trees`` (key, a, b) has
-    the links of each tree. These links are compared first; they save rounds where they are good, and lose
-    nothing where they are not. Nodes are not negative, and those that are the smallest of their component have no row.
+    the links of each tree, ``root`` what is joined already, by ``linked_roots``. That saves rounds where the links are
+    good, and loses nothing where they are not. Nodes are not negative, and those that are the smallest of their component have no row.
     """
     spark = sets.sparkSession
     trees = stored(trees, "set-trees")
-    links = trees.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = stored(links.distinct(), "set-links")
-    rows = trees.select("key", F.explode(F.array("a", "b")).alias("node")).distinct()
-    buckets = stored(rows, "tree-nodes")
-    linked = stored(buckets.select("node").distinct(), "linked-nodes")
-    n = F.floor(F.length("hashes") / HASH_BYTES).cast("long").alias("n")
-    sets = stored(sets.join(small(linked), "node", "left_semi").select("node", "hashes", "parity", n), "linked-sets")
+    buckets = stored(trees.select("key", F.explode(F.array("a", "b")).alias("node")).distinct(), "tree-nodes")
+    sets = of_trees(sets, trees)
     buckets, short, most = buckets.join(small(sets.select("node", "n")), "node"), sets.select("node", "parity"), 4
-    free_shuffles(spark)
-    root = roots(passed(stored(screened(links, sets, threshold), "set-pairs"), sets, threshold))
     while True:
         free_shuffles(spark)
         buckets = buckets.join(small(root), "node", "left").withColumn("root", F.coalesce("root", "node"))
         buckets = stored(undecided(buckets, threshold), "set-buckets")
         free_shuffles(spark)
-        found = stored(bucket_links(buckets.join(short, "node"), threshold, most), "set-found")
+        found = stored(bucket_links(buckets.join(short, "node"), threshold, most, partners=True), "set-found")
         links = stored(found.where("b is not null").select("a", "b").distinct(), "set-links")
         if links.take(1):
             free_shuffles(spark)
-            good = passed(links, sets, threshold)
-            root = roots(root.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(good))
+            root = roots(joined(root, passed(links, sets, threshold)))
         elif not found.take(1):
             return root
         buckets, most = found.where("b is null").select("key", F.col("a").alias("node"), "n"), min(4 * most, MOST_FIRST)

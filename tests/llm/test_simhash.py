@@ -13,7 +13,7 @@ from sluice.llm.simhash import (
     LISTED, close_pairs, drop_near_duplicates, forest, near_links, near_trees, random_bands, similar_groups,
     simhash_components, thirds, tree_keys,
 )
-from sluice.llm.similar_sets import bucket_links, parity, undecided
+from sluice.llm.similar_sets import bucket_links, parity, sketch, sketches, undecided
 
 SCHEMA = "doc_id long, text string, row long, fp int"
 
@@ -283,3 +283,42 @@ def test_a_dense_bucket_is_listed_in_parts():
     n = 3000
     sizes = [len(a) for a, *_ in close_pairs(np.zeros((n, 48), np.uint8), np.full(n, n), 110)]
     assert sum(sizes) == n * (n - 1) // 2 and max(sizes) <= 64 * LISTED
+
+
+def test_unlike_sets_with_close_fingerprints_make_no_row(spark):
+    """A group of one fingerprint and sets half alike, with one similar pair: links of that pair alone, and of two roots alone."""
+    draw = np.random.default_rng(39)
+    own = [np.unique(np.append(np.arange(100, dtype=np.uint64) << np.uint64(30), draw.integers(0, 2**40, 50, dtype=np.uint64)))
+           for _ in range(299)]
+    own.append(np.unique(np.append(own[298][:-1], np.uint64(7))))
+    rows = [(i, bytearray(48), bytearray(sketch(parity(x), len(x))), i) for i, x in enumerate(own)]
+    nodes = spark.createDataFrame(rows, "node long, fp binary, sketch binary, root long")
+    bands = random_bands(384, 3, 12)
+    assert {(r.a, r.b) for r in near_trees(nodes, bands, 110, threshold=0.8).collect()} == {(298, 299)}
+    assert near_trees(nodes, bands, 110).count() == 3 * 299
+    joined = nodes.selectExpr("node", "fp", "sketch", "if(node = 299, 298, root) as root")
+    assert near_trees(joined, bands, 110, threshold=0.8).count() == 0
+
+
+def test_rows_without_a_partner_do_not_stay(spark):
+    """Of a large bucket whose first rows are compared only those stay that may be similar to another one."""
+    draw = np.random.default_rng(40)
+    own = [np.unique(draw.integers(0, 2**40, 200, dtype=np.uint64)) for _ in range(299)]
+    own.append(np.unique(np.append(own[298][1:], np.uint64(7))))
+    rows = [(1, i, 200, i, bytearray(parity(x))) for i, x in enumerate(own)]
+    buckets = spark.createDataFrame(rows, "key long, node long, n long, root long, parity binary")
+    found = bucket_links(buckets, 0.8, 4, partners=True).collect()
+    assert sorted((r.a, r.b) for r in found) == [(298, None), (299, None)]
+    found = bucket_links(buckets.where("node >= 290"), 0.8, 4, partners=True).collect()
+    assert [(r.a, r.b) for r in found] == [(298, 299)]
+
+
+def test_sketches_bound_the_difference():
+    draw = np.random.default_rng(41)
+    for apart in (0, 1, 30, 400):
+        a = np.unique(draw.integers(0, 2**40, 300, dtype=np.uint64))
+        b = np.union1d(a[apart // 2:], draw.integers(0, 2**40, apart - apart // 2, dtype=np.uint64))
+        raw = b"".join(sketch(parity(x), len(x)) for x in (a, b))
+        short, n = sketches(np.frombuffer(raw, np.uint8).reshape(2, -1))
+        assert n.tolist() == [len(a), len(b)]
+        assert np.bitwise_count(short[0] ^ short[1]).sum() <= len(np.setxor1d(a, b))
