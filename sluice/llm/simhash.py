@@ -32,7 +32,9 @@ ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Fingerprints of a bucket that one task compares with each other.
 BLOCK = 8192
 #: Bands whose buckets are shuffled at a time; the shuffle files of the ones before are gone then.
-BANDS_AT_ONCE = 16
+BANDS_AT_ONCE = 28
+#: Bands whose links are contracted before the others are read.
+FIRST_BANDS = 16
 #: Pairs of a fingerprint and a word of 64 others in hand at a time.
 PAIRS = 1 << 16
 #: Shingle hashes of a text in hand at a time.
@@ -209,13 +211,17 @@ def close_pairs(fps: np.ndarray, ends: np.ndarray, radius: int) -> Iterator[tupl
 def plausible_pairs(
     pairs: Iterator[tuple[np.ndarray, ...]], short: np.ndarray, n: np.ndarray, root: np.ndarray, threshold: float
 ) -> Iterator[tuple[np.ndarray, ...]]:
-    """The pairs of two roots whose sets of ``n`` elements may have this similarity by their sizes and sketches."""
+    """The pairs of two roots whose sets of ``n`` elements may have this similarity by their sizes and sketches.
+
+    Where ``n`` is 0 there is no sketch, and the pair may.
+    """
     for listed in pairs:
         for i in range(0, len(listed[0]), PAIRS):
             a, b, distance = (x[i:i + PAIRS] for x in listed)
-            keep = (root[a] != root[b]) & (np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b]) - 1e-6)
-            a, b, distance = a[keep], b[keep], distance[keep]
-            keep = may_be_similar(short[a], short[b], n[a] + n[b], threshold)
+            low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+            keep = (root[a] != root[b]) & ((low == 0) | (low >= threshold * high - 1e-6))
+            a, b, distance, low = a[keep], b[keep], distance[keep], low[keep]
+            keep = (low == 0) | may_be_similar(short[a], short[b], n[a] + n[b], threshold)
             yield a[keep], b[keep], distance[keep]
 
 
@@ -268,7 +274,7 @@ def near_trees(
 ) -> DataFrame:
     """key, a, b: links that connect all nodes (node, fp; distinct fps) within the radius that share a band.
 
-    With a threshold nodes have a sketch and a root too, and pairs that cannot have this similarity by their sketches
+    With a threshold nodes have a root and a sketch (or null) too, and pairs that cannot have this similarity by their sketches
     or have one root already count as not within the radius, so they make no row. Two nodes of a bucket (or of a pair of its blocks) that are within the radius are in one tree, and the
     links of a tree have one key. Equal trees of other buckets have the same key.
     """
@@ -276,14 +282,14 @@ def near_trees(
     if threshold is None:
         nodes, schema = nodes.select("node", "fp"), "bucket long, node long, fp binary"
     else:
-        nodes = nodes.select("node", F.concat("fp", "sketch").alias("fp"), "root")
-        schema = "bucket long, node long, fp binary, root long"
+        nodes = nodes.select("node", "fp", "root", "sketch")
+        schema = "bucket long, node long, fp binary, root long, sketch binary"
 
     nodes_columns = nodes.columns
 
     def buckets(b: pa.RecordBatch) -> Iterator[np.ndarray]:
         fps = np.frombuffer(b"".join(b.column(1).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1)
-        bits = np.unpackbits(fps if threshold is None else fps[:, :-SKETCH_BYTES], axis=1, bitorder="little")
+        bits = np.unpackbits(fps, axis=1, bitorder="little")
         for band, pick in enumerate(picks):
             key = bits[:, pick] @ (np.int64(1) << np.arange(len(pick), dtype=np.int64))
             yield key * len(picks) + band
@@ -332,12 +338,11 @@ def near_trees(
         ends = np.repeat(np.cumsum(sizes), sizes)
         if len(rows):
             matrix = np.frombuffer(fps, dtype=np.uint8).reshape(len(rows), -1)
-            if threshold is None:
-                pairs = close_pairs(matrix, ends, radius)
-            else:
-                pairs = close_pairs(matrix[:, :-SKETCH_BYTES], ends, radius)
-                root = table.column(4).to_numpy()[rows]
-                pairs = plausible_pairs(pairs, *sketches(matrix[:, -SKETCH_BYTES:]), root, threshold)
+            pairs = close_pairs(matrix, ends, radius)
+            if threshold is not None:
+                root, short = table.column(4).to_numpy()[rows], table.column(5).take(pa.array(rows)).to_pylist()
+                short = np.frombuffer(b"".join(x or bytes(SKETCH_BYTES) for x in short), np.uint8).reshape(len(rows), -1)
+                pairs = plausible_pairs(pairs, *sketches(short), root, threshold)
             a, b = forest(len(rows), pairs)
         else:
             a = b = np.zeros(0, np.int64)
@@ -390,22 +395,25 @@ def similar_groups(
         F.min("doc_id").alias("least"), F.min("row").alias("node"), F.min("fp").alias("fp"),
         F.min("sketch").alias("sketch"),
     )
-    nodes = stored(nodes.withColumn("root", F.col("node")), "set-nodes")
+    nodes = stored(nodes, "set-nodes")
     copies = prints.select("row").join(nodes.select(F.col("node").alias("row")), "row", "left_anti")
     sets = prints.join(small(stored(copies, "set-copies")), "row", "left_anti")
     sets = sets.select(F.col("row").alias("node"), "hashes", "parity")
-    trees, root, rooted = [], None, nodes
-    for i in range(0, len(bands), BANDS_AT_ONCE):
-        free_shuffles(rows.sparkSession)
-        found = near_trees(rooted, bands[i:i + BANDS_AT_ONCE], radius, threshold=threshold).distinct()
-        trees.append(stored(found, "near-trees"))
-        if not i:  # what the first bands have joined makes no rows in the others
-            root = linked_roots(sets, trees[0], threshold)
-            rooted = nodes.drop("root").join(small(root), "node", "left")
-            rooted = stored(rooted.withColumn("root", F.coalesce("root", "node")), "rooted-nodes")
-    if len(trees) > 1:
-        more = reduce(DataFrame.unionAll, trees[1:])
-        root = linked_roots(sets, more, threshold, root)
+    free_shuffles(rows.sparkSession)
+    trees = [stored(near_trees(nodes, bands[:FIRST_BANDS], radius).distinct(), "near-trees")]
+    root = linked_roots(sets, trees[0], threshold)
+    if len(bands) > FIRST_BANDS:
+        # What the first bands have joined makes no rows in the others; what is close to others takes its sketch along.
+        close = trees[0].select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("close", F.lit(True))
+        rooted = nodes.join(small(root), "node", "left").join(small(stored(close, "close-nodes")), "node", "left")
+        rooted = stored(rooted.select(
+            "node", "fp", F.coalesce("root", "node").alias("root"), F.when(F.col("close"), F.col("sketch")).alias("sketch")
+        ), "rooted-nodes")
+        for i in range(FIRST_BANDS, len(bands), BANDS_AT_ONCE):
+            free_shuffles(rows.sparkSession)
+            found = near_trees(rooted, bands[i:i + BANDS_AT_ONCE], radius, threshold=threshold).distinct()
+            trees.append(stored(found, "near-trees"))
+        root = linked_roots(sets, reduce(DataFrame.unionAll, trees[1:]), threshold, root)
     root = similar_roots(sets, reduce(DataFrame.unionAll, trees).distinct(), root, threshold)
     return prints.select("row", "doc_id", "digest").join(labelled(nodes, root, "digest"), "digest").drop("digest")
 
